@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import bpe, mixing, multiset, quality
+from noticeloom.llm import bpe, mixing, multiset, quality, simhash
 from noticeloom.llm.common import Scratch
 
 
@@ -33,11 +33,15 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(spark, sf_dir), vocabulary_path())
 
 
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.edited_fingerprints(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op3_quality_rules, op6_bpe_round_trip, op9_multiset_fingerprints)
+    f.__name__: f for f in (op1_pareto_mix, op3_quality_rules, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints)
 }
 ORACLES: dict[str, str] = {}
