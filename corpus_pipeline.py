@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import bpe, mixing, quality
+from noticeloom.llm import bpe, lines, mixing, quality, simhash
 from noticeloom.llm.common import Scratch
 from noticeloom.llm.queries import vocabulary_path
 
@@ -13,6 +13,14 @@ def good_only(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
 
+def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(docs)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.drop_near_duplicates(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_rows(docs)
 
@@ -21,7 +29,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(docs, vocabulary_path())
 
 
-STAGES = [("quality_rules", good_only), ("pareto_mix", mixed), ("bpe", encoded)]
+STAGES = [("quality_rules", good_only), ("line_dedup", lines_once), ("simhash_near_dedup", one_of_each), ("pareto_mix", mixed), ("bpe", encoded)]
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import bpe, mixing, multiset, quality, simhash
+from noticeloom.llm import bpe, lines, mixing, multiset, quality, simhash
 from noticeloom.llm.common import Scratch
 
 
@@ -18,6 +18,10 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_copies(documents(spark, sf_dir).select("doc_id", "text", "source")).drop("copies")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = quality.quality_rules(documents(spark, sf_dir), Scratch(spark))
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
@@ -42,6 +46,6 @@ def op9_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op3_quality_rules, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints)
+    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints)
 }
 ORACLES: dict[str, str] = {}
