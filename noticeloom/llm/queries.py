@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import bpe, lines, mixing, multiset, quality, simhash
+from noticeloom.llm import bpe, lines, mixing, multiset, ngram_lm, quality, simhash
 from noticeloom.llm.common import Scratch
 
 
@@ -45,7 +45,11 @@ def op9_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.lm_scores(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints)
+    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints, op10_backoff_lm)
 }
 ORACLES: dict[str, str] = {}
