@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import bpe, lines, mixing, multiset, ngram_lm, quality, simhash
+from noticeloom.llm import bpe, lines, mixing, multiset, ngram_lm, pii, quality, simhash, toxicity
 from noticeloom.llm.common import Scratch
 
 
@@ -27,6 +27,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.pseudonymise(documents(spark, sf_dir).select("doc_id", "text"), key="noticeloom example key")
+    return made.select("doc_id", "n_entities", "text")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -50,6 +59,6 @@ def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints, op10_backoff_lm)
+    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op4_pii_surrogates, op5_toxicity, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints, op10_backoff_lm)
 }
 ORACLES: dict[str, str] = {}
