@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeloom.llm import bpe, lines, mixing, multiset, ngram_lm, pii, quality, simhash, toxicity
+from noticeloom.llm import bpe, licenses, lines, mixing, multiset, ngram_lm, pii, quality, simhash, toxicity
 from noticeloom.llm.common import Scratch
 
 
@@ -46,6 +46,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(spark, sf_dir), vocabulary_path())
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -59,6 +63,6 @@ def op10_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op4_pii_surrogates, op5_toxicity, op6_bpe_round_trip, op8_simhash_groups, op9_multiset_fingerprints, op10_backoff_lm)
+    f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op4_pii_surrogates, op5_toxicity, op6_bpe_round_trip, op7_license_scan, op8_simhash_groups, op9_multiset_fingerprints, op10_backoff_lm)
 }
 ORACLES: dict[str, str] = {}
