@@ -192,10 +192,10 @@ def title_h1(spark, sf):
     return v.table(spark, sf, "pages").select("page_id", F.trim(F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1)).alias("title"))
 
 
-@query("SELECT release_id, url, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY rtrim(url, '/') ORDER BY ordinal) AS n FROM (SELECT release_id, url, release_id * 2 + 1 AS ordinal FROM releases UNION ALL SELECT release_id, rtrim(url, '/'), release_id * 2 + release_id % 3 FROM releases WHERE release_id % 2 = 0)) WHERE n = 1", v.RELEASES)
+@query("SELECT release_id, url, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY rtrim(url, '/') ORDER BY ordinal) AS n FROM (SELECT release_id, url, release_id * 4 + 1 AS ordinal FROM releases UNION ALL SELECT release_id, rtrim(url, '/'), release_id * 4 + release_id % 3 * 2 FROM releases WHERE release_id % 2 = 0)) WHERE n = 1", v.RELEASES)
 def dedupe_url(spark, sf):
     k, r = F.col("release_id"), v.releases(spark, sf)
-    rows = r.select("release_id", "url", (k * 2 + 1).alias("ordinal")).union(r.filter(k % 2 == 0).select("release_id", urls.normal(F.col("url")), k * 2 + k % 3))
+    rows = r.select("release_id", "url", (k * 4 + 1).alias("ordinal")).union(r.filter(k % 2 == 0).select("release_id", urls.normal(F.col("url")), k * 4 + k % 3 * 2))
     return flow.dedupe(rows)
 
 
