@@ -1,0 +1,76 @@
+import re
+
+import pytest
+from noticeloom.llm import pii
+from noticeloom.llm.common import Scratch
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string"
+
+
+def run(spark, rows, key="k"):
+    return {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(rows, DOCS), key).collect()}
+
+
+def luhn(digits):
+    return sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10
+
+
+def test_formats(spark):
+    text = 'A.b1@Example.org +1 (017) 555-7713 +1### (017)*** 555-7713 4111 1111 1111 1111 192.168.3.4 8.8.8.8 "' + "24be64439E".lower() * 4 + '"'
+    made = run(spark, [(1, text)])[1]
+    assert re.fullmatch(r'[A-Z]\.[a-z]\d@[A-Z][a-z]{6}\.org \+1 \(\d{3}\) 555-\d{4} \+1### \(\d{3}\)\*\*\* 555-\d{4} \d{4} \d{4} \d{4} \d{4} 192\.168\.\d+\.\d+ [\d.]+ "[0-9a-f]{40}"', made), made
+    for old in ("555-7713", "4111 1111", "192.168.3.4", "8.8.8.8", "24be", "Example"):
+        assert old not in made
+    card = re.search(r" (\d{4} \d{4} \d{4} \d{4}) ", made)[1].replace(" ", "")
+    assert luhn(card) == luhn("4111111111111111") and card[0] == "4"
+
+
+def test_coreference_over_documents_and_forms(spark):
+    made = run(spark, [(1, "Mr. John Smith met Ms Ann Smith."), (2, "Mrs Smith and 4111-1111-1111-1111"), (3, "4111111111111111 г-жа Анна Иванова")])
+    john = re.fullmatch(r"Mr\. (\w+) (\w+) met Ms (\w+) (\w+)\.", made[1])
+    assert john[2] == john[4] == re.match(r"Mrs (\w+) ", made[2])[1]
+    assert john[1].endswith(("o", "us", "an")) and john[3].endswith(("a", "ia", "ina"))
+    assert made[2].split()[-1].replace("-", "") == made[3].split()[0]
+    assert re.fullmatch(r"г-жа [А-я]+(?:ана|ила) [А-я]+", made[3].split(" ", 1)[1])
+
+
+def test_the_key_decides(spark):
+    rows = [(1, "mail a.b@example.com now")]
+    assert run(spark, rows, "k") == run(spark, rows, "k") != run(spark, rows, "other")
+
+
+def test_collisions_are_drawn_again(spark):
+    names = [(f"family_latin", f"name{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{i}") for i in range(3_000)]
+    rows = pii.assign(spark.createDataFrame(names, "type string, value string"), "k", Scratch(spark)).collect()
+    assert len({r["surrogate"] for r in rows}) == 3_000
+    assert not {r["surrogate"] for r in rows} & {v for _, v in names}
+
+
+def test_documents_lose_their_entities_and_nothing_else(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    made = pii.pseudonymise(docs, "k")
+    assert made.columns == [*docs.columns, "n_entities"]
+    entity = re.compile(r"[\w.]+@[\w.]+\.com|\b\d+\.\d+\.\d+\.\d+\b|\d{16}|[0-9a-fA-F]{32,}")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in made.collect():
+        old = texts[r["doc_id"]]
+        found, now = entity.findall(old), entity.findall(r["text"])
+        assert len(found) == len(now) and not set(found) & set(now)
+        if not r["n_entities"]:
+            assert r["text"] == old
+
+
+def test_luhn(spark):
+    row = spark.range(1).select(pii.luhn(F.lit("4111111111111111")).alias("a"), pii.luhn(F.lit("79927398710")).alias("b")).first()
+    assert tuple(row) == (0, luhn("79927398710"))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None), (2, ""), (None, "x 8.8.8.8"), (2, "8.8.8.8"), (2, "8.8.8.8")]])
+def test_edges(spark, rows):
+    assert pii.pseudonymise(spark.createDataFrame(rows, DOCS), "k").count() == len(rows)
+
+
+def test_plan_is_native(spark):
+    plan = pii.pseudonymise(spark.createDataFrame([(1, "8.8.8.8")], DOCS), "k")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
