@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.functions import dates, urls
-from noticeloom.operators import flow
+from noticeloom.operators import extract, flow
 from noticeloom.plans import classify, reports
 from noticeloom.plans import views as v
 from noticeloom.sources import catalog, store
+from noticeloom.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -450,3 +451,59 @@ def migrate_rename(spark, sf):
 @query("SELECT release_id, url, '' AS publish_time FROM releases", v.RELEASES)
 def migrate_add(spark, sf):
     return store.add_column(v.releases(spark, sf).select("release_id", "url"))
+
+
+#: Cards by platform: what stands around them, and the card of a release with its date as text.
+CARDS = {
+    "q4": ("<section>", "<div><span>{date}</span><a href='/news/news-details/2026/{id}'>{title}</a></div>", "</section>"),
+    "investorroom": ("<main>", "<div><p>{plain}</p><a href='/news?item={id}'>{title}</a></div>", "</main>"),
+    "notified": ("<table>", "<tr><td>{date}</td><td><a href='/news-releases/news-release-details/{id}'>{title}</a></td></tr>", "</table>"),
+    "notified_gated": ("<table>", "<tr><td>{date}</td><td><a href='/news-releases/news-release-details/{id}'>{title}</a></td></tr>", "</table>"),
+    "investis": ("<table>", "<tr><td>Date {date}</td><td><a href='/news-releases/2026/{id}'>{title}</a></td></tr>", "</table>"),
+    "aem_bny": ("<nav><a href='/home'>Home</a></nav>", "<div class='list-item-tile'><time>{date}</time><a href='/x/{id}.html'><h3>{title}</h3></a></div>", ""),
+    "aem_cme": ("<ul id='cmeSearchFilterResults'>", "<li><span class='cmeBrowseAllDate'>{date}</span><a href='/x/{id}.html'>{title}</a></li>", "</ul>"),
+}
+
+
+def listing_pages(spark: SparkSession, sf: str, platform: str) -> DataFrame:
+    """releases as listing pages of 25 cards."""
+    before, card, after = CARDS[platform]
+    r, text = v.releases(spark, sf), F.lit(card)
+    for name, value in (("{date}", F.col("date_text")), ("{plain}", F.date_format("publish_date", "MMMM d, yyyy")), ("{id}", F.col("release_id").cast("string")), ("{title}", F.col("title"))):
+        text = F.replace(text, F.lit(name), value)
+    cards = r.select(F.floor(F.col("release_id") / 25).alias("page"), F.struct("release_id", text.alias("card")).alias("c")).groupBy("page").agg(F.array_sort(F.collect_list("c")).alias("cs"))
+    html = F.concat(F.lit(before), F.array_join(F.col("cs.card"), ""), F.lit(after))
+    return cards.select(F.lit("s").alias("slug"), F.lit("S").alias("ticker"), "page", F.lit("https://ir.example.com/news").alias("base_url"), html.alias("html"), F.lit(platform).alias("platform"), F.lit(None).cast("string").alias("segment"))
+
+
+def _register_extraction(platform: str) -> None:
+    href = CARDS[platform][1].split("href='")[1].split("'")[0].replace("{id}", "' || release_id || '")
+
+    def run(spark, sf):
+        return extract.extract_items(listing_pages(spark, sf, platform)).select("page", "title", "url", "publish_date")
+
+    run.__name__ = f"extract_items_{platform}"
+    query(f"SELECT release_id // 25 AS page, title, 'https://ir.example.com{href}' AS url, publish_date FROM releases", v.RELEASES)(run)
+
+
+for _platform in CARDS:
+    _register_extraction(_platform)
+
+
+@query("SELECT url, '{\"slug\":\"' || slug || '\",\"ticker\":\"' || coalesce(ticker, '') || '\",\"title\":\"' || title || '\",\"url\":\"' || url || '\",\"publish_date\":\"' || publish_date || '\",\"publish_time\":\"' || publish_time || '\"}' AS json FROM releases", v.RELEASES)
+def json_rows(spark, sf):
+    return store.as_json(v.releases(spark, sf), "url")
+
+
+@query(f"""SELECT slug, ticker, title, url, publish_date, publish_time FROM (SELECT r.* FROM releases r WHERE release_id < 300 AND NOT EXISTS (SELECT 1 FROM incoming i WHERE i.release_id < 300 AND i.publish_date = r.publish_date AND i.url = r.url)
+  UNION ALL SELECT * FROM incoming WHERE release_id < 300)""", v.RELEASES, v.CHANGED)
+def stream_upsert(spark, sf):
+    """Two days' crawls arrive as files; each is merged by a run of the stream, and a third run finds nothing new."""
+    root = store.scratch_path(spark)
+    first = v.releases(spark, sf).filter("release_id < 300")
+    for rows in (first, v.changed(first), None):
+        if rows is not None:
+            rows.select(*(F.col(c).cast("string").alias(c) for c in store.COLUMNS)).write.mode("append").parquet(f"{root}/incoming")
+        ingest.ingest(spark, f"{root}/incoming", f"{root}/store", f"{root}/state")
+    made = store.read_day_folders(spark, f"{root}/store")
+    return made.select("slug", "ticker", "title", "url", F.col("day").alias("publish_date"), F.coalesce("publish_time", F.lit("")).alias("publish_time"))

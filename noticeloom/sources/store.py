@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,8 +90,18 @@ def read_day_folders(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.csv(root, schema=f"{SCHEMA}, day date", header=True, multiLine=True, escape='"')
 
 
-def as_json(rows: DataFrame) -> DataFrame:
-    return rows.select(F.to_json(F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in COLUMNS))).alias("json"))
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder below the one that the cluster shares; a local session without one uses /tmp/checkpoints."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "/tmp/checkpoints"
+    return f"{root.rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
+def as_json(rows: DataFrame, *keep: str) -> DataFrame:
+    return rows.select(*keep, F.to_json(F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in COLUMNS))).alias("json"))
 
 
 def rename_column(rows: DataFrame, old: str = "publish_datetime", new: str = "publish_date") -> DataFrame:

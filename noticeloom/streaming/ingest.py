@@ -27,7 +27,9 @@ def ingest(spark: SparkSession, incoming: str, root: str, checkpoint: str) -> in
             old = spark.createDataFrame([], f"{store.SCHEMA}, day date")
         old = old.select(*(F.col(c).cast("date").alias(c) if c == "publish_date" else F.coalesce(F.col(c), F.lit("")).alias(c) if c == "publish_time" else c for c in store.COLUMNS))
         made = store.merge(old.withColumn("ordinal", F.monotonically_increasing_id()), batch)
-        made = made.checkpoint()  # the days that are read are about to be overwritten
+        path = f"{checkpoint}-merged/{number}"  # the days that are read are about to be overwritten
+        made.write.mode("overwrite").parquet(path)
+        made = spark.read.schema(made.schema).parquet(path)
         if not made.isEmpty():
             store.write_days(made, root)
         ran.append(number)
