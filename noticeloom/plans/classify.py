@@ -66,3 +66,30 @@ def inconsistencies(configured: DataFrame, detected: DataFrame) -> DataFrame:
     both = configured.join(found, F.col("slug") == F.col("_s"), "left").drop("_s")
     problem = F.when(F.col("detected").isNull(), "missing").when(F.col("detected") != F.col("strategy"), "mismatch")
     return both.withColumn("problem", problem).filter(F.col("problem").isNotNull())
+
+
+#: What a platform is told by.
+DESCRIPTIONS = {
+    "aem": "Adobe Experience Manager sites",
+    "investis": "Investis Digital sites",
+    "investorroom": "InvestorRoom sites",
+    "notified": "Notified/Drupal sites",
+    "notified_gated": "Notified/Drupal sites behind a gate",
+    "q4": "Q4 sites",
+}
+
+
+def describe_platforms() -> list[str]:
+    """The registry's platforms, sorted, in columns of fixed width."""
+    width = max(map(len, DESCRIPTIONS))
+    return [f"{name.ljust(width)}  {DESCRIPTIONS[name]}" for name in sorted(DESCRIPTIONS)]
+
+
+def registry_faults() -> list[str]:
+    """Names that one table of the registry has and another lacks; there must be none."""
+    platforms = set(LISTING)
+    told = {p for p, _ in FINGERPRINTS}
+    return sorted({f"no description: {p}" for p in platforms - set(DESCRIPTIONS)} | {f"no listing: {p}" for p in told - platforms} | {f"no platform: {p}" for p in set(STRATEGY_PLATFORM.values()) - platforms})
+
+
+assert not registry_faults(), registry_faults()

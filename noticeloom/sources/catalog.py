@@ -89,3 +89,85 @@ def upsert_source(sources: DataFrame, record: DataFrame) -> DataFrame:
     if not taken.isEmpty():
         raise ValueError(f"slug {taken.first()['slug']} belongs to another source")
     return sources.join(record.select("ticker"), "ticker", "left_anti").unionByName(record, allowMissingColumns=True).orderBy("slug")
+
+
+def platform_map(spark: SparkSession, path: str) -> DataFrame:
+    """slug and platform of a detection report, as text and without reading any value as null; no file gives no rows."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], "slug string, platform string")
+    return spark.read.csv(path, header=True, escape='"', multiLine=True).select("slug", "platform").na.fill("")
+
+
+def read_checked(spark: SparkSession, paths: list[str], columns: tuple[str, ...]) -> DataFrame:
+    """CSV files that must all have these columns, as one table of text."""
+    out = None
+    for path in paths:
+        made = spark.read.csv(path, header=True, escape='"', multiLine=True)
+        missing = [c for c in columns if c not in made.columns]
+        if missing:
+            raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+        made = made.select(*columns)
+        out = made if out is None else out.unionByName(made)
+    return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns)) if out is None else out
+
+
+def read_text_table(spark: SparkSession, path: str) -> DataFrame:
+    """Any CSV as text; short rows are filled with nulls, long ones cut to the header."""
+    return spark.read.csv(path, header=True, escape='"', multiLine=True, mode="PERMISSIVE", inferSchema=False)
+
+
+def distinct_queries(queries: DataFrame) -> DataFrame:
+    """queries (query, ordinal) once each without regard to case and blanks around them, in the first spelling."""
+    key = F.lower(F.trim("query"))
+    return queries.filter(key != "").groupBy(key.alias("key")).agg(F.min_by("query", "ordinal").alias("query"), F.min("ordinal").alias("ordinal")).drop("key").orderBy("ordinal")
+
+
+def slug_taken(sources: DataFrame, slug: str, ticker: str | None) -> bool:
+    """Whether a source with another ticker has the slug."""
+    same = F.lower("slug") == slug.strip().lower()
+    return not sources.filter(same & ~F.col("ticker").eqNullSafe(F.lit(ticker))).isEmpty()
+
+
+def required(sources: DataFrame, slug: str):
+    """The record of a slug; there being none is an error."""
+    row = find_source(sources, slug, "slug").first()
+    if row is None:
+        raise LookupError(f"no source has the slug {slug!r}")
+    return row
+
+
+def with_identity(requests: DataFrame, sources: DataFrame, default_slug: str = "", default_ticker: str = "") -> DataFrame:
+    """requests (url, slug, ticker; empty where not given) with the catalog's slug and ticker.
+
+    A given slug or ticker that the catalog has decides; without one the address's host does, then the defaults. base is
+    the address's root, and extra its query as array of struct(k, v).
+    """
+    s = sources.select("ordinal", F.col("slug").alias("s_slug"), F.col("ticker").alias("s_ticker"))
+    by = {}
+    for name, column in (("slug", "s_slug"), ("ticker", "s_ticker")):
+        key = F.lower(F.trim(column))
+        by[name] = s.filter(key != "").groupBy(key.alias(f"key_{name}")).agg(F.min_by(F.struct("s_slug", "s_ticker"), "ordinal").alias(f"of_{name}"))
+    out = requests.withColumn("host", urls.host_key(F.col("url")))
+    for name, side in by.items():
+        out = out.join(side, F.lower(F.trim(name)) == F.col(f"key_{name}"), "left")
+    hosts = sources.select("ordinal", "slug", "ticker", F.explode(F.array("ir_url", "news_url")).alias("u")).withColumn("h", urls.host_key(F.col("u"))).filter("h <> ''")
+    hosts = hosts.groupBy("h").agg(F.min_by(F.struct(F.col("slug").alias("s_slug"), F.col("ticker").alias("s_ticker")), "ordinal").alias("of_host"))
+    found = F.coalesce("of_slug", "of_ticker", "of_host")
+    out = out.join(hosts, F.col("host") == F.col("h"), "left").withColumn("found", found)
+    slug = F.coalesce("found.s_slug", F.nullif(F.trim("slug"), F.lit("")), F.lit(default_slug))
+    ticker = F.coalesce("found.s_ticker", F.nullif(F.trim("ticker"), F.lit("")), F.lit(default_ticker))
+    return out.select("url", slug.alias("slug"), ticker.alias("ticker"), F.col("found").isNotNull().alias("known"), urls.site_root(F.col("url")).alias("base"), urls.params(urls.query_of(F.col("url"))).alias("extra"))
+
+
+def resolved_sources(sources: DataFrame, detected: DataFrame) -> DataFrame:
+    """The catalog with platform, strategy, listing address and the platforms' own settings, defaults filled in."""
+    from noticeloom.plans.classify import listing_url, strategy_of
+
+    side = detected.select(F.col("slug").alias("_s"), "platform")
+    out = sources.join(side, F.col("slug") == F.col("_s"), "left").drop("_s").withColumn("platform", F.coalesce("platform", F.lit("unknown")))
+    out = out.withColumn("strategy", strategy_of(F.col("platform"), F.col("slug")))
+    listed = F.when(F.col("strategy") == "notified_gated", F.col("strategy")).otherwise(F.col("platform"))
+    paths = {f: F.col(f) for f in ("news_path", "news_releases_path", "aem_listing_path")}
+    out = out.withColumn("listing", listing_url(listed, F.col("ir_url"), F.coalesce("news_url", F.lit("")), paths))
+    return out.withColumn("news_details_segment", urls.first_given(F.col("news_details_segment"), F.lit("news-details"))).withColumn("first_page_index", F.coalesce("first_page_index", F.lit(0))).withColumn("needs_detail_page_dates", F.coalesce("needs_detail_page_dates", F.lit(False)))
