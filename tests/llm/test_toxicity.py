@@ -23,7 +23,15 @@ def test_log_count_ratio_and_whole_texts():
     clean = [f"the quick brown fox number {i}".encode() for i in range(40)]
     toxic = [f"the quick zzgrumpf fox number {i}".encode() for i in range(40)]
     made = [t.grams(x) for x in clean + toxic]
-    c = t.fit([np.unique(x) for x in made], np.array([len(x) for x in made]), np.array([0] * 40 + [1] * 40), 0.5)
+    held = np.zeros((2, 1 << t.BITS), int)
+    for i, x in enumerate(made):
+        held[int(i >= 40), np.unique(x)] += 1
+    place = np.flatnonzero(held.sum(axis=0))
+    ratio = t.log_ratios(held[1, place], held[0, place], 40, 40)
+    weights, intercept = t.fit(ratio, [np.searchsorted(place, np.unique(x)) for x in made], np.array([len(x) for x in made]), np.array([0] * 40 + [1] * 40), 0.5)
+    weight = np.zeros(1 << t.BITS)
+    weight[place] = weights
+    c = t.Classifier(weight, intercept)
     assert c.score(b"a zzgrumpf here") > 0.5 > c.score(b"a fox here")
     assert c.score(b"plain words " * 3_000 + b"zzgrumpf " * 60) > c.score(b"plain words " * 3_000)
 
