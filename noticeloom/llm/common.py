@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 import pyarrow as pa
@@ -27,12 +29,18 @@ class Scratch:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = "/tmp/checkpoints"
         self.root = f"{root.rstrip('/')}/noticeloom-{uuid.uuid4().hex}"
+        atexit.register(self._leave)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _leave(self) -> None:
+        """Results may be read as long as the program runs; then the folder goes."""
+        with contextlib.suppress(Exception):  # the session may be gone by now
+            self.drop()
+
     def drop(self, name: str = "") -> None:
         """Delete a table that nothing reads any more; without a name, all of them."""
         jvm = self.spark._jvm
