@@ -11,12 +11,13 @@ two fingerprints tell how much their texts share without the texts.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm.common import binary
@@ -122,22 +123,30 @@ def beside_next(docs: DataFrame) -> DataFrame:
     ends = sorted(set(docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares or [0.5], 10_000)).first()[0] or []))
     # Null ids are dealt out by their texts' hashes, which are even.
     nulls = F.lit(len(ends) + 1) + F.floor((F.lit(0.5) - F.col("h") / float(2**64)) * n).cast("int")
-    bucket = F.when(F.col("doc_id").isNull(), nulls).otherwise(F.size(F.filter(F.array(*map(F.lit, ends)).cast("array<bigint>"), lambda e: e >= F.col("doc_id")))).cast("int")
+    bucket = F.when(F.col("doc_id").isNull(), nulls).otherwise(len(ends) - _below(ends, F.col("doc_id"))).cast("int")
     ids = ids.withColumn("bucket", bucket)
-    first = {r["bucket"]: (r["top"]["doc_id"], r["top"]["h"]) for r in ids.groupBy("bucket").agg(F.max(F.struct("doc_id", "h")).alias("top")).collect()}  # a row per bucket
-    order = sorted(first)
-    before = dict(zip(order, order[-1:] + order[:-1]))
-    is_first = [(F.col("bucket") == b) & F.col("doc_id").eqNullSafe(F.lit(d).cast("long")) & (F.col("h") == h) for b, (d, h) in first.items()]
-    copies = [F.struct(F.col("bucket"), F.lit(False).alias("halo"))]
-    go = F.lit(None).cast("int")
-    for (b, _), same in zip(first.items(), is_first):
-        go = F.when(same, F.lit(before[b])).otherwise(go)
-    at = F.concat(F.array(*copies), F.when(go.isNotNull(), F.array(F.struct(go.alias("bucket"), F.lit(True).alias("halo")))).otherwise(F.array().cast("array<struct<bucket:int,halo:boolean>>")))
-    dealt = ids.select("doc_id", "text", "h", F.explode(at).alias("at")).select("at.bucket", "at.halo", "doc_id", "text", "h")
-    dealt = dealt.repartitionById(len(ends) + n + 2, F.col("bucket"))
+    tops = ids.groupBy("bucket").agg(F.max(F.struct("doc_id", "h")).alias("top")).orderBy("bucket").collect()  # a row per bucket
+    heads = [(r["bucket"], r["top"]["doc_id"], r["top"]["h"], tops[i - 1]["bucket"]) for i, r in enumerate(tops)]
+    heads = spark.createDataFrame(heads, "b0 int, d0 long, h0 long, before int")
+    met = ids.join(F.broadcast(heads), F.col("bucket") == F.col("b0"))  # two buckets for each shuffle partition at most
+    is_first = F.col("doc_id").eqNullSafe(F.col("d0")) & (F.col("h") == F.col("h0"))
+    own, copy = (F.struct(b.alias("bucket"), F.lit(halo).alias("halo")) for b, halo in ((F.col("bucket"), False), (F.col("before"), True)))
+    dealt = met.select("doc_id", "text", "h", F.explode(F.when(is_first, F.array(own, copy)).otherwise(F.array(own))).alias("at"))
+    dealt = dealt.select("at.bucket", "at.halo", "doc_id", "text", "h").repartitionById(len(ends) + n + 2, F.col("bucket"))
     return dealt.sortWithinPartitions("bucket", "halo", F.col("doc_id").desc_nulls_last(), F.col("h").desc()).drop("h")
 
 
+def _below(ends: list[int], value: Column) -> Column:
+    """How many of ends (ascending) are below value: whole blocks of them first, then those in one block."""
+    if not ends:
+        return F.lit(0)
+    k = math.isqrt(len(ends)) + 1
+    blocks = [ends[i : i + k] for i in range(0, len(ends), k)]
+    whole = F.size(F.filter(F.array(*(F.lit(b[-1]) for b in blocks)).cast("array<bigint>"), lambda e: e < value))
+    block = F.get(F.array(*(F.array(*map(F.lit, b)).cast("array<bigint>") for b in blocks)), whole)
+    return whole * k + F.coalesce(F.size(F.filter(block, lambda e: e < value)), F.lit(0))
+
+
 def edited_text(text: str, following: str) -> str:
     """text with its last third replaced by as much of the beginning of the following one, or all of that."""
     third = len(text) // 3
