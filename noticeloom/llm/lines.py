@@ -90,7 +90,11 @@ def _sorted_names(rows: DataFrame, pair: tuple[str, str], scratch: Scratch, name
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        seen, group, last = 0, 0, None
+        seen, group, last, held = 0, 0, None, None  # held: the last row, until its next is known
+
+        def out(part: pa.RecordBatch, again: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*part.columns, pa.array(again)], [*part.schema.names, "again"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -103,13 +107,19 @@ def _sorted_names(rows: DataFrame, pair: tuple[str, str], scratch: Scratch, name
             starts = np.maximum.accumulate(starts)
             seen, group, last = seen + len(x), int(starts[-1]), (x[-1], y[-1])
             rank = (np.int64(task) << np.int64(40)) + starts
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank)], [*batch.schema.names, "rank"])
+            ranked = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank)], [*batch.schema.names, "rank"])
+            if held is not None:
+                yield out(held[0], np.array([held[1] or not new[0]]))
+            yield out(ranked.slice(0, len(x) - 1), ~new[:-1] | ~new[1:])
+            held = ranked.slice(len(x) - 1), not new[-1]
+        if held is not None:
+            yield out(held[0], np.array([held[1]]))
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select(*KEY, F.col(pair[0]).alias("x"), F.col(pair[1]).alias("y"))
     dealt = dealt.repartitionByRange(parts, "x", "y", *KEY).sortWithinPartitions("x", "y", *KEY)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    ranked = scratch.keep(dealt.mapInArrow(number, f"{kinds}, rank bigint"), f"{name}_all")
+    ranked = scratch.keep(dealt.mapInArrow(number, f"{kinds}, rank bigint, again boolean"), f"{name}_all")
     task = F.shiftright("rank", 40)
     ends = ranked.groupBy(task.alias("task")).agg(F.min(F.struct("rank", "x", "y")).alias("first"), F.max(F.struct("rank", "x", "y")).alias("last"))
     ends = sorted(ends.collect(), key=lambda r: r["task"])  # two pairs a task
@@ -119,13 +129,12 @@ def _sorted_names(rows: DataFrame, pair: tuple[str, str], scratch: Scratch, name
             goes_on[r["first"]["rank"]] = of_last[0]
         one = r["first"]["rank"] == r["last"]["rank"]
         of_last = (goes_on.get(r["last"]["rank"], r["last"]["rank"]) if one else r["last"]["rank"], tuple(r["last"])[1:])
-    rank = F.col("rank")
+    rank, again = F.col("rank"), F.col("again")
     if goes_on:
         table = F.create_map(*[F.lit(x) for kv in goes_on.items() for x in kv])
+        again = again | rank.isin(*goes_on, *goes_on.values())
         rank = F.coalesce(table[rank], rank)
-    named = ranked.select(*KEY, rank.alias("rank"))
-    again = named.groupBy("rank").count().filter("count > 1").select(F.col("rank").alias("r0"))
-    made = scratch.keep(named.join(again, F.col("rank") == F.col("r0"), "left_semi"), name)
+    made = scratch.keep(ranked.filter(again).select(*KEY, rank.alias("rank")), name)
     scratch.drop(f"{name}_all")
     return made
 
