@@ -6,30 +6,41 @@ n-gram an arc with its log-probability, and every state has a failure arc to its
 discounts left. A text is read once from left to right: a token is tried in the state, failure arcs are followed and their
 weights added until an arc carries the token, and the arc's target is the next state.
 
-Sizes follow from shares, not caps: a word enters histories if it makes up at least STATE of all tokens, an n-gram is
-kept if it makes up at least ARC of them, so there are at most 1 / STATE words and 1 / ARC arcs for each order however
-large the corpus. Those fit a broadcast. Arcs of the empty history are one for each word of the corpus, without bound:
-the frequent ones (at least HEAD of all tokens) go along, the others stay a table that is joined once to what texts hold.
+Every word and every n-gram of the training rows is kept, so the model grows with the corpus and no process holds it
+whole. Texts are cut into blocks; a block's n-grams are counted there and sent, by their histories, to buckets whose number
+follows the corpus. A bucket holds all arcs of its histories; it adds the counts up and answers each block with the arcs
+that the block asked for. Failure arcs are followed from the longest history, so a token's probability is built from the
+unigram upwards. Words are known by 64 bits of BLAKE2b, histories by 64 bits mixed from these, the word after one by 32.
+
+Automaton is the same model in one process, for a corpus that fits there.
 """
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import math
+import time
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeloom.llm.common import Scratch, binary, crc_fold
 
 ORDER = 3
-STATE, ARC, HEAD = 1e-4, 1e-6, 5e-7
+#: The share of all tokens that a word needs in Automaton; 0 keeps all.
+HEAD = 0.0
 DISCOUNT = 0.75
 #: The token at a text's end; no word holds a line end.
 END = b"\n"
+#: Tokens of a block of texts, and of the training texts for each bucket of histories.
+BLOCK, BUCKET = 1 << 20, 1 << 21
 
 
 def tokens(raw: bytes) -> list[bytes]:
@@ -192,67 +203,206 @@ class Automaton:
 
 
 def train(texts: DataFrame, scratch: Scratch, order: int = ORDER) -> tuple[DataFrame, dict]:
-    """The counts of all words as a table (word, n), and the automaton's bounded parts."""
+    """The counts of all words as a table (word, n), and all that an automaton in one process needs."""
     spark = texts.sparkSession
     counts = scratch.keep(word_counts(texts), "words")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = counts.filter(F.col("n") >= max(1.0, HEAD * total)).orderBy(F.desc("n"), "word").toPandas()  # 1 / HEAD rows at most
+    head = counts.filter(F.col("n") >= max(1.0, HEAD * total)).orderBy(F.desc("n"), "word").toPandas()
     words = [w.encode() for w in head["word"]]
+    if len(words) ** order >= 2**63:
+        raise ValueError("too many words for an automaton in one process")
     of_head = dict(zip(words, head["n"].tolist()))
-    states = [w for w in words if of_head[w] >= STATE * total]  # 1 / STATE at most
-    model = {"number": {w: i for i, w in enumerate(states)}, "head": of_head, "tokens": total + kinds + 1, "order": order}
+    model = {"number": {w: i for i, w in enumerate(words)}, "head": of_head, "tokens": total + kinds + 1, "order": order}
     model["unknown"] = -math.log10(model["tokens"])
     # Every token but the last of a text stands before another; before a text's first stands the end of none.
-    model["history"] = np.array([of_head[w] for w in states], np.int64)
-    grams = _history_counts(texts, spark.sparkContext.broadcast(model), order).filter(F.col("n") >= max(1.0, ARC * total))
-    grams = grams.orderBy("size", "code").toPandas()  # 1 / ARC rows at most for each size
+    model["history"] = np.array([of_head[w] for w in words], np.int64)
+    grams = _history_counts(texts, spark.sparkContext.broadcast(model), order)
+    grams = grams.orderBy("size", "code").toPandas()
     model["grams"] = {size: (g["code"].to_numpy(), g["n"].to_numpy()) for size, g in grams.groupby("size")}
     return counts, {"model": model, "train_tokens": total}
 
 
+def _blocks(docs: DataFrame) -> DataFrame:
+    """Blocks of docs (doc_id, text, held_out): their rows, how many tokens each has, all tokens as places in the block's words, and the words' hashes."""
+    kind, limit = docs.schema["doc_id"].dataType.simpleString(), BLOCK
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made = TaskContext.get().partitionId() << 32, 0
+        place: dict[bytes, int] = {END: 0}
+        ids, held, sizes, places = [], [], [], []
+
+        def out() -> pa.RecordBatch:
+            words = b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in place)
+            train = sum(n for n, h in zip(sizes, held) if not h)
+            row = [first + made], [list(ids)], [list(held)], [list(sizes)], [train], [_pack(np.array(places, np.int32))], [words]
+            for x in (ids, held, sizes, places):
+                x.clear()
+            place.clear()
+            place[END] = 0
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names)
+
+        for batch in batches:
+            doc_ids = batch.column("doc_id")
+            types = [pa.int64(), pa.list_(doc_ids.type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.binary()]
+            for doc_id, raw, h in zip(doc_ids.to_pylist(), binary(batch.column("text")), batch.column("held_out").to_pylist()):
+                text = tokens(raw or b"")
+                places.extend([place.setdefault(t, len(place)) for t in text])
+                ids.append(doc_id)
+                held.append(h)
+                sizes.append(len(text))
+                if len(places) >= limit:
+                    yield out()
+                    made += 1
+        if ids:
+            yield out()
+
+    names = ["block", "doc_id", "held", "sizes", "train", "places", "words"]
+    return docs.select("doc_id", "text", "held_out").mapInArrow(cut, f"block bigint, doc_id array<{kind}>, held array<boolean>, sizes array<int>, train bigint, places binary, words binary")
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Block:
+    """A block's n-grams: the distinct ones in order of (history, word), and where each token's stands among them."""
+
+    def __init__(self, row: dict):
+        words = np.frombuffer(row["words"], np.uint64)
+        self.sizes, self.held = np.array(row["sizes"], np.int64), np.array(row["held"], bool)
+        places = _unpack(row["places"], np.int32)
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.word = words[np.insert(places, starts, 0)]  # before a text's first token stands the end of none
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.token = np.arange(len(places)) + doc + 1  # each token in word
+        self.depth = np.arange(len(places)) - starts[doc] + 1  # words before it
+        self.doc, self.learned = doc, ~self.held[doc]
+
+    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Histories, words and training counts of the distinct n-grams; the tokens that have one, and which."""
+        at = np.flatnonzero(self.depth >= size - 1)
+        token = self.token[at]
+        if size == 1:
+            history, word = _mix(self.word[token]), np.zeros(len(at), np.uint32)
+        else:
+            history, word = np.zeros(len(at), np.uint64), (self.word[token] >> np.uint64(32)).astype(np.uint32)
+            for back in range(1, size):
+                history = _mix(history + self.word[token - back] * np.uint64(0x9E3779B97F4A7C15))
+        history, word, gram, where = _distinct(history, word)
+        n = np.bincount(gram, self.learned[at][where], len(history)).astype(np.int64)
+        which = np.empty(len(at), np.int64)
+        which[where] = gram
+        return history, word, n, at, which
+
+
+def _distinct(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in order, the pair of each entry in that order, and the order."""
+    by = np.argsort(history)  # two sorts of plain numbers take a third of lexsort's time
+    h = history[by]
+    state = np.cumsum(np.append(False, h[1:] != h[:-1])[: len(h)]).astype(np.uint64)
+    where = by[np.argsort(state << np.uint64(32) | word[by])]
+    h, w = history[where], word[where]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
+    return h[new], w[new], np.cumsum(new) - 1, where
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Compressed: the first bytes of all numbers, the second ones and so on; before them, how many bytes there are."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def _unpack(raw: bytes, kind: type) -> np.ndarray:
+    plain = pa.Codec("zstd").decompress(memoryview(raw)[8:], int.from_bytes(raw[:8], "little"))
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
+def _asked(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
+    """size, bucket, block, histories, words, n: the n-grams of a size in each block for each bucket, a range of histories."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                history, word, n, _, _ = Block(row).grams(size)
+                bucket = ((history >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                held, starts = np.unique(bucket, return_index=True)
+                ends = np.append(starts, len(history))[1:]
+                parts = [(_pack(np.diff(history[a:b], prepend=np.uint64(0))), _pack(word[a:b]), _pack(n[a:b])) for a, b in zip(starts, ends)]
+                columns = [pa.array(np.full(len(held), size, np.int32)), pa.array(held.astype(np.int64)), pa.array([row["block"]] * len(held), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(list(x), pa.binary()) for x in (zip(*parts) if parts else ([], [], []))], names)
+
+    names = ["size", "bucket", "block", "histories", "words", "n"]
+    return blocks.mapInArrow(ask, "size int, bucket bigint, block bigint, histories binary, words binary, n binary")
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """For each block's n-grams in one bucket: their counts, and how many tokens and kinds of tokens follow their histories."""
+    parts = [(np.cumsum(_unpack(h, np.uint64), dtype=np.uint64), _unpack(w, np.uint32), _unpack(n, np.int64)) for h, w, n in zip(*(asked.column(c).to_pylist() for c in ("histories", "words", "n")))]
+    history, word, n = (np.concatenate(x) for x in zip(*parts))
+    h, _, gram, where = _distinct(history, word)
+    count = np.add.reduceat(n[where], np.flatnonzero(np.diff(gram, prepend=-1)))
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    kinds_each = np.diff(np.append(first, len(h)))
+    tokens_after = np.repeat(np.add.reduceat(count, first), kinds_each)
+    kinds_after = np.repeat(np.add.reduceat((count > 0).astype(np.int64), first), kinds_each)
+    mine = np.empty(len(n), np.int64)
+    mine[where] = gram
+    ends = np.cumsum([len(p[2]) for p in parts])
+    rows = [mine[e - len(p[2]) : e] for e, p in zip(ends, parts)]
+    kinds = [int((count > 0).sum())] + [0] * (len(parts) - 1)
+    columns = [pa.array([_pack(x[r]) for r in rows], pa.binary()) for x in (count, tokens_after, kinds_after)]
+    return pa.table([*(asked.column(c) for c in ("size", "bucket", "block")), pa.array(kinds, pa.int64()), *columns], ["size", "bucket", "block", "kinds", "n", "after", "kinds_after"])
+
+
 def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, text).
 
     The model learns from rows whose crc32(doc_id as text) mod folds is not held. A null text is empty: its end alone. A
     word that was never seen has the unigram's share for one more word; without any training row all words are unseen.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    folded = docs.select("doc_id", "text", (crc_fold(folds) == held).alias("held_out"))
-    counts, made = train(folded.filter(~F.col("held_out")), scratch, order)
-    shared = spark.sparkContext.broadcast(made["model"])
-    total, unknown = made["train_tokens"], made["model"]["unknown"]
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "automaton" not in shared.value:
-            shared.value["automaton"] = Automaton(shared.value)
-        automaton = shared.value["automaton"]
-        for batch in batches:
-            rows = [automaton.read(raw or b"") for raw in binary(batch.column("text"))]
-            n, base, score, rare = map(list, zip(*rows)) if rows else ([], [], [], [])
-            offsets = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-            words = pa.array([w for r in rare for w in r], pa.binary()).cast(pa.string())
-            times = pa.array([c for r in rare for c in r.values()], pa.int32())
-            lists = [pa.ListArray.from_arrays(pa.array(offsets), x) for x in (words, times)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out")), pa.array(n, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64()), *lists], names)
-
-    names = ["doc_id", "held_out", "n_tokens", "base", "score", "rare", "times"]
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
+    blocks = scratch.keep(_blocks(docs.select("doc_id", "text", (crc_fold(folds) == held).alias("held_out"))), "blocks")
+    total = blocks.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
+    texts = blocks.select("block", "held", "sizes", "places", "words")
+    answers = {}
+    for size in range(order, 0, -1):  # one after the other, so that what one has shuffled can go before the next
+        asked = _asked(texts, size, total // BUCKET + 1)
+        answers[size] = scratch.keep(asked.groupBy("bucket").applyInArrow(_answer, "size int, bucket bigint, block bigint, kinds bigint, n binary, after binary, kinds_after binary"), f"answers{size}")
+        del asked
+        gc.collect()
+        for _ in range(3):  # Spark deletes a shuffle's files when the driver, the listeners too, has forgotten it
+            time.sleep(1)
+            spark._jvm.System.gc()
+    kinds = answers[1].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    shares = total + kinds + 1
+
+    def read(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.to_pylist()[0]
+        block = Block(row)
+        size_of, place_of = (np.array(right.column(c).to_pylist(), np.int64) for c in ("size", "bucket"))
+        p = base = known = None
+        for size in range(1, order + 1):
+            mine = [i for i in np.argsort(place_of) if size_of[i] == size]
+            _, _, _, at, which = block.grams(size)
+            if not len(at):
+                continue
+            n, after, kinds_after = (np.concatenate([_unpack(right.column(c)[int(i)].as_py(), np.int64) for i in mine])[which] for c in ("n", "after", "kinds_after"))
+            if size == 1:
+                p, known = (n + 1) / shares, n > 0
+                base = np.log10(p)
+                continue
+            state = after > 0
+            at, n, after, kinds_after = at[state], n[state], after[state], kinds_after[state]
+            p[at] = np.maximum(n - DISCOUNT, 0) / after + DISCOUNT * kinds_after / after * p[at]
+        add = lambda x: np.bincount(block.doc, x, len(block.sizes))
+        columns = [left.column("doc_id").combine_chunks().flatten(), pa.array(block.held), pa.array(block.sizes), pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(add(np.log10(p)))]
+        return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = folded.mapInArrow(read, f"doc_id {kind}, held_out boolean, n_tokens bigint, base double, score double, rare array<string>, times array<int>")
-    scored = scratch.keep(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    pairs = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("rare"), F.col("x.times").alias("times"))
-    found = pairs.join(counts, F.col("rare") == F.col("word"), "left")
-    later = found.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("more"),
-        F.sum("times").alias("rare_tokens"),
-        F.sum(F.when(F.col("n").isNull(), F.col("times")).otherwise(0)).alias("unseen"),
-    ).withColumnRenamed("row", "r0")
-    made = scored.drop("rare", "times").join(later, F.col("row") == F.col("r0"), "left")
-    deferred = F.coalesce(F.col("more") + F.col("rare_tokens") * unknown, F.lit(0.0))
-    return made.select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_tokens") - F.coalesce("unseen", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + deferred).alias("base_score"),
-        (F.col("score") + deferred).alias("score"),
-    )
+    found = reduce(DataFrame.unionByName, answers.values())
+    made = blocks.groupBy("block").cogroup(found.drop("kinds").groupBy("block")).applyInArrow(read, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return made.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -108,3 +108,20 @@ def test_rare_words_are_joined(spark, monkeypatch):
     docs = [(i, f"common word{i % 7} rare{i}") for i in range(60)]
     check_base(lm.lm_scores(spark.createDataFrame(docs, DOCS)).collect(), docs)
     assert np.isfinite([r["score"] for r in lm.lm_scores(spark.createDataFrame(docs, DOCS)).collect()]).all()
+
+
+def test_every_ngram_counts_however_large_the_corpus(spark, monkeypatch):
+    """Blocks and buckets give what one automaton of all n-grams gives; almost every pair occurs twice at most in 33,000 tokens."""
+    monkeypatch.setattr(lm, "BLOCK", 1000, raising=False)
+    monkeypatch.setattr(lm, "BUCKET", 5000, raising=False)
+    docs = [(i, " ".join(f"w{(i % 500) * 40 + j}" for j in range(30)) + (" w1 w2" if i % 3 else " new")) for i in range(1000)] + [(1000, None), (1001, "w1 never w2")]
+    table = spark.createDataFrame(docs, DOCS)
+    rows = lm.lm_scores(table).collect()
+    check_base(rows, docs)
+    _, made = lm.train(spark.createDataFrame([d for d in docs if not held(d[0])], DOCS), Scratch(spark), 3)
+    assert len(made["model"]["number"]) > 12000
+    automaton, texts = lm.Automaton(made["model"]), dict(docs)
+    for r in rows:
+        _, _, score, unseen = automaton.read((texts[r["doc_id"]] or "").encode())
+        assert r["score"] == pytest.approx(score + sum(unseen.values()) * automaton.unknown)
+    assert max(r["score"] / r["n_tokens"] for r in rows if r["n_tokens"] > 10) > -1.5
