@@ -498,9 +498,19 @@ def json_rows(spark, sf):
 @query(f"""SELECT slug, ticker, title, url, publish_date, publish_time FROM (SELECT r.* FROM releases r WHERE release_id < 300 AND NOT EXISTS (SELECT 1 FROM incoming i WHERE i.release_id < 300 AND i.publish_date = r.publish_date AND i.url = r.url)
   UNION ALL SELECT * FROM incoming WHERE release_id < 300)""", v.RELEASES, v.CHANGED)
 def stream_upsert(spark, sf):
+    return _streamed(spark, v.releases(spark, sf).filter("release_id < 300"))
+
+
+@query("""SELECT slug, ticker, title, url, publish_date, publish_time FROM releases r WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.publish_date = r.publish_date AND i.url = r.url)
+  UNION ALL SELECT slug, ticker, title, url, publish_date, publish_time FROM incoming""", v.RELEASES, v.CHANGED)
+def stream_upsert_all(spark, sf):
+    """stream_upsert over the whole table."""
+    return _streamed(spark, v.releases(spark, sf))
+
+
+def _streamed(spark: SparkSession, first: DataFrame) -> DataFrame:
     """Two days' crawls arrive as files; each is merged by a run of the stream, and a third run finds nothing new."""
     root = store.scratch_path(spark)
-    first = v.releases(spark, sf).filter("release_id < 300")
     for rows in (first, v.changed(first), None):
         if rows is not None:
             rows.select(*(F.col(c).cast("string").alias(c) for c in store.COLUMNS)).write.mode("append").parquet(f"{root}/incoming")
