@@ -9,11 +9,12 @@ with the family's templates: enough of one template's words and pairs must stand
 from __future__ import annotations
 
 import json
+import math
 import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.llm.common import Scratch
@@ -72,8 +73,10 @@ SAMPLE = 400
 #: A family's probability, and the share of a template that must stand in the paragraph.
 PROBABLE, ALIKE = 0.5, 0.6
 TOKEN = r"[\p{L}\p{N}]+(?:[.][\p{N}]+)*"
-#: What any paragraph with a licence notice holds; others are unknown without being scored.
-ANCHOR = r"(?i)licen[sc]e|copyright|public domain|rights reserved|spdx|creative commons|\bcc0\b|\bcc[ -]by|\b[al]?gpl|permission is hereby|source and binary forms|unencumbered"
+#: Words of any text, which are chosen for the filter only where a template has too few others.
+EVERYDAY = frozenset("a all an and any are as at be by for form from in into is it may no nor not of on only or other that the this to under use used was which with your you".split())
+#: What every notice above holds; the unknown class learns from texts without it.
+ANCHOR = r"(?i)licen[sc]e|copyright|public domain|rights reserved|spdx|creative commons|\bcc0\b|\bcc[ -]by|\b[al]?gpl|permission is hereby|permission to use|source and binary forms|unencumbered|unauthorized copying|\b(?:released|available|published|distributed) under\b"
 
 
 def tokens(text: str) -> list[str]:
@@ -144,24 +147,50 @@ def templates() -> list[tuple[str, int, str]]:
     return made
 
 
+def needed() -> str:
+    """A pattern in lower case that finds a word in every paragraph which holds the share ALIKE of a template; others cannot be confirmed.
+
+    Such a paragraph lacks fewer of a template's features than the words chosen for it occur in, so it holds one of them.
+    """
+    by: dict[int, list[str]] = {}
+    for _, number, feature in templates():
+        by.setdefault(number, []).append(feature)
+    chosen: set[str] = set()
+    for held in sorted(by.values(), key=len):
+        lacking = len(held) - math.ceil(ALIKE * len(held) - 1e-9)  # at most, in a paragraph that is alike
+        met = lambda w: {f for f in held if w in f.split()}
+        words = sorted({w for f in held for w in f.split()}, key=lambda w: (w in EVERYDAY, w not in chosen, -len(met(w)), -len(w), w))
+        covered: set[str] = set()
+        while len(covered) <= lacking:
+            covered |= met(words[0])
+            chosen.add(words.pop(0))
+    return r"(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w) for w in sorted(chosen)) + r")(?![\p{L}\p{N}])"
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, line, paragraph of the paragraphs with an anchor, and their features."""
-    held = docs.filter(F.col("text").rlike(ANCHOR)).select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
-    held = held.filter(F.col("paragraph").rlike(ANCHOR)).distinct()
+    """doc_id, digest, line, paragraph of the paragraphs with a needed word or an anchor, and their features."""
+    docs = docs.filter(_held("text")).select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+    held = docs.filter(_held("paragraph"))
     held = held.withColumn("words", F.regexp_extract_all(F.lower("paragraph"), F.lit(f"({TOKEN})"), F.lit(1)))
     pairs = F.transform(F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.col("words")[i], w))
     return held.withColumn("features", F.array_distinct(F.concat("words", pairs))).drop("words")
 
 
+def _held(text: str) -> Column:
+    return F.lower(text).rlike(needed()) | F.col(text).rlike(ANCHOR)
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, line, family, probability, alike, confirmed of every paragraph with an anchor.
+    """doc_id, digest, line, family, probability, alike, confirmed of every paragraph with a needed word or an anchor.
 
     Null and empty texts hold none. Rows alike in doc_id and text are scanned once.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     plain = docs.filter(~F.col("text").rlike(ANCHOR) & (F.length("text") > 0)).select(F.xxhash64("text").alias("h"), F.substring_index("text", "\n", 1).alias("first"))
     model = train([r["first"] for r in plain.orderBy("h", "first").limit(SAMPLE).select("first").collect()])
-    held = scratch.keep(paragraphs(docs).drop("paragraph"), "paragraphs")
+    known = sorted({f for _, _, f in templates()} | set(model.weight))  # no other feature counts
+    held = paragraphs(docs).withColumn("features", F.array_intersect("features", F.lit(known)))
+    held = scratch.keep(held.drop("paragraph").distinct(), "paragraphs")
     key = ("doc_id", "digest", "line")
     scored = _scores(spark, held, key, model)
     best = F.array_max(F.transform("scores", lambda s, i: F.struct(s.alias("score"), (-i).alias("i"))))
@@ -187,15 +216,15 @@ def literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, held: DataFrame, key: tuple[str, ...], model: Model) -> DataFrame:
-    """key and scores: a number for each family, the weights of the paragraph's features added up."""
-    weights = literal(spark, [{"feature": f, "weight": w.tolist()} for f, w in model.weight.items()], "feature string, weight array<double>")
-    each = held.select(*key, F.explode("features").alias("w")).join(F.broadcast(weights), F.col("w") == F.col("feature"))
+    """key and scores: a number for each family, the weights of the paragraph's features added up; none for the empty one, which holds paragraphs without a known feature."""
+    weights = literal(spark, [{"feature": f, "weight": w.tolist()} for f, w in model.weight.items()] + [{"feature": "", "weight": [0.0] * len(model.families)}], "feature string, weight array<double>")
+    each = held.select(*key, F.explode(F.array_append("features", F.lit(""))).alias("w")).join(F.broadcast(weights), F.col("w") == F.col("feature"))
     sums = [(F.sum(F.col("weight")[i]) + float(model.intercept[i])).alias(f"s{i}") for i in range(len(model.families))]
     return each.groupBy(*key).agg(*sums).select(*key, F.array(*(F.col(f"s{i}") for i in range(len(model.families)))).alias("scores"))
 
 
 def license_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_paragraphs (with an anchor), n_confirmed, families (sorted, joined by blanks, empty if none) and probability (the surest confirmed one's, else 0) of every row of docs (doc_id, text)."""
+    """doc_id, n_paragraphs (with a needed word or an anchor), n_confirmed, families (sorted, joined by blanks, empty if none) and probability (the surest confirmed one's, else 0) of every row of docs (doc_id, text)."""
     found = scan(docs)
     by_doc = found.groupBy(F.col("doc_id").alias("d0"), F.col("digest").alias("g0")).agg(
         F.count("*").alias("n_paragraphs"),

@@ -49,3 +49,13 @@ def test_edges(spark, rows):
 def test_plan_is_native(spark):
     plan = licenses.license_report(spark.createDataFrame([(1, "Released under the MIT License.")], DOCS))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
+
+
+def test_every_notice_is_scanned(spark):
+    """Also without the words license or copyright; none is lost to the filter or to the weights."""
+    notices = [(f, t) for f, t in dict.fromkeys(licenses.notices()) if f != licenses.UNKNOWN]
+    docs = [(i, "Some text.\n" + text) for i, (_, text) in enumerate(notices)] + [(-1, "MIT"), (-2, "Released under MIT."), (-3, "copyrighted")]
+    got = {r["doc_id"]: r for r in licenses.license_report(spark.createDataFrame(docs, DOCS)).collect()}
+    assert all(r["n_paragraphs"] == 1 for r in got.values())
+    assert [got[i]["families"] for i, (_, t) in enumerate(notices) if t in ("Released under MIT.", "Published under BSD-3-Clause.", "Available under MPL-2.0.")] == ["MIT", "BSD-3-Clause", "MPL-2.0"]
+    assert all(re.search(licenses.ANCHOR, t) for _, t in notices)
