@@ -463,13 +463,21 @@ def detail_date(html: str | None, platform: str = "notified") -> tuple[date | No
         tries.append(page.joined(0)[:4096])
     else:
         tries += [page.joined(n[0], "") for s in DATES_DETAIL if (n := page.select((s,)))]
-        body = next((n for tag in ("article", "main", "body") for n in page.find(0, tag)[:1]), None)
+        body = _story(page)
         tries.append(page.joined(body)[:2000] if body is not None else "")
     return next((f for t in tries if (f := find_date(t))[0]), (None, ""))
 
 
 def detail_time(html: str | None) -> str:
-    return find_time(Page(html).joined(0)[:2000]) if html else ""
+    """The time at the beginning of a detail page's article, else main, else body; a page without one is all body."""
+    if not html:
+        return ""
+    page = Page(html)
+    return find_time(page.joined(_story(page) or 0)[:2000])
+
+
+def _story(page: Page) -> int | None:
+    return next((n for tag in ("article", "main", "body") for n in page.find(0, tag)[:1]), None)
 
 
 def _widget(html: str | None, ending: str) -> tuple[Page, int, str, dict] | None:

@@ -133,3 +133,11 @@ def test_frame_and_table_function(spark):
 def test_broken_markup(bad):
     for platform in html.EXTRACTORS:
         html.items_of(bad, BASE, platform)
+
+
+def test_detail_time_is_the_articles():
+    menu = "<nav>" + "<a href='/x'>Open 9:00 AM EST</a> " + "menu " * 600 + "</nav>"
+    for tag in ("article", "main"):
+        assert html.detail_time(f"<html><body>{menu}<{tag}>CITY, May 6, 2026, 4:05 PM EDT news</{tag}></body></html>") == html.detail_time("<p>4:05 PM EDT</p>") != ""
+    assert html.detail_time(f"<html><head><title>{'title ' * 400}</title></head><body>At 4:05 PM EDT</body></html>") == html.detail_time("<p>4:05 PM EDT</p>")
+    assert html.detail_time(None) == ""
