@@ -10,6 +10,7 @@ two fingerprints tell how much their texts share without the texts.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticeloom.llm.common import binary
 
@@ -86,8 +88,21 @@ class Fingerprinter:
         return before - self.vector(a[same:]) + self.vector(b[same:])
 
 
+def written(vector: np.ndarray) -> str:
+    """The lanes as text: base64 of their little-endian bytes. Equal vectors have equal texts."""
+    return base64.b64encode(vector.astype("<u4").tobytes()).decode()
+
+
+def lanes(told: str) -> np.ndarray:
+    """The vector that written() gave as text; paragraphs can be added to it and taken from it."""
+    return np.frombuffer(base64.b64decode(told), "<u4").astype(np.uint32)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Twice the estimated shared shingles by all of both, from 0 to 1; 1 for equal fingerprints, and 0 if nothing can be told."""
+    """Twice the estimated shared shingles by all of both, from 0 to 1; 1 for equal fingerprints, and 0 if nothing can be told.
+
+    The estimate is off by one over the square root of LIKE at most as a standard error: about 0.06.
+    """
     if np.array_equal(a, b):
         return 1.0
     x, y = (v[EQUAL:].astype(np.int32).astype(np.float64) for v in (a, b))
@@ -153,15 +168,19 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-EDITED = ("n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+EDITED = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row of docs.
 
-    The edited text takes its end from the next document in descending doc_id. Fingerprints are given as SHA-256 of
-    their lanes. A null text counts as empty; a table of one row has itself as its next; equal rows give equal rows.
+    The edited text takes its end from the next document in descending doc_id, which must be integral and keeps its type.
+    Fingerprints are given whole, as written() has them: lanes() reads them back. A null text counts as empty; a table of
+    one row has itself as its next; equal rows give equal rows; null ids come last, by the hashes of their texts.
     """
+    kind = docs.schema["doc_id"].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"doc_id orders the documents and must be integral, not {kind.simpleString()}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, held = Fingerprinter(), None
@@ -182,9 +201,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         text = raw.decode()
         edited = edited_text(text, following.decode()).encode()
         changed = f.edit(vector, raw, edited)
-        digest = [hashlib.sha256(x).hexdigest() for x in (edited, vector.tobytes(), changed.tobytes())]
-        return doc_id, len(text), *digest, likeness(vector, changed), likeness(vector, next_vector)
+        return doc_id, len(text), hashlib.sha256(edited).hexdigest(), written(vector), written(changed), likeness(vector, changed), likeness(vector, next_vector)
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    return beside_next(docs).mapInArrow(run, f"doc_id bigint, {EDITED}")
+    made = beside_next(docs).mapInArrow(run, f"doc_id bigint, {EDITED}")
+    return made.withColumn("doc_id", F.col("doc_id").cast(kind))
