@@ -1,42 +1,5 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline of noticeloom.llm, where the driver looks for it."""
 
-from __future__ import annotations
+from noticeloom.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from pyspark.sql import DataFrame, SparkSession
-
-from noticeloom.llm import bpe, lines, mixing, quality, simhash
-from noticeloom.llm.common import Scratch
-from noticeloom.llm.queries import vocabulary_path
-
-
-def good_only(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
-
-
-def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(docs)
-
-
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_duplicates(docs)
-
-
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix_rows(docs)
-
-
-def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.bpe_round_trip(docs, vocabulary_path())
-
-
-STAGES = [("quality_rules", good_only), ("line_dedup", lines_once), ("simhash_near_dedup", one_of_each), ("pareto_mix", mixed), ("bpe", encoded)]
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark)
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = scratch.keep(docs, name)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]

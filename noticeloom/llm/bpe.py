@@ -1,10 +1,13 @@
 """Byte-level BPE as a streaming transducer with bounded lookahead, and its inverse as a byte-to-text state machine.
 
-A text passes through three machines that each hold a bounded buffer: the splitter into pieces (words, numbers, marks,
-white space), the merger of a piece's bytes into tokens, and nothing else. The merge list bounds how far to the left a
-byte can still change tokens: a merge that a later byte wins by an earlier rank frees what lies left of it, which can
-undo a neighbour only by a merge of a later rank, and so on; the longest such chain is the sufficient lookahead. Tokens
-that end further back than that are stable and are emitted.
+A text passes through two machines that each hold a bounded buffer: the splitter into pieces (words, numbers, marks,
+white space) and the merger of a piece's bytes into tokens. The merge list bounds how far to the left a byte can still
+change tokens: a merge that a later byte wins by an earlier rank frees what lies left of it, which can undo a neighbour
+only by a merge of a later rank, and so on; the longest such chain is the sufficient lookahead. Tokens that end further
+back than that are stable and are emitted. The end of a piece is a forced boundary, where the merger empties its buffer.
+
+Every piece of every text goes through the merger. What it said of short runs of characters is remembered, so a word that
+comes again is looked up; a piece that has not ended at the end of a chunk stays open in the merger until it does.
 """
 
 from __future__ import annotations
@@ -16,15 +19,17 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticeloom.llm.common import binary
 
 #: Characters that the splitter is fed at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 #: Pieces whose tokens a worker remembers; the memory starts anew when it is full.
 REMEMBERED = 400_000
 
@@ -51,14 +56,35 @@ def category_class(letter: str) -> str:
 
 
 #: White space as Unicode defines it; Python's own class also has the separators 1C to 1F.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: What the machines take for granted of a tokenizer's file, by section; a file that says otherwise is refused.
+ASSUMED = {
+    "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True},
+    "model": {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+    "decoder": {"type": "ByteLevel"},
+}
+
+
+def _checked(made: dict) -> dict:
+    """The file's content, if it is a byte-level BPE that these machines read as the library does."""
+    for section, wanted in ASSUMED.items():
+        told = made.get(section) or {}
+        for name, value in wanted.items():
+            if (told.get(name, value) or None) != (value or None):
+                raise ValueError(f"unsupported tokenizer: {section}.{name} is {told[name]!r}, not {value!r}")
+    if made.get("normalizer") is not None:
+        raise ValueError("unsupported tokenizer: it has a normalizer")
+    for token in made.get("added_tokens", []):
+        if token.get("single_word") or token.get("lstrip") or token.get("rstrip"):
+            raise ValueError(f"unsupported added token: {token['content']!r}")
+    return made
 
 
 class Vocabulary:
     """The merge list and the tables that follow from it."""
 
     def __init__(self, content: str, letters: str, numbers: str):
-        made = json.loads(content)
+        made = _checked(json.loads(content))
         model, chars = made["model"], byte_characters()
         raw = {t: bytes(chars[c] for c in t) for t in model["vocab"]}
         self.ids = {raw[t]: i for t, i in model["vocab"].items() if raw.get(t) is not None}
@@ -138,7 +164,7 @@ class Vocabulary:
 class PieceTransducer:
     """Bytes of one piece in, tokens out as soon as they are stable. It holds the sufficient lookahead and one block."""
 
-    BLOCK = 4096
+    BLOCK = 256
 
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.held = vocabulary, b""
@@ -159,6 +185,11 @@ class PieceTransducer:
         tokens, self.held = self.v.merge(self.held) if self.held else [], b""
         yield from tokens
 
+    def whole(self, piece: bytes) -> Iterator[bytes]:
+        """The tokens of a piece whose end is known."""
+        yield from self.feed(piece)
+        yield from self.finish()
+
 
 class Encoder:
     """A text in parts in, the ids as little-endian unsigned 32-bit numbers out."""
@@ -169,7 +200,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.held, self.open = vocabulary, "", None
         code = vocabulary.ids
-        merge, packed = vocabulary.merge, {t: i.to_bytes(4, "little") for t, i in code.items()}
+        machine, packed = PieceTransducer(vocabulary), {t: i.to_bytes(4, "little") for t, i in code.items()}
 
         find = vocabulary.splitter.findall
 
@@ -179,7 +210,7 @@ class Encoder:
             lead = ""
 
             def __missing__(self, run: str) -> bytes:
-                made = b"".join([packed[t] for piece in find(self.lead + run) for t in merge(piece.encode())])
+                made = b"".join([packed[t] for piece in find(self.lead + run) for t in machine.whole(piece.encode())])
                 if len(self) >= REMEMBERED:
                     self.clear()
                 if len(run) < 64:
@@ -196,18 +227,27 @@ class Encoder:
         self.kinds = [re.compile(x) for x in (f"[{letters}]*", f"[{numbers}]*", f"[^{SPACE}{letters}{numbers}]*")]
         #: White space but single blanks and line ends between words.
         self.odd = re.compile(f"[{SPACE.replace(r'\t-\r ', r'\t\v-\r')}]|[ \n][ \n]|^[ \n]|[ \n]$")
+        self.ends = re.compile(f"[^{SPACE}] ")
         self.guard = max(map(len, vocabulary.special), default=1) - 1
 
     def feed(self, more: str) -> bytes:
         """Ids that no further text can change."""
         self.held += more
-        if len(self.held) < CHUNK:
-            return b""
         return self._take(last=False)
 
-    def finish(self) -> bytes:
+    def finish(self, more: str = "") -> bytes:
+        """The ids that are left, of more text too, at the end of which the next text can begin."""
+        self.held += more
         return self._take(last=True)
 
+    def text(self, text: str) -> Iterator[bytes]:
+        """The ids of a whole text, a chunk of it at a time."""
+        at = 0
+        while len(text) - at > CHUNK:
+            yield self.feed(text[at : at + CHUNK])
+            at += CHUNK
+        yield self.finish(text[at:])
+
     def _take(self, last: bool) -> bytes:
         out, marks = [], self.v.marks
         text, at = self.held, 0
@@ -238,15 +278,18 @@ class Encoder:
             out += [self.packed[t] for t in machine.finish()]
             self.open, text = None, text[sure:]
         if last:
-            out.append(self._plain(text) if self.odd.search(text) is None else b"".join(map(get, find.findall(text))))
+            out.append(self._whole(text))
             return b"".join(out)
+        sure = self._boundary(text)
+        out.append(self._whole(text[:sure]))
+        text = text[sure:]
         pieces = [m.span() for m in find.finditer(text)]
         final = len(text) - self.MARGIN
         while pieces and pieces[-1][1] > final:
             pieces.pop()
         out += [get(text[a:b]) for a, b in pieces]
         rest = text[pieces[-1][1] :] if pieces else text
-        if len(rest) > CHUNK // 2 and (kind := self._endless(rest)) is not None:
+        if len(rest) > self.v.lookahead + self.MARGIN and (kind := self._endless(rest)) is not None:
             machine = PieceTransducer(self.v)
             sure = len(rest) - self.MARGIN
             out += [self.packed[t] for t in machine.feed(rest[:sure].encode())]
@@ -254,6 +297,23 @@ class Encoder:
         self.held = rest
         return b"".join(out)
 
+    def _whole(self, text: str) -> bytes:
+        """The ids of text that ends where a piece does."""
+        if self.odd.search(text) is None:
+            return self._plain(text)
+        return b"".join(map(self.memory.__getitem__, self.v.splitter.findall(text)))
+
+    def _boundary(self, text: str) -> int:
+        """The last place of a blank after anything but white space, where a piece ends whatever follows; 0 without one."""
+        found = 0
+        for at in range(len(text), 0, -STEP):  # from the end, so that a long text is not read whole
+            begin = max(0, at - STEP)
+            for m in self.ends.finditer(text[begin : at + 1]):
+                found = begin + m.end() - 1
+            if found:
+                break
+        return found
+
     def _plain(self, text: str) -> bytes:
         """The same for words between single blanks and line ends: no piece crosses a blank, so each word's ids are looked up."""
         out, first, rest = [], self.memory.__getitem__, self.spaced.__getitem__
@@ -279,7 +339,8 @@ class Decoder:
         self.table, self.machine = vocabulary.of_id, codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids) -> str:
-        return self.machine.decode(b"".join(map(self.table.__getitem__, ids)))
+        """What ids complete. Ids that the vocabulary does not have, and nulls, stand for nothing, as in the library."""
+        return self.machine.decode(b"".join(map(self.table.get, ids, repeat(b""))))
 
     def finish(self) -> str:
         return self.machine.decode(b"", True)
@@ -300,16 +361,14 @@ def encode_digest(encoder: Encoder, raw: bytes) -> tuple[int, str, str]:
             back.update(decoder.feed(memoryview(got[at : at + 4 * STEP]).cast("I")).encode())
         return len(got) // 4
 
-    for at in range(0, len(text), CHUNK):
-        n += take(encoder.feed(text[at : at + CHUNK]))
-    n += take(encoder.finish())
+    for got in encoder.text(text):
+        n += take(got)
     back.update(decoder.finish().encode())
     return n, ids.hexdigest(), back.hexdigest()
 
 
 def encode_ids(encoder: Encoder, raw: bytes) -> bytes:
-    text = raw.decode()
-    return b"".join([encoder.feed(text[at : at + CHUNK]) for at in range(0, len(text), CHUNK)] + [encoder.finish()])
+    return b"".join(encoder.text(raw.decode()))
 
 
 def vocabulary_parts(path: str) -> dict:
@@ -348,8 +407,13 @@ def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
 
 
 def bpe_tokens(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id and tokens (array of int) of every row of docs; a null text has no tokens."""
+    """Every row of docs with all its columns and tokens (array of int) added; a null text has no tokens.
+
+    A column tokens that docs has already is replaced.
+    """
     content = _vocabulary(docs, path)
+    names = [c for c in docs.columns if c != "tokens"]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -359,14 +423,18 @@ def bpe_tokens(docs: DataFrame, path: str) -> DataFrame:
             made = [encode_ids(encoder, raw or b"") for raw in binary(batch.column("text"))]
             ends = np.cumsum([0, *(len(x) // 4 for x in made)]).astype("int32")
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(made), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), tokens], ["doc_id", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), tokens], ["row", "tokens"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, tokens array<int>")
+    schema = T.StructType([rows.schema["row"], T.StructField("tokens", T.ArrayType(T.IntegerType()))])
+    made = rows.mapInArrow(encode, schema)
+    return made.select("row.*", F.col("tokens").alias("__tokens")).select(*(F.col(f"`{c}`") for c in names), F.col("__tokens").alias("tokens"))
 
 
 def bpe_text(tokens: DataFrame, path: str) -> DataFrame:
-    """doc_id and text of every row of tokens (doc_id, tokens): the inverse of bpe_tokens. Null tokens are none."""
+    """doc_id and text of every row of tokens (doc_id, tokens): the inverse of bpe_tokens.
+
+    Null tokens are none. Ids that the vocabulary does not have, and nulls among the ids, stand for nothing.
+    """
     content = _vocabulary(tokens, path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

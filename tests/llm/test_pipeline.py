@@ -57,4 +57,25 @@ def test_stages(spark, sf):
     library = pytest.importorskip("tokenizers").Tokenizer.from_file(vocabulary_path())
     want = sorted((r["doc_id"], len(library.encode(r["text"], add_special_tokens=False).ids)) for r in seen["pareto_mix"])
     assert sorted((r["doc_id"], r["n_tokens"]) for r in seen["bpe"]) == want
+    for r in seen["bpe"]:
+        assert r["tokens"] == library.encode(r["text"], add_special_tokens=False).ids
+    assert list(seen["bpe"][0].asDict()) == [*docs.columns, "tokens", "n_tokens"]
     assert corpus_pipeline.run(spark, sf).count() == len(want)
+
+
+ROWS = "doc_id long, text string, lang string, source string, n_chars long, row int, tokens string, size int, `rank` int, quality double, cuts int"
+
+
+@pytest.mark.parametrize("rows", [0, 1, 40])
+def test_edges_through_all_stages(spark, sf, rows):
+    """Empty tables, nulls in every column, repeated rows and extra columns whose names the operators use themselves."""
+    text = "\n".join(f"The {w} report of the week was read by many people in the small town near the river." for w in "first second third fourth fifth".split())
+    data = [(None,) * 11, (5, "", "en", "a", 0, 1, "t", 2, 3, 0.5, 4)] + [(7, text, None, "b", len(text), 1, "t", 2, 3, 0.5, 4)] * 3
+    data += [(10 + i, f"{text}\nNumber {i} has a line of its own about the topic {i * i}.", "en", None if i % 3 else "a", None, i, None, i, i, None, i) for i in range(rows)]
+    frame = spark.createDataFrame(data[: rows and len(data)], ROWS)
+    columns = frame.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        frame = stage(spark, frame, sf)
+        frame = spark.createDataFrame(frame.collect(), frame.schema)
+        assert frame.columns == (columns if i < 4 else [c for c in columns if c != "tokens"] + ["tokens", "n_tokens"])
+    assert all(r["text"] for r in frame.collect())
