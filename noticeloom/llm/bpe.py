@@ -167,12 +167,12 @@ class PieceTransducer:
     BLOCK = 256
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.held = vocabulary, b""
+        self.v, self.held, self.room = vocabulary, b"", self.BLOCK + vocabulary.lookahead
 
     def feed(self, more: bytes) -> Iterator[bytes]:
         for at in range(0, len(more), self.BLOCK):
             self.held += more[at : at + self.BLOCK]
-            if len(self.held) >= self.BLOCK + self.v.lookahead:
+            if len(self.held) >= self.room:
                 stable, tokens, done = len(self.held) - self.v.lookahead, self.v.merge(self.held), 0
                 for t in tokens:
                     if done + len(t) > stable:
@@ -185,10 +185,11 @@ class PieceTransducer:
         tokens, self.held = self.v.merge(self.held) if self.held else [], b""
         yield from tokens
 
-    def whole(self, piece: bytes) -> Iterator[bytes]:
-        """The tokens of a piece whose end is known."""
-        yield from self.feed(piece)
-        yield from self.finish()
+    def whole(self, piece: bytes) -> list[bytes]:
+        """The tokens of a piece whose end is known; one that fits the buffer is all merged when it ends."""
+        if len(piece) < self.room:
+            return self.v.merge(piece)
+        return [*self.feed(piece), *self.finish()]
 
 
 class Encoder:
