@@ -1,10 +1,12 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Every source gets a target of words. Whole copies of all its documents are certain; what remains of the target is
-filled by one further copy of some documents. For it each document has an inclusion probability p and a fixed random
-number u, and documents are taken by ascending (u / (1 - u)) / (p / (1 - p)) until the remainder is full: Pareto order
-sampling with the sample's size fixed in words. The order is cut by two rounds of histograms, so no task ever sorts a
-source; only the rows of one bin in a million are compared one by one.
+filled by one further copy of some documents. For it each document has an inclusion probability p, which grows with its
+length; in each source the sum of p times size is the remainder. Each document has a fixed random number u, and
+documents are taken by ascending (u / (1 - u)) / (p / (1 - p)) until the remainder is full:
+Pareto order sampling with the sample's size fixed in words. The order is cut by two rounds of histograms, so no task
+ever sorts a source; only the rows of one bin in a million are compared one by one. The order ends about one document
+short of the remainder, and up to three documents that fit the gap close it: no order alone can meet a target in words.
 """
 
 from __future__ import annotations
@@ -23,21 +25,24 @@ BROADCAST_SOURCES = 10_000
 BINS = 1024
 #: Documents per source that may be taken out of order to close the gap which the last one in order leaves.
 CLOSINGS = 3
+#: How far inclusion probabilities are spread, of what keeps them between 0 and 1.
+SPREAD = 0.9
 
 
 def word_count(text: str = "text") -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long")
 
 
-def source_targets(sizes: DataFrame, scratch: Scratch, weights: Sequence[float], cap: float) -> DataFrame:
-    """A row per source: source, source_size, weight, target.
+def source_targets(sizes: DataFrame, scratch: Scratch, weights: Sequence[float], cap: float, half: float) -> DataFrame:
+    """A row per source: source, source_size, mean (preference by size), usual (size of a document), weight, target.
 
     Sources in code point order, null last, get the weights in turn; the targets share the sum of all sizes, none is
     above cap times its source, and what a cap cuts off goes to the others by weight.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("i") % len(weights) + 1)
-    table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    preferred = F.sum(F.col("size") * preference(F.col("size"), half))
+    table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.coalesce(preferred / F.nullif(F.sum("size"), F.lit(0)), F.lit(0.0)).alias("mean"), F.avg(F.nullif("size", F.lit(0))).alias("usual"))
     table = table.withColumn("i", (F.row_number().over(order) - 1).cast("int")).withColumn("weight", weight)
     table = scratch.keep(table, "sources")
     # The targets are min(weight * level, cap * size); the level rises until the targets share everything.
@@ -56,12 +61,23 @@ def source_targets(sizes: DataFrame, scratch: Scratch, weights: Sequence[float],
     return table.withColumn("target", F.least(F.col("weight") * level, cap * F.col("source_size")).cast("double"))
 
 
-def _rank(share: Column, size: Column, u: Column, half: float) -> Column:
-    """The Pareto rank as r / (1 + r), in (0, 1). The odds of inclusion grow with a document's length and level off."""
-    prefer = size / (size + half)
-    p = share * prefer / (1 - share + share * prefer)
+def preference(size: Column, half: float) -> Column:
+    """Grows with a document's length and levels off below 1."""
+    return size / (size + half)
+
+
+def inclusion(share: Column, size: Column, mean: Column, half: float) -> Column:
+    """p of a document, from 0 to 1: the share of its source that is still to be taken, moved by how its preference differs from the mean.
+
+    mean is the source's preference weighted by sizes, so the sum of p times size is share times the source's size: the remainder.
+    """
+    return share + SPREAD * F.least(share, 1 - share) * (preference(size, half) - mean)
+
+
+def _rank(p: Column, size: Column, u: Column) -> Column:
+    """The Pareto rank, random odds by inclusion odds, as r / (1 + r), in (0, 1)."""
     r = (u / (1 - u)) * ((1 - p) / p)
-    return F.when((share > 0) & (size > 0), r / (1 + r)).otherwise(F.lit(1.0))
+    return F.when((p > 0) & (size > 0), r / (1 + r)).otherwise(F.lit(1.0))
 
 
 class Mix:
@@ -75,14 +91,15 @@ class Mix:
         self.cap, self.seed, self.half = cap, seed, half
         spark = sizes.sparkSession
         scratch = Scratch(spark)
-        plan = source_targets(sizes, scratch, weights, cap)
+        plan = source_targets(sizes, scratch, weights, cap, half)
         whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(cap))).otherwise(0)
         plan = plan.withColumn("whole", whole.cast("long")).withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
         plan = plan.withColumn("share", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0))
+        plan = plan.withColumn("goal", F.greatest(F.col("rest") - F.coalesce("usual", F.lit(0.0)), F.lit(0.0)))
         plan = scratch.keep(plan, "plan")
         self.few = plan.count() <= BROADCAST_SOURCES
         ranked = self._ranked(sizes, plan).filter("size > 0 and rest > 0")
-        ranked = scratch.keep(ranked.select("source", "doc_id", "digest", "size", "rank", "rest"), "ranked")
+        ranked = scratch.keep(ranked.select("source", "doc_id", "digest", "size", "rank", "rest", "goal"), "ranked")
         cut = self._cut(ranked, plan, scratch)
         self.plan = self._closed(ranked, scratch.keep(cut, "cut"), scratch)
 
@@ -90,7 +107,7 @@ class Mix:
         u = uniform("doc_id", "digest", seed=self.seed)
         side = plan.withColumnRenamed("source", "s0")
         joined = docs.join(F.broadcast(side) if self.few else side, F.col("source").eqNullSafe(F.col("s0"))).drop("s0")
-        return joined.withColumn("rank", _rank(F.col("share"), F.col("size"), u, self.half))
+        return joined.withColumn("rank", _rank(inclusion(F.col("share"), F.col("size"), F.col("mean"), self.half), F.col("size"), u))
 
     def _cut(self, ranked: DataFrame, plan: DataFrame, scratch: Scratch) -> DataFrame:
         """For every source the last row in the order that still fits: bins first, then the rows of one bin."""
@@ -100,13 +117,13 @@ class Mix:
         for depth in (1, 2):
             scale = float(BINS**depth)
             rows = rows.withColumn("bin", F.least(F.floor(F.col("rank") * scale), F.lit(int(scale) - 1)).cast("long"))
-            bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+            bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("goal").alias("goal"))
             prior = before.select(F.col("source").alias("s0"), F.col("taken").alias("base"))
             bins = bins.join(F.broadcast(prior) if self.few else prior, F.col("source").eqNullSafe(F.col("s0"))).drop("s0")
             run = F.col("base") + F.sum("words").over(by_source.orderBy("bin"))
             bins = bins.withColumn("upto", run)
             # The bin where the remainder is passed, or the last one where it never is.
-            passed = F.min(F.when(F.col("upto") > F.col("rest"), F.struct("bin", (F.col("upto") - F.col("words")).alias("taken"))))
+            passed = F.min(F.when(F.col("upto") > F.col("goal"), F.struct("bin", (F.col("upto") - F.col("words")).alias("taken"))))
             last = F.max(F.struct("bin", (F.col("upto") - F.col("words")).alias("taken")))
             before = bins.groupBy("source").agg(F.coalesce(passed, last).alias("at")).select("source", "at.taken", "at.bin")
             before = scratch.keep(before, f"bin{depth}")
@@ -116,7 +133,7 @@ class Mix:
         base = before.select(F.col("source").alias("s0"), "taken", F.col("bin").alias("floor"))
         upto = F.col("taken") + F.sum("size").over(by_source.orderBy("rank", "doc_id", "digest").rangeBetween(Window.unboundedPreceding, 0))
         last = rows.join(F.broadcast(base) if self.few else base, F.col("source").eqNullSafe(F.col("s0"))).withColumn("upto", upto)
-        last = last.filter("upto <= rest").groupBy(F.col("source").alias("s1")).agg(F.max(key).alias("limit"), F.max("upto").alias("upto"))
+        last = last.filter("upto <= goal").groupBy(F.col("source").alias("s1")).agg(F.max(key).alias("limit"), F.max("upto").alias("upto"))
         edge = plan.join(base, F.col("source").eqNullSafe(F.col("s0")), "left").drop("s0").join(last, F.col("source").eqNullSafe(F.col("s1")), "left").drop("s1")
         gap = F.col("rest") - F.coalesce("upto", "taken", F.lit(0.0))
         return edge.withColumn("gap", gap).withColumn("floor", F.coalesce(F.col("floor"), F.lit(0))).drop("taken", "upto")
@@ -129,14 +146,17 @@ class Mix:
         return F.coalesce((F.col("rest") > 0) & (F.col("rank") < 1) & (below | within | closing), F.lit(False))
 
     def _closed(self, ranked: DataFrame, cut: DataFrame, scratch: Scratch) -> DataFrame:
-        """Adds the closing documents: of those not yet taken, one after the other, whichever fits the source's last gap best."""
+        """Adds the closing documents: of those not yet taken, one after the other, whichever fits the source's last gap, or half of it, best."""
         kind = ranked.select(F.struct("rank", "doc_id", "digest").alias("key")).schema["key"].dataType
         cut = cut.withColumn("closing", F.array().cast(T.ArrayType(kind)))
         for turn in range(CLOSINGS):
             side = cut.select(F.col("source").alias("s0"), "floor", "limit", "gap", "closing")
             left = ranked.join(F.broadcast(side) if self.few else side, F.col("source").eqNullSafe(F.col("s0"))).drop("s0")
             left = left.filter(~self._in() & (F.abs(F.col("size") - F.col("gap")) < F.col("gap")))
-            best = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "rank", "doc_id", "digest", "size"))
+            whole, half = F.abs(F.col("size") - F.col("gap")), F.abs(F.col("size") - F.col("gap") / 2)
+            # One that fits all of the gap; else one of half of it, so that another can fit the rest.
+            fits = (whole <= 1 + F.col("gap") / 50) | F.lit(turn == CLOSINGS - 1)
+            best = F.min(F.struct((~fits).alias("unfit"), F.when(fits, whole).otherwise(half).alias("off"), "rank", "doc_id", "digest", "size"))
             best = left.groupBy(F.col("source").alias("s0")).agg(best.alias("best"))
             cut = cut.join(best, F.col("source").eqNullSafe(F.col("s0")), "left").drop("s0")
             cut = cut.withColumn("gap", F.col("gap") - F.coalesce("best.size", F.lit(0)))

@@ -4,6 +4,7 @@ import re
 
 import pytest
 from noticeloom.llm import mixing
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, source string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,3 +79,36 @@ def test_rows_repeat_with_all_columns(spark):
 def test_repeated_rows_share_a_fate(spark):
     docs = spark.createDataFrame([(1, "a b c", "x")] * 5 + [(2, "d " * 50, "y")], DOCS)
     assert len({r["taken"] for r in mixing.mix_copies(docs).filter("doc_id = 1").collect()}) == 1
+
+
+def test_inclusion_follows_its_probabilities(spark):
+    """The sum of p times size is each source's remainder, and over 80 sources alike each document is taken as often as its p says."""
+    import numpy as np
+
+    lengths, alike = np.array([3 + 7 * j % 211 for j in range(40)]), 80
+    rows = [(i * 100 + j, int(n), f"s{i:03d}") for i in range(2 * alike) for j, n in enumerate(lengths)]
+    docs = spark.createDataFrame(rows, "doc_id long, size long, source string").withColumn("digest", F.col("doc_id"))
+    mix = mixing.Mix(docs, weights=(1, 2))
+    made = mix.apply(docs).withColumn("p", mixing.inclusion(F.col("share"), F.col("size"), F.col("mean"), mix.half))
+    rows = made.select("doc_id", "source", "size", "copies", "whole", "p", "rest", "target").collect()
+    for turn in (0, 1):
+        of = [r for r in rows if int(r["source"][1:]) % 2 == turn]
+        p, taken = {r["doc_id"] % 100: r["p"] for r in of}, np.zeros(len(lengths))
+        assert sum(p[j] * n for j, n in enumerate(lengths)) == pytest.approx(of[0]["rest"])
+        assert 0 < min(p.values()) < max(p.values()) < 1
+        for r in of:
+            taken[r["doc_id"] % 100] += (r["copies"] - r["whole"]) / alike
+        p = np.array([p[j] for j in range(len(lengths))])
+        assert (np.abs(taken - p) < 4 * np.sqrt(p * (1 - p) / alike) + 0.02).all()
+        assert abs((taken - p).mean()) < 0.02
+    words = {}
+    for r in rows:
+        words[r["source"]] = words.get(r["source"], 0) + r["copies"] * r["size"]
+    assert all(abs(words[r["source"]] - r["target"]) <= lengths.max() for r in rows)
+
+
+def test_ties_at_the_cut(spark):
+    """A block of equal rows is one document listed many times: all of it is taken or none, so the target is missed by a block at most."""
+    docs = spark.createDataFrame([(1, "a b c d", "x")] * 40 + [(2, "e f g h", "x")] * 40 + [(3, "g " * 300, "y")], DOCS)
+    taken, told = check(mixing.mix_copies(docs, weights=(1, 2)).collect(), range(81))
+    assert abs(taken["x"] - told["x"][1]) <= 160 and taken["x"] % 160 == 0
