@@ -7,10 +7,12 @@ discounts left. A text is read once from left to right: a token is tried in the
 weights added until an arc carries the token, and the arc's target is the next state.
 
 Every word and every n-gram of the training rows is kept, so the model grows with the corpus and no process holds it
-whole. Texts are cut into blocks; a block's n-grams are counted there and sent, by their histories, to buckets whose number
-follows the corpus. A bucket holds all arcs of its histories; it adds the counts up and answers each block with the arcs
-that the block asked for. Failure arcs are followed from the longest history, so a token's probability is built from the
-unigram upwards. Words are known by 64 bits of BLAKE2b, histories by 64 bits mixed from these, the word after one by 32.
+whole. Texts are cut into blocks; a block's distinct n-grams are counted there and sent, by their hashes, to buckets whose
+number follows the corpus. A bucket adds the counts up and answers each block with those that it asked for. The arcs of one
+history lie in many buckets, so a history before a third of all words is no hot group: a state needs only its own count,
+which it has as an n-gram of one size less, and how many kinds of arcs it has, which the buckets tell each other. Failure
+arcs are followed from the longest history, so a token's probability is built from the unigram upwards. Words are known
+by 64 bits of BLAKE2b, histories by 64 bits mixed from these, the word after one by 32.
 
 Automaton is the same model in one process, for a corpus that fits there.
 """
@@ -22,7 +24,7 @@ import hashlib
 import math
 import time
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -39,8 +41,8 @@ HEAD = 0.0
 DISCOUNT = 0.75
 #: The token at a text's end; no word holds a line end.
 END = b"\n"
-#: Tokens of a block of texts, and of the training texts for each bucket of histories.
-BLOCK, BUCKET = 1 << 20, 1 << 21
+#: Tokens of a block of texts, and of the training texts for each bucket of n-grams.
+BLOCK, BUCKET = 1 << 20, 1 << 20
 
 
 def tokens(raw: bytes) -> list[bytes]:
@@ -266,37 +268,54 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _after(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of each n-gram: of its history's, and 32 bits of its last word."""
+    return _mix(history + (word.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
 class Block:
     """A block's n-grams: the distinct ones in order of (history, word), and where each token's stands among them."""
 
     def __init__(self, row: dict):
         words = np.frombuffer(row["words"], np.uint64)
         self.sizes, self.held = np.array(row["sizes"], np.int64), np.array(row["held"], bool)
-        places = _unpack(row["places"], np.int32)
-        starts = np.cumsum(self.sizes) - self.sizes
-        self.word = words[np.insert(places, starts, 0)]  # before a text's first token stands the end of none
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.token = np.arange(len(places)) + doc + 1  # each token in word
-        self.depth = np.arange(len(places)) - starts[doc] + 1  # words before it
-        self.doc, self.learned = doc, ~self.held[doc]
+        self.word = words[_unpack(row["places"], np.int32)]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.depth = np.arange(len(self.word)) - self.starts[self.doc] + 1  # words before a token, the end of none among them
+        self.learned, self.end = ~self.held[self.doc], _mix(words[:1])[0]
+
+    def before(self, each: np.ndarray, start: np.generic) -> np.ndarray:
+        """What each token's predecessor has; start: what the end of none has, which stands before a text's first token."""
+        out = np.empty_like(each)
+        out[1:] = each[:-1]
+        out[self.starts] = start
+        return out
 
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Histories, words and training counts of the distinct n-grams; the tokens that have one, and which."""
-        at = np.flatnonzero(self.depth >= size - 1)
-        token = self.token[at]
-        if size == 1:
-            history, word = _mix(self.word[token]), np.zeros(len(at), np.uint32)
-        else:
-            history, word = np.zeros(len(at), np.uint64), (self.word[token] >> np.uint64(32)).astype(np.uint32)
-            for back in range(1, size):
-                history = _mix(history + self.word[token - back] * np.uint64(0x9E3779B97F4A7C15))
+        at, history, word = np.arange(len(self.word)), _mix(self.word), np.zeros(len(self.word), np.uint32)
+        last = (self.word >> np.uint64(32)).astype(np.uint32)
+        for back in range(2, size + 1):
+            history, word = self.before(history if back == 2 else _after(history, word), self.end), last
+        if size > 2:  # before a text's first tokens there are too few
+            at = np.flatnonzero(self.depth >= size - 1)
+            history, word = history[at], word[at]
         history, word, gram, where = _distinct(history, word)
-        n = np.bincount(gram, self.learned[at][where], len(history)).astype(np.int64)
+        n = np.bincount(gram, self.learned[at][where], len(history)).astype(np.int32)
         which = np.empty(len(at), np.int64)
         which[where] = gram
         return history, word, n, at, which
 
 
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+
+
+def _keys(history: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
+    return history if size == 1 else _after(history, word)
+
+
 def _distinct(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct pairs in order, the pair of each entry in that order, and the order."""
     by = np.argsort(history)  # two sorts of plain numbers take a third of lexsort's time
@@ -321,15 +340,17 @@ def _unpack(raw: bytes, kind: type) -> np.ndarray:
 
 
 def _asked(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
-    """size, bucket, block, histories, words, n: the n-grams of a size in each block for each bucket, a range of histories."""
+    """size, bucket, block, histories, words, n: the n-grams of a size in each block for each bucket, a range of their hashes."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 history, word, n, _, _ = Block(row).grams(size)
-                bucket = ((history >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-                held, starts = np.unique(bucket, return_index=True)
+                bucket = _bucket(_keys(history, word, size), buckets)
+                order = np.argsort(bucket, kind="stable")
+                history, word, n = history[order], word[order], n[order]
+                held, starts = np.unique(bucket[order], return_index=True)
                 ends = np.append(starts, len(history))[1:]
                 parts = [(_pack(np.diff(history[a:b], prepend=np.uint64(0))), _pack(word[a:b]), _pack(n[a:b])) for a, b in zip(starts, ends)]
                 columns = [pa.array(np.full(len(held), size, np.int32)), pa.array(held.astype(np.int64)), pa.array([row["block"]] * len(held), pa.int64())]
@@ -339,23 +360,54 @@ def _asked(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
     return blocks.mapInArrow(ask, "size int, bucket bigint, block bigint, histories binary, words binary, n binary")
 
 
-def _answer(asked: pa.Table) -> pa.Table:
-    """For each block's n-grams in one bucket: their counts, and how many tokens and kinds of tokens follow their histories."""
-    parts = [(np.cumsum(_unpack(h, np.uint64), dtype=np.uint64), _unpack(w, np.uint32), _unpack(n, np.int64)) for h, w, n in zip(*(asked.column(c).to_pylist() for c in ("histories", "words", "n")))]
-    history, word, n = (np.concatenate(x) for x in zip(*parts))
-    h, _, gram, where = _distinct(history, word)
-    count = np.add.reduceat(n[where], np.flatnonzero(np.diff(gram, prepend=-1)))
-    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-    kinds_each = np.diff(np.append(first, len(h)))
-    tokens_after = np.repeat(np.add.reduceat(count, first), kinds_each)
-    kinds_after = np.repeat(np.add.reduceat((count > 0).astype(np.int64), first), kinds_each)
-    mine = np.empty(len(n), np.int64)
-    mine[where] = gram
-    ends = np.cumsum([len(p[2]) for p in parts])
-    rows = [mine[e - len(p[2]) : e] for e, p in zip(ends, parts)]
-    kinds = [int((count > 0).sum())] + [0] * (len(parts) - 1)
-    columns = [pa.array([_pack(x[r]) for r in rows], pa.binary()) for x in (count, tokens_after, kinds_after)]
-    return pa.table([*(asked.column(c) for c in ("size", "bucket", "block")), pa.array(kinds, pa.int64()), *columns], ["size", "bucket", "block", "kinds", "n", "after", "kinds_after"])
+#: Answers of a bucket: kinds is the bucket's distinct n-grams, told once. Rows without a block carry, to the bucket of a
+#: size less, histories in n and how many kinds of tokens follow them here in after.
+ANSWER = "size int, bucket bigint, block bigint, kinds bigint, n binary, after binary"
+
+
+def _answer(asked: pa.Table, kinds: pa.Table | None, size: int, buckets: int) -> pa.Table:
+    """For each block's n-grams in one bucket, how often they occur and how many kinds of tokens follow them.
+
+    kinds: the counts of kinds that the buckets of one size more have for the n-grams here as histories.
+    """
+    parts = [(np.cumsum(_unpack(h, np.uint64), dtype=np.uint64), _unpack(w, np.uint32), _unpack(n, np.int32)) for h, w, n in zip(*(asked.column(c).to_pylist() for c in ("histories", "words", "n")))]
+    rows: list[tuple] = []
+    if parts:
+        history, word, n = (np.concatenate(x) for x in zip(*parts))
+        h, w, gram, where = _distinct(history, word)
+        count = np.add.reduceat(n[where], np.flatnonzero(np.diff(gram, prepend=-1)), dtype=np.int64)
+        after = np.zeros(len(h), np.int32)
+        if kinds is not None and kinds.num_rows:
+            keys = np.concatenate([np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in kinds.column("n").to_pylist()])
+            told = np.concatenate([_unpack(x, np.int32) for x in kinds.column("after").to_pylist()])
+            mine = _keys(h, w, size)
+            order = np.argsort(mine)
+            np.add.at(after, order[np.searchsorted(mine, keys, sorter=order)], told)
+        place = np.empty(len(n), np.int64)
+        place[where] = gram
+        ends = np.cumsum([len(p[2]) for p in parts])
+        whole = int((count > 0).sum())
+        for block, bucket, e, p in zip(asked.column("block").to_pylist(), asked.column("bucket").to_pylist(), ends, parts):
+            x = place[e - len(p[2]) : e]
+            rows.append((size, bucket, block, whole, _pack(count[x]), _pack(after[x])))
+            whole = 0
+        if size > 1:
+            seen = h[count > 0]  # in order
+            first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])[: len(seen)])
+            many = np.diff(np.append(first, len(seen))).astype(np.int32)
+            seen = seen[first]
+            held, starts = np.unique(_bucket(seen, buckets), return_index=True)
+            for bucket, a, b in zip(held.tolist(), starts, np.append(starts, len(seen))[1:]):
+                rows.append((size - 1, bucket, -1, 0, _pack(np.diff(seen[a:b], prepend=np.uint64(0))), _pack(many[a:b])))
+    kinds_of = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds_of)], ["size", "bucket", "block", "kinds", "n", "after"])
+
+
+def _answering(size: int, buckets: int, alone: bool = False) -> Callable[..., pa.Table]:
+    """_answer as a function of the tables alone, whose number Spark reads off its parameters."""
+    if alone:
+        return lambda asked: _answer(asked, None, size, buckets)
+    return lambda asked, kinds: _answer(asked, kinds, size, buckets)
 
 
 def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:
@@ -368,41 +420,56 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER
     blocks = scratch.keep(_blocks(docs.select("doc_id", "text", (crc_fold(folds) == held).alias("held_out"))), "blocks")
     total = blocks.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
     texts = blocks.select("block", "held", "sizes", "places", "words")
-    answers = {}
-    for size in range(order, 0, -1):  # one after the other, so that what one has shuffled can go before the next
-        asked = _asked(texts, size, total // BUCKET + 1)
-        answers[size] = scratch.keep(asked.groupBy("bucket").applyInArrow(_answer, "size int, bucket bigint, block bigint, kinds bigint, n binary, after binary, kinds_after binary"), f"answers{size}")
+    answers, buckets, kinds = [], total // BUCKET + 1, None
+    for size in range(order, 0, -1):  # the longest first, whose histories are n-grams of the next; what one has shuffled can then go
+        asked = _asked(texts, size, buckets).groupBy("bucket")
+        if kinds is None:
+            made = asked.applyInArrow(_answering(size, buckets, alone=True), ANSWER)
+        else:
+            made = asked.cogroup(kinds.groupBy("bucket")).applyInArrow(_answering(size, buckets), ANSWER)
+        made = scratch.keep(made, f"answers{size}")
+        answers.append(made.filter("block >= 0"))
+        kinds = made.filter("block < 0").select("bucket", "n", "after")
         del asked
         gc.collect()
         for _ in range(3):  # Spark deletes a shuffle's files when the driver, the listeners too, has forgotten it
             time.sleep(1)
             spark._jvm.System.gc()
-    kinds = answers[1].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    kinds = answers[-1].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
     shares = total + kinds + 1
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         block = Block(row)
         size_of, place_of = (np.array(right.column(c).to_pylist(), np.int64) for c in ("size", "bucket"))
-        p = base = known = None
+        p = base = known = lower_n = lower_kinds = None
         for size in range(1, order + 1):
-            mine = [i for i in np.argsort(place_of) if size_of[i] == size]
-            _, _, _, at, which = block.grams(size)
+            mine = [int(i) for i in np.argsort(place_of) if size_of[i] == size]
+            history, word, _, at, which = block.grams(size)
             if not len(at):
                 continue
-            n, after, kinds_after = (np.concatenate([_unpack(right.column(c)[int(i)].as_py(), np.int64) for i in mine])[which] for c in ("n", "after", "kinds_after"))
+            by = np.argsort(_bucket(_keys(history, word, size), buckets), kind="stable")
+            n, kinds_after = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+            n[by] = np.concatenate([_unpack(right.column("n")[i].as_py(), np.int64) for i in mine])
+            kinds_after[by] = np.concatenate([_unpack(right.column("after")[i].as_py(), np.int32) for i in mine])
+            here = n[which]
             if size == 1:
-                p, known = (n + 1) / shares, n > 0
+                p, known = (here + 1) / shares, here > 0
                 base = np.log10(p)
+                start = np.searchsorted(history, block.end)
+                lower_n, lower_kinds = block.before(here, n[start]), block.before(kinds_after[which], kinds_after[start])
                 continue
-            state = after > 0
-            at, n, after, kinds_after = at[state], n[state], after[state], kinds_after[state]
-            p[at] = np.maximum(n - DISCOUNT, 0) / after + DISCOUNT * kinds_after / after * p[at]
+            state = lower_n[at] > 0  # a history is followed as often as it occurs
+            t = at[state]
+            p[t] = (np.maximum(here[state] - DISCOUNT, 0) + DISCOUNT * lower_kinds[t] * p[t]) / lower_n[t]
+            full, many = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
+            full[at], many[at] = here, kinds_after[which]
+            lower_n, lower_kinds = block.before(full, 0), block.before(many, 0)
         add = lambda x: np.bincount(block.doc, x, len(block.sizes))
         columns = [left.column("doc_id").combine_chunks().flatten(), pa.array(block.held), pa.array(block.sizes), pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(add(np.log10(p)))]
         return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = reduce(DataFrame.unionByName, answers.values())
-    made = blocks.groupBy("block").cogroup(found.drop("kinds").groupBy("block")).applyInArrow(read, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    found = reduce(DataFrame.unionByName, answers).drop("kinds")
+    made = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(read, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return made.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
