@@ -11,18 +11,19 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import date, datetime
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 
 from noticeloom.functions.dates import BARE, SHAPES, TIME
-from noticeloom.functions.urls import DETAIL, LEAST_HEADLINE, NAVIGATION, PLAIN_PAGES, PLAIN_PREFIXES
+from noticeloom.functions.urls import CALL_TO_ACTION, DETAIL, LEAST_HEADLINE, NAVIGATION, PLAIN_PAGES, PLAIN_PREFIXES
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Elements that a new one of the same kind closes.
 CLOSES = {"li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 SCOPE = frozenset("ul ol table tbody thead div section article body html select dl".split())
-CALL_TO_ACTION = re.compile(r"(?i)^(?:read|learn|view|see|find\s+out)\s+more$|^(?:more|details?)$")
+ACTION = re.compile(CALL_TO_ACTION)
 #: strptime's formats for the shapes of dates, by the shapes' order.
 FORMATS = (("%b %d, %Y", "%B %d, %Y"), ("%d %b, %Y", "%d %B, %Y", "%d %b %Y", "%d %B %Y"), ("%m/%d/%Y",), ("%Y-%m-%d",))
 #: Where cards, their dates and detail pages' dates are found.
@@ -34,6 +35,13 @@ DATES_DETAIL = ("span.date", "p.date", "div.date", ".press-release-date", ".rele
 CATEGORIES = ("Sales Releases", "Earnings Releases", "Other Company Releases")
 
 
+@lru_cache(maxsize=256)
+def _selector(selector: str) -> tuple[str | None, ...]:
+    """What a selector asks of the parent, and the tag, class, id and part of a class that it asks of an element."""
+    up, own = (x.strip() for x in selector.rsplit(">", 1)) if ">" in selector else (None, selector)
+    return up, *re.fullmatch(r"([a-z0-9]*)(?:\.([\w-]+)|#([\w-]+)|\[class\*='([^']+)'\])?", own).groups()
+
+
 class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -135,11 +143,9 @@ class Page(HTMLParser):
 
     def matches(self, n: int, selector: str) -> bool:
         """tag, .class, #id, tag.class, [class*='x'], and "a > b" of these."""
-        if ">" in selector:
-            up, own = (x.strip() for x in selector.rsplit(">", 1))
-            return self.matches(n, own) and self.parent[n] >= 0 and self.matches(self.parent[n], up)
-        shape = re.fullmatch(r"([a-z0-9]*)(?:\.([\w-]+)|#([\w-]+)|\[class\*='([^']+)'\])?", selector)
-        tag, cls, name, part = shape.groups()
+        up, tag, cls, name, part = _selector(selector)
+        if up and not (self.parent[n] >= 0 and self.matches(self.parent[n], up)):
+            return False
         has = self.attrs[n].get("class", "")
         return (not tag or self.tag[n] == tag) and (not cls or cls in has.split()) and (not name or self.attrs[n].get("id") == name) and (not part or part in has)
 
@@ -336,7 +342,7 @@ def _card_title(page: Page, a: int, detail: Callable, own: str) -> str:
     told = [page.joined(h) for h in page.find(card, *HEADINGS)[:1]]
     told += [t for n in range(card + 1, page.end[card]) if re.search(r"(?i)title|headline", page.attrs[n].get("class", "")) and (t := page.joined(n)) != own]
     told += [t for n in range(card + 1, page.end[card]) if page.parent[n] == card and (t := page.joined(n)) != own and not find_short_date(t)[0] and not find_date(t)[0]]
-    return next((t for t in told if t and not CALL_TO_ACTION.match(t)), "")
+    return next((t for t in told if t and not ACTION.match(t)), "")
 
 
 def notified(page: Page, base: str, gated: bool = False, **_) -> Iterator[Item]:
@@ -347,7 +353,7 @@ def notified(page: Page, base: str, gated: bool = False, **_) -> Iterator[Item]:
         heading = page.find(a, *HEADINGS)[:1]
         if heading:
             title = page.joined(heading[0]) or title
-        elif not gated and (not title or CALL_TO_ACTION.match(title)):
+        elif not gated and (not title or ACTION.match(title)):
             title = _card_title(page, a, detail, title) or title
         title = title or _link_title(page, a)
         if not title:
@@ -544,6 +550,30 @@ def year_params(html: str | None, years: set[int] | None) -> list[tuple[str, str
     return _submitted(widget, (f"{widget['prefix']}_year[value]", want)) if want else []
 
 
+def first_table(html: str | None) -> list[dict[str, str]]:
+    """The rows of a page's first table by its headings; short rows lack their last cells, a page without one has no rows."""
+    page = Page(html or "")
+    tables = page.find(0, "table")
+    if not tables:
+        return []
+    lines = [[page.joined(c) for c in page.find(r, "td", "th") if next(page.above(c, 1, "tr")) == r] for r in page.find(tables[0], "tr") if next(page.above(r, 1, "table")) == tables[0]]
+    return [dict(zip(lines[0], line)) for line in lines[1:]] if lines else []
+
+
+#: What an address holds that may lead to releases, and how many of them are told.
+LEADS, TOLD = ("press-release", "news-release", "investor"), 40
+
+
+def empty_page_leads(html: str | None) -> list[tuple[str, str]]:
+    """Of a page without items, the first links that look as if they led to some: address and text, once each."""
+    page, seen = Page(html or ""), {}
+    for a in page.links():
+        href = page.href(a)
+        if href not in seen:
+            seen[href] = page.joined(a)[:80]
+    return [(h, t) for h, t in seen.items() if any(lead in h.lower() for lead in LEADS)][:TOLD]
+
+
 def details_segment(html: str) -> str | None:
     """The segment that most detail links of a page have; of equally frequent ones the first seen."""
     found = Counter(m.group(1) for m in re.finditer(r"(?i)/([a-z0-9]+(?:-[a-z0-9]+)*-details)/\d{4}/[^/\"'?#]+", html))

@@ -48,6 +48,35 @@ def register(spark: SparkSession, name: str = "extract_items") -> None:
     spark.udtf.register(name, F.udtf(ExtractItems, returnType=ITEM))
 
 
+def links(pages: DataFrame) -> DataFrame:
+    """pages (page_id, url, html) to page_id, url, place, href and text of every link, in document order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for page_id, url, text in zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), batch.column("html").to_pylist()):
+                page = html.Page(text or "")
+                rows += [(page_id, url, i, page.attrs[a]["href"], page.joined(a)) for i, a in enumerate(page.links())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], ["page_id", "url", "place", "href", "text"])
+
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", "html").mapInArrow(run, "page_id bigint, url string, place bigint, href string, text string")
+
+
+def headings(pages: DataFrame) -> DataFrame:
+    """pages (page_id, html) to page_id and title, the text of the first heading of the first degree, empty without one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = []
+            for text in batch.column("html").to_pylist():
+                page = html.Page(text or "")
+                told.append(next((page.joined(h) for h in page.find(0, "h1")[:1]), ""))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(told, pa.string())], ["page_id", "title"])
+
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), "html").mapInArrow(run, "page_id bigint, title string")
+
+
 def detail_dates(pages: DataFrame) -> DataFrame:
     """pages (url, html, platform) to url, detail_date, detail_time."""
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from noticeloom.functions import dates, urls
 
-#: Fixed value: pages after which a walk ends in any case.
+#: Pages after which a walk ends in any case, in general and by platform, and years that a walk goes back.
 PAGE_CAP = 100
+PAGE_CAPS = {"notified": 100, "investorroom": 50, "investis": 50, "aem_cme": 300}
+YEAR_CAP = 60
 
 
 def year_set(years: list[int] | None = None, start: int | None = None, end: int | None = None) -> set[int] | None:
@@ -41,9 +43,9 @@ def store_order() -> list[Column]:
     return [F.col("publish_date"), F.col("slug"), F.col("ticker"), dates.time_sort_key(F.col("publish_time")), F.col("title"), F.col("url")]
 
 
-def dedupe(items: DataFrame, ordinal: str = "ordinal") -> DataFrame:
-    """The first item of each address; addresses that differ in last slashes are one."""
-    first = Window.partitionBy(urls.normal(F.col("url"))).orderBy(ordinal)
+def dedupe(items: DataFrame, ordinal: str = "ordinal", by: tuple[str, ...] = ()) -> DataFrame:
+    """The first item of each address (and of each of by); addresses that differ in last slashes are one."""
+    first = Window.partitionBy(*by, urls.normal(F.col("url"))).orderBy(ordinal)
     return items.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
 
 
@@ -78,11 +80,31 @@ def walked(pages: DataFrame, items: DataFrame, target_min: int | None = None, ca
     return out.withColumn("_was", F.coalesce(F.max("_stop").over(before), F.lit(0))).filter("_was = 0").drop("_stop", "_was")
 
 
-def history_years(years: DataFrame, by: str = "slug") -> DataFrame:
-    """Of rows (by, year, n), those that a walk back from the newest year reads before the first empty one."""
+def walk(items: DataFrame, years: set[int] | None = None, cap: int = PAGE_CAP, by: str = "slug", ordinal: str = "ordinal") -> DataFrame:
+    """The items (by, page, url, publish_date, ordinal) that a whole walk of each listing brings, each address once.
+
+    With years it begins at the first page that can hold them and ends behind them; without, it reads all pages up to the
+    cap or the first one without a new address. A walk brings whole pages: filter_items cuts them to the years.
+    """
+    pages = page_years(items, by, "page")
+    if years:
+        start = start_page(pages, max(years), min(years), by)
+        pages = pages.join(start, by).filter(F.col("page") >= F.col("start_page")).drop("start_page")
+        items = items.join(start, by).filter(F.col("page") >= F.col("start_page")).drop("start_page")
+    read = walked(pages, items, min(years) if years else None, cap, by).select(by, "page")
+    return dedupe(items.join(read, [by, "page"], "left_semi"), ordinal, (by,))
+
+
+def largest_offered(sizes: Column, wanted: Column) -> Column:
+    """The largest of the offered page sizes that is not above the wanted one; null without one."""
+    return F.array_max(F.filter(sizes, lambda s: s <= wanted))
+
+
+def history_years(years: DataFrame, by: str = "slug", cap: int = YEAR_CAP) -> DataFrame:
+    """Of rows (by, year, n), those that a walk back from the newest year reads before the first empty one, cap years at most."""
     back = Window.partitionBy(by).orderBy(F.desc("year"))
     held = years.filter("n > 0").withColumn("_run", F.col("year") + F.row_number().over(back))  # one number for years without a gap
-    return held.withColumn("_first", F.max("year").over(Window.partitionBy(by))).filter("_run = _first + 1").drop("_run", "_first")
+    return held.withColumn("_first", F.max("year").over(Window.partitionBy(by))).filter("_run = _first + 1").filter(F.col("year") > F.col("_first") - cap).drop("_run", "_first")
 
 
 def fill_dates(items: DataFrame, details: DataFrame) -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from noticeloom.functions import urls
 
-#: By priority, platform and what its pages hold.
+#: By priority, platform and what its pages hold; "tags" where a comment does not count.
 FINGERPRINTS = (
-    ("notified", r"""(?i)<meta(?=[^>]*name\s*=\s*["']?generator\b)(?=[^>]*content\s*=\s*["'][^"'>]*drupal)"""),
+    ("notified", r"""(?i)<meta(?=[^>]*name\s*=\s*["']?generator["'\s/>])(?=[^>]*content\s*=\s*["'][^"'>]*drupal)""", "tags"),
     ("investis", r"(?i)investis\s+sitecore\s+common\s+gtm|delivered\s+by\s+investis|investisdigital\.com|(?:https?:)?//(?:www\.)?investis\.com\b"),
-    ("investorroom", r"""(?i)investorroom|<a\b[^>]*href\s*=\s*["'][^"'>]*(?:[?&](?:amp;)?item=\d|/\d{4}-\d{2}-\d{2}-[^/#"'>]+/?["'])"""),
-    ("q4", r"""(?i)<a\b[^>]*href\s*=\s*["'][^"'>]*/news-details/\d{4}/[^/"'>]|news/default\.aspx"""),
-    ("notified", r"""(?i)<a\b[^>]*href\s*=\s*["'][^"'>]*/(?:news-releases|press-releases|financial-releases)/[^/#?"'>]+/[^/#?"'>]"""),
+    ("investorroom", "(?i)investorroom"),
+    ("investorroom", r"""(?i)<a\b[^>]*href\s*=\s*["'][^"'>]*(?:[?&](?:amp;)?item=\d|/\d{4}-\d{2}-\d{2}-[^/#"'>]+/?["'])""", "tags"),
+    ("q4", r"""(?i)<a\b[^>]*href\s*=\s*["'][^"'>]*/news-details/\d{4}/[^/"'>]""", "tags"),
+    ("q4", r"(?i)news/default\.aspx"),
+    ("notified", r"""(?i)<a\b[^>]*href\s*=\s*["'][^"'>]*/(?:news-releases|press-releases|financial-releases)/[^/#?"'>]+/[^/#?"'>]""", "tags"),
     ("aem", r"(?i)/etc\.clientlibs/|/content/dam/"),
 )
 #: Strategies that belong to a platform of another name.
@@ -22,11 +24,21 @@ GATED = ("tjx", "robinhood", "caseys")
 AEM = {"bny": "aem_bny", "cme": "aem_cme"}
 
 
-def detect_platform(html: Column, fingerprints: tuple[tuple[str, str], ...] = FINGERPRINTS) -> Column:
-    """The first fingerprint that a page shows; unknown without any, and for null pages."""
-    out = None
-    for platform, shape in fingerprints:
-        out = F.when(html.rlike(shape), platform) if out is None else out.when(html.rlike(shape), platform)
+def detect_platform(html: Column, fingerprints: tuple[tuple[str, ...], ...] = FINGERPRINTS, segment: Column | None = None, news_path: Column | None = None) -> Column:
+    """The first fingerprint that a page shows; unknown without any, and for null pages.
+
+    segment and news_path, where a source gives them, stand for the details segment and the listing path of its Q4 site.
+    """
+    tags, out = F.regexp_replace(html, r"(?s)<!--.*?-->", ""), None
+    for platform, shape, *where in fingerprints:
+        shown = (tags if where else html).rlike(shape)
+        if platform == "q4" and where and segment is not None:
+            own = F.concat(F.lit(r"""(?i)<a\b[^>]*href\s*=\s*["'][^"'>]*/\Q"""), segment, F.lit(r"""\E/\d{4}/[^/"'>]"""))
+            shown = F.when(F.coalesce(segment, F.lit("")) == "", shown).otherwise(F.rlike(tags, own))
+        if platform == "q4" and not where and news_path is not None:
+            path = F.lower(F.btrim(urls.fill_year(news_path, F.lit(None).cast("int")), F.lit("/")))
+            shown = F.when(F.coalesce(news_path, F.lit("")) == "", shown).otherwise(F.contains(F.lower(html), path))
+        out = F.when(shown, platform) if out is None else out.when(shown, platform)
     return out.otherwise("unknown")
 
 
@@ -88,7 +100,7 @@ def describe_platforms() -> list[str]:
 def registry_faults() -> list[str]:
     """Names that one table of the registry has and another lacks; there must be none."""
     platforms = set(LISTING)
-    told = {p for p, _ in FINGERPRINTS}
+    told = {p for p, *_ in FINGERPRINTS}
     return sorted({f"no description: {p}" for p in platforms - set(DESCRIPTIONS)} | {f"no listing: {p}" for p in told - platforms} | {f"no platform: {p}" for p in set(STRATEGY_PLATFORM.values()) - platforms})
 
 

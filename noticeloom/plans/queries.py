@@ -120,8 +120,11 @@ def parse_time(spark, sf):
     return made.select("*", dates.time_sort_key(F.col("time")).alias("k")).select("release_id", "time", "k.missing", "k.hour", "k.minute")
 
 
-@query("""SELECT release_id, slug, publish_date, row_number() OVER (PARTITION BY publish_date ORDER BY slug, ticker NULLS FIRST, CASE WHEN publish_time LIKE '%EDT' THEN 0 ELSE 1 END,
-  CASE WHEN publish_time LIKE '%EDT' THEN (release_id % 12 + 1) % 12 + release_id % 2 * 12 ELSE 0 END, CASE WHEN publish_time LIKE '%EDT' THEN release_id % 60 ELSE 0 END, title, url) AS place FROM releases""", v.RELEASES)
+PLACE = """row_number() OVER (PARTITION BY publish_date ORDER BY slug, ticker NULLS FIRST, CASE WHEN publish_time LIKE '%EDT' THEN 0 ELSE 1 END,
+  CASE WHEN publish_time LIKE '%EDT' THEN (release_id % 12 + 1) % 12 + release_id % 2 * 12 ELSE 0 END, CASE WHEN publish_time LIKE '%EDT' THEN release_id % 60 ELSE 0 END, title, url) AS place"""
+
+
+@query(f"SELECT release_id, slug, publish_date, {PLACE} FROM releases", v.RELEASES)
 def store_order(spark, sf):
     return reports.store_lines(v.releases(spark, sf)).select("release_id", "slug", "publish_date", "place")
 
@@ -176,7 +179,7 @@ def url_params(spark, sf):
   WHEN href LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href WHEN href LIKE '#%' THEN regexp_replace(url, '#.*$', '') || href WHEN regexp_matches(href, '^[a-z]+:') THEN href
   ELSE regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || CASE WHEN regexp_replace(regexp_replace(url, '^[a-z]+://[^/?#]*', ''), '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(regexp_replace(url, '^[a-z]+://[^/?#]*', ''), '[^/]*$', '') END || href END AS full_url FROM links""", v.LINKS)
 def link_explode(spark, sf):
-    return v.links(spark, sf).select("page_id", "place", "href", urls.resolve(F.col("url"), F.col("href")).alias("full_url"))
+    return extract.links(v.table(spark, sf, "pages")).select("page_id", "place", "href", urls.resolve(F.col("url"), F.col("href")).alias("full_url"))
 
 
 @query("""SELECT page_id, place, CASE WHEN regexp_matches(lower(href), '[?&]item=[0-9]+') OR regexp_matches(href, '/[0-9]{4}-[0-9]{2}-[0-9]{2}-[^/#]+/?$') THEN 'known' END AS known,
@@ -188,9 +191,9 @@ def link_classify(spark, sf):
     return v.links(spark, sf).select("page_id", "place", known.alias("known"), *(urls.is_detail(h, p).alias(p) for p in ("notified", "investis", "q4")))
 
 
-@query("SELECT page_id, trim(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1)) AS title FROM pages")
+@query("SELECT page_id, replace(trim(regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1)), '&amp;', '&') AS title FROM pages")
 def title_h1(spark, sf):
-    return v.table(spark, sf, "pages").select("page_id", F.trim(F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1)).alias("title"))
+    return extract.headings(v.table(spark, sf, "pages"))
 
 
 @query("SELECT release_id, url, ordinal FROM (SELECT *, row_number() OVER (PARTITION BY rtrim(url, '/') ORDER BY ordinal) AS n FROM (SELECT release_id, url, release_id * 4 + 1 AS ordinal FROM releases UNION ALL SELECT release_id, rtrim(url, '/'), release_id * 4 + release_id % 3 * 2 FROM releases WHERE release_id % 2 = 0)) WHERE n = 1", v.RELEASES)
@@ -235,7 +238,7 @@ def merge_summary(spark, sf):
 @query("SELECT slug, count(*) FILTER (release_id % 6 = 0) AS undated, count(*) FILTER (release_id % 6 <> 0) AS dated FROM releases GROUP BY slug", v.RELEASES)
 def undated_split(spark, sf):
     r = v.releases(spark, sf).withColumn("publish_date", F.when(F.col("release_id") % 6 != 0, F.col("publish_date")))
-    return r.groupBy("slug").agg(F.count_if(F.col("publish_date").isNull()).alias("undated"), F.count_if(F.col("publish_date").isNotNull()).alias("dated"))
+    return store.undated_counts(r, "slug")
 
 
 PAGES = f"{v.LISTING}, pages_of AS (SELECT slug, page, CAST(min(year(publish_date)) AS BIGINT) AS min_year, CAST(max(year(publish_date)) AS BIGINT) AS max_year FROM listing GROUP BY ALL)"
@@ -272,10 +275,14 @@ def fill_missing_dates(spark, sf):
     return flow.fill_dates(r.withColumn("publish_date", F.when(k % 4 != 0, F.col("publish_date"))), details).select("release_id", "publish_date")
 
 
-@query("SELECT release_id, slug FROM releases WHERE release_id % 100 < 3 UNION ALL SELECT release_id, slug FROM releases WHERE release_id % 10 = 7 AND slug NOT IN (SELECT slug FROM releases WHERE release_id % 100 < 3)", v.RELEASES)
+SIDES = "sides AS (SELECT release_id, slug, release_id % 2 = 0 AND CAST(substr(slug, 2) AS INT) % 3 <> 1 AS is_first FROM releases)"
+
+
+@query("SELECT release_id, slug FROM sides WHERE is_first UNION ALL SELECT release_id, slug FROM sides WHERE NOT is_first AND slug NOT IN (SELECT slug FROM sides WHERE is_first)", v.RELEASES, SIDES)
 def second_source(spark, sf):
-    r, k = v.releases(spark, sf).select("release_id", "slug"), F.col("release_id")
-    return flow.or_else(r.filter(k % 100 < 3), r.filter(k % 10 == 7))
+    r = v.releases(spark, sf).select("release_id", "slug")
+    is_first = (F.col("release_id") % 2 == 0) & (F.substring("slug", F.lit(2), F.lit(9)).cast("int") % 3 != 1)
+    return flow.or_else(r.filter(is_first), r.filter(~is_first))
 
 
 @query("""SELECT slug, string_agg("group", ',' ORDER BY ordinal) AS groups FROM configured GROUP BY slug HAVING count(*) > 1""", v.SOURCES, v.CONFIGURED)
@@ -285,13 +292,12 @@ def config_groups(spark, sf):
 
 @query("SELECT slug, EXISTS (SELECT 1 FROM configured c WHERE c.slug = s.slug) AS covered FROM sources s", v.SOURCES, v.CONFIGURED)
 def coverage_split(spark, sf):
-    s, c = v.sources(spark, sf).select("slug"), v.configured(spark, sf).select("slug").distinct()
-    return s.join(c, "slug", "left_semi").withColumn("covered", F.lit(True)).unionByName(s.join(c, "slug", "left_anti").withColumn("covered", F.lit(False)))
+    return reports.covered(v.sources(spark, sf).select("slug"), v.configured(spark, sf))
 
 
-@query("SELECT DISTINCT 's' || c_custkey AS slug FROM customer WHERE c_custkey % 4 = 1 AND 's' || c_custkey NOT IN (SELECT slug FROM sources) ORDER BY slug", v.SOURCES)
+@query("SELECT DISTINCT 's' || c_custkey AS slug FROM customer WHERE 's' || c_custkey NOT IN (SELECT slug FROM sources) ORDER BY slug", v.SOURCES)
 def unknown_configured(spark, sf):
-    c = v.table(spark, sf, "customer").filter("c_custkey % 4 = 1").select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("slug"))
+    c = v.table(spark, sf, "customer").select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("slug"))
     return reports.unknown_slugs(c, v.sources(spark, sf))
 
 
@@ -383,11 +389,11 @@ def strategy(spark, sf):
     return s.select("slug", "strategy", classify.platform_of(F.col("strategy")).alias("back"))
 
 
-@query("SELECT slug, platform AS strategy, CASE WHEN ordinal % 8 <> 0 THEN CASE WHEN ordinal % 3 = 0 THEN 'q4' ELSE platform END END AS detected, CASE WHEN ordinal % 8 = 0 THEN 'missing' ELSE 'mismatch' END AS problem FROM sources WHERE ordinal % 4 = 0 AND (ordinal % 8 = 0 OR (ordinal % 3 = 0 AND platform <> 'q4'))", v.SOURCES)
+@query("SELECT slug, platform AS strategy, CASE WHEN ordinal % 8 <> 0 THEN CASE WHEN ordinal % 3 = 0 THEN 'q4' ELSE platform END END AS detected, CASE WHEN ordinal % 8 = 0 THEN 'missing' ELSE 'mismatch' END AS problem FROM sources WHERE (ordinal % 8 = 0 OR (ordinal % 3 = 0 AND platform <> 'q4'))", v.SOURCES)
 def consistency(spark, sf):
     s = v.sources(spark, sf)
     found = s.filter("ordinal % 8 <> 0").select("slug", F.when(F.col("ordinal") % 3 == 0, "q4").otherwise(F.col("platform")).alias("strategy"))
-    return classify.inconsistencies(s.filter("ordinal % 4 = 0").select("slug", F.col("platform").alias("strategy")), found)
+    return classify.inconsistencies(s.select("slug", F.col("platform").alias("strategy")), found)
 
 
 @query("""SELECT slug, CASE platform WHEN 'q4' THEN b || '/news/default.aspx' WHEN 'aem' THEN b WHEN 'unknown' THEN CASE WHEN news_url <> '' THEN news_url ELSE ir_url END ELSE b || '/news-releases' END AS listing
@@ -406,7 +412,7 @@ def source_of_url(spark, sf):
 @query("SELECT p_partkey, CAST(list_max(list_filter([5, 10, 25, 50, 100], lambda x: x <= p_size)) AS BIGINT) AS size FROM part")
 def page_size_pick(spark, sf):
     offered = F.array(*map(F.lit, (5, 10, 25, 50, 100)))
-    return v.table(spark, sf, "part").select("p_partkey", F.array_max(F.filter(offered, lambda s: s <= F.col("p_size"))).cast("long").alias("size"))
+    return v.table(spark, sf, "part").select("p_partkey", flow.largest_offered(offered, F.col("p_size")).cast("long").alias("size"))
 
 
 @query("SELECT s_suppkey, lower(regexp_replace(s_name, '[^A-Za-z0-9]+', '-', 'g')) AS slug FROM supplier")
@@ -414,7 +420,7 @@ def slugify(spark, sf):
     return v.table(spark, sf, "supplier").select("s_suppkey", urls.slugify(F.concat("s_name", F.lit(" (Old Name) Holdings Company, Inc."))).alias("slug"))
 
 
-@query("SELECT url, coalesce(ticker, slug) || ': ' || title || ' (' || CAST(publish_date AS VARCHAR) || CASE WHEN publish_time <> '' THEN ', ' || publish_time ELSE '' END || ')' || chr(10) || url AS text FROM releases", v.RELEASES)
+@query("SELECT url, coalesce(ticker, slug) || ': ' || title || ' (' || CAST(publish_date AS VARCHAR) || CASE WHEN publish_time <> '' THEN ', ' || publish_time ELSE '' END || ')' || chr(10) || url AS text, " + PLACE + " FROM releases", v.RELEASES)
 def digest(spark, sf):
     return reports.digest(v.releases(spark, sf))
 
@@ -429,16 +435,14 @@ def table_widths(spark, sf):
     return reports.column_widths(v.releases(spark, sf), "slug", "ticker", "title")
 
 
-@query("SELECT url, CAST(publish_date AS VARCHAR) || '  ' || rpad(publish_time, 14, ' ') || '  ' || title AS line FROM releases", v.RELEASES)
+@query("SELECT url, CAST(publish_date AS VARCHAR) || '  ' || rpad(publish_time, 14, ' ') || '  ' || title AS line, " + PLACE + " FROM releases", v.RELEASES)
 def preview(spark, sf):
     return reports.preview(v.releases(spark, sf))
 
 
 @query("SELECT release_id, 'slug: ' || slug || CASE WHEN ticker IS NOT NULL THEN chr(10) || 'ticker: ' || ticker ELSE '' END || chr(10) || 'title: ' || title AS text FROM releases", v.RELEASES)
 def record_text(spark, sf):
-    r = v.releases(spark, sf)
-    text = F.concat_ws("\n", *(F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c))) for c in ("slug", "ticker", "title")))
-    return r.select("release_id", text.alias("text"))
+    return reports.record_lines(v.releases(spark, sf), "slug", "ticker", "title", keep=("release_id",))
 
 
 @query("SELECT release_id, publish_date, release_id % 4 <> 0 AS is_date FROM (SELECT release_id, CASE WHEN release_id % 4 = 0 THEN 'soon' ELSE CAST(publish_date AS VARCHAR) END AS publish_date FROM releases)", v.RELEASES)
@@ -453,6 +457,182 @@ def migrate_add(spark, sf):
     return store.add_column(v.releases(spark, sf).select("release_id", "url"))
 
 
+
+def _forms(spark, sf, *forms: str):
+    """releases with an address of the form that its number picks."""
+    form = F.element_at(F.array(*map(F.lit, forms)), (F.col("release_id") % len(forms) + 1).cast("int"))
+    return v.releases(spark, sf).select("release_id", F.replace(form, F.lit("{id}"), F.col("release_id").cast("string")).alias("href"))
+
+
+BASE = "https://ir.example.com/news-releases"
+
+
+@query("SELECT release_id, ['known', 'known', 'bare-slug', NULL, NULL, NULL, NULL, NULL][release_id % 8 + 1] AS kind FROM releases", v.RELEASES)
+def link_kind(spark, sf):
+    rows = _forms(spark, sf, "https://ir.example.com/2026-01-02-title-{id}", "/news?item={id}", "/some-title-{id}", "/subscribe", "https://other.example.com/title-{id}", "/a/title-{id}", "/latest-news-{id}", "/some-title-{id}?x=1")
+    return rows.select("release_id", urls.classify_link(F.col("href"), F.lit(BASE)).alias("kind"))
+
+
+@query("SELECT release_id, release_id % 6 IN (0, 5) AS probable FROM releases", v.RELEASES)
+def probable_release(spark, sf):
+    rows = _forms(spark, sf, "/corporate/global/en/story-{id}.html", "/corporate/global/en/insights.html", "/corporate/x-{id}.html#top", "/", "https://other.example.com/x-{id}.html", "../x/./story-{id}.html")
+    return rows.select("release_id", urls.is_probable_release(F.col("href"), F.lit(BASE)).alias("probable"))
+
+
+@query("SELECT release_id, length(title) >= 20 AND release_id % 3 <> 0 AS confirmed FROM releases", v.RELEASES)
+def confirmed_item(spark, sf):
+    return v.releases(spark, sf).select("release_id", urls.is_confirmed(F.col("title"), F.when(F.col("release_id") % 3 != 0, F.col("publish_date"))).alias("confirmed"))
+
+
+@query("SELECT release_id, release_id % 4 IN (0, 1) AS detail FROM releases", v.RELEASES)
+def segment_detail(spark, sf):
+    rows = _forms(spark, sf, "/News-Details/2026/t-{id}/default.aspx", "/x/press-release-details/2026/t-{id}", "/press-release-details/t-{id}", "/event-details/2026/t-{id}")
+    segment = F.when(F.col("release_id") % 4 == 0, "news-details").otherwise("press-release-details")
+    return rows.select("release_id", urls.is_segment_detail(F.col("href"), segment).alias("detail"))
+
+
+@query("SELECT release_id, release_id % 8 < 6 AS action FROM releases", v.RELEASES)
+def call_to_action(spark, sf):
+    rows = _forms(spark, sf, "Read more", "LEARN MORE", "find  out more", "More", "detail", "Details", "Read more about {id}", "Moreover")
+    return rows.select("release_id", urls.is_call_to_action(F.col("href")).alias("action"))
+
+
+@query("""SELECT release_id, 'https://ir.example.com/news/' || year(publish_date) || CASE WHEN release_id % 3 > 0 THEN '?page=' || (release_id % 3 + 1) ELSE '' END AS year_page,
+  CASE WHEN release_id % 2 = 0 THEN 'news/' || year(publish_date) || '/default.aspx' ELSE 'news/default.aspx' END AS filled, 'https://x.example.com/list#pageNum=' || (release_id % 9) || '&dateFrom=1&dateTo=' || release_id AS hashed FROM releases""", v.RELEASES)
+def listing_addresses(spark, sf):
+    k, year = F.col("release_id"), F.year("publish_date")
+    filled = urls.fill_year(F.lit("news/{year}/default.aspx"), F.when(k % 2 == 0, year))
+    hashed = urls.hash_listing(F.lit("https://x.example.com/list#old"), k % 9, F.lit(1), k)
+    return v.releases(spark, sf).select("release_id", urls.year_listing(F.lit("https://ir.example.com/"), "/news", year, k % 3 + 1).alias("year_page"), filled.alias("filled"), hashed.alias("hashed"))
+
+
+@query("""SELECT release_id, CASE release_id % 4 WHEN 0 THEN 'https://a.example.com/x/y' WHEN 1 THEN 'https://a.example.com/y?q=../z' WHEN 2 THEN 'https://a.example.com/y/' ELSE 'https://a.example.com/news/n' || release_id || '#f' END AS full_url FROM releases""", v.RELEASES)
+def dot_segments(spark, sf):
+    rows = _forms(spark, sf, "/x/./z/../y", "../../y?q=../z", "x/../../y/.", "./n{id}#f")
+    return rows.select("release_id", urls.resolve(F.lit("https://a.example.com/news/list"), F.col("href")).alias("full_url"))
+
+
+@query("""SELECT release_id, CASE WHEN release_id % 3 <> 0 THEN publish_date END AS prefix, release_id % 2 = 0 AS iso, 'data/' || year(publish_date) || '/' || publish_date || '.csv' AS path FROM releases""", v.RELEASES)
+def iso_dates(spark, sf):
+    k, text = F.col("release_id"), F.col("publish_date").cast("string")
+    stamp = F.when(k % 3 == 0, F.concat(F.lit("on "), text)).otherwise(F.concat(text, F.lit("T09:30:00Z")))
+    shape = F.when(k % 2 == 0, text).otherwise(F.date_format("publish_date", "yyyy-M-dd'x'"))
+    return v.releases(spark, sf).select("release_id", dates.iso_prefix(stamp).alias("prefix"), dates.is_iso_shape(shape).alias("iso"), dates.day_path(F.col("publish_date")).alias("path"))
+
+
+@query("""SELECT release_id, CASE release_id % 4 WHEN 0 THEN publish_date END AS investorroom, CASE release_id % 4 WHEN 1 THEN publish_date END AS investis,
+  CASE WHEN release_id % 4 IN (0, 2) THEN publish_date END AS aem_bny, CASE release_id % 4 WHEN 2 THEN publish_date END AS aem_cme FROM releases""", v.RELEASES)
+def url_dates(spark, sf):
+    k, d = F.col("release_id"), F.col("publish_date")
+    href = F.when(k % 4 == 0, F.date_format(d, "'/'yyyy-MM-dd'-title'")).when(k % 4 == 1, F.date_format(d, "'/news-releases/2026/'MM-dd-yyyy'-1'")).when(k % 4 == 2, F.date_format(d, "'/'yyyy'/'M'/'dd")).otherwise("/2026/13/45/")
+    return v.releases(spark, sf).select("release_id", *(dates.date_from_url(href, p).alias(p) for p in ("investorroom", "investis", "aem_bny", "aem_cme")))
+
+
+def _told_dates(spark, sf) -> DataFrame:
+    """releases as a file has them: dates as text, some of them none."""
+    k = F.col("release_id")
+    return v.releases(spark, sf).withColumn("publish_date", F.when(k % 5 == 0, "soon").when(k % 5 == 1, "2026-02-30").otherwise(F.col("publish_date").cast("string")))
+
+
+@query("SELECT CAST(year(publish_date) AS BIGINT) AS year, slug, ticker, count(*) AS release_count FROM releases WHERE release_id % 5 > 1 AND ticker IS NOT NULL GROUP BY ALL", v.RELEASES)
+def counts_of_told_dates(spark, sf):
+    return reports.release_counts(_told_dates(spark, sf))
+
+
+@query("SELECT release_id, CASE release_id % 5 WHEN 0 THEN 'soon' ELSE '2026-02-30' END AS publish_date FROM releases WHERE release_id % 5 < 2", v.RELEASES)
+def bad_dates(spark, sf):
+    return reports.bad_dates(_told_dates(spark, sf)).select("release_id", "publish_date")
+
+
+@query()
+def check_counts(spark, sf):
+    actual = reports.release_counts(v.releases(spark, sf), keep_null=True)
+    return reports.check_counts(_baseline(actual), None, actual, [1996, 1997])
+
+
+ORACLES["check_counts"] = f"WITH {v.RELEASES}, {BASELINE}{MISMATCH} WHERE year IN (1996, 1997)"
+
+
+@query("""SELECT release_id, CASE WHEN release_id % 5 < 4 THEN publish_date END AS detail_date, CASE WHEN release_id % 5 = 3 THEN '9:30 AM ET' ELSE '' END AS detail_time FROM releases""", v.RELEASES)
+def detail_dates(spark, sf):
+    k, plain = F.col("release_id"), F.date_format("publish_date", "MMMM d, yyyy")
+    page = F.element_at(F.array(*map(F.lit, ("<time datetime='{iso}'>x</time>", "<div class='date'>{plain}</div>", "<article><p>TOWN, {plain} (Wire) - text</p></article>", "<nav>1:00 PM PT</nav><main>{plain} 9:30 AM ET text</main>", "<p>no date</p>"))), (k % 5 + 1).cast("int"))
+    page = F.replace(F.replace(page, F.lit("{iso}"), F.col("publish_date").cast("string")), F.lit("{plain}"), plain)
+    made = extract.detail_dates(v.releases(spark, sf).select(k.cast("string").alias("url"), page.alias("html"), F.lit("notified").alias("platform")))
+    return made.select(F.col("url").cast("bigint").alias("release_id"), "detail_date", "detail_time")
+
+
+MARKS = (
+    ("notified", "<meta content='Drupal 10' name='Generator'>investorroom"), ("unknown", "<!-- <meta name='generator' content='Drupal'> -->"), ("investis", "<!-- Investis Sitecore common GTM --><a href='/news-releases/2026/07-15-2026-1'>x</a>"),
+    ("investorroom", "<a href='/news?item=12'>x</a>"), ("q4", "<a href='/financial-releases/press-release-details/2026/x/default.aspx'>x</a>"), ("q4", "<script src='/newsroom/list.aspx'></script>"),
+    ("notified", "<a href='/news-releases/news-release-details/x'>x</a>"), ("aem", "<img src='/content/dam/x.png'>"), ("unknown", "<!-- <a href='/news-releases/a/b'>x</a> -->"),
+)
+
+
+@query(f"SELECT release_id, {[m[0] for m in MARKS]}[release_id % {len(MARKS)} + 1] AS platform FROM releases", v.RELEASES)
+def platform_fingerprints(spark, sf):
+    page = F.element_at(F.array(*(F.lit(m[1]) for m in MARKS)), (F.col("release_id") % len(MARKS) + 1).cast("int"))
+    html = F.concat(F.lit("<html><body>"), page, F.lit("</body></html>"))
+    return v.releases(spark, sf).select("release_id", classify.detect_platform(html, segment=F.lit("press-release-details"), news_path=F.lit("newsroom/{year}/list.aspx")).alias("platform"))
+
+
+@query("""SELECT slug, ordinal, url, page FROM (SELECT l.*, row_number() OVER (PARTITION BY l.slug, rtrim(url, '/') ORDER BY ordinal) AS k FROM listing l JOIN read r ON l.slug = r.slug AND l.page = r.page) WHERE k = 1""", PAGES, """
+begins AS (SELECT slug, CASE WHEN max(max_year) FILTER (page = 0) < 2024 THEN max(page) + 1 ELSE coalesce(min(page) FILTER (min_year <= 2025), max(page)) END AS b FROM pages_of GROUP BY slug),
+inside AS (SELECT p.* FROM pages_of p JOIN begins USING (slug) WHERE page >= b),
+news AS (SELECT slug, page, count(*) AS n FROM (SELECT l.slug, rtrim(url, '/') AS u, min(page) AS page FROM listing l JOIN begins USING (slug) WHERE page >= b GROUP BY ALL) GROUP BY ALL),
+read AS (SELECT slug, page FROM (SELECT *, coalesce(max(stop) OVER (PARTITION BY slug ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS was
+  FROM (SELECT i.slug, i.page, CASE WHEN coalesce(n, 0) = 0 OR max_year < 2024 OR i.page + 1 >= 100 THEN 1 ELSE 0 END AS stop FROM inside i LEFT JOIN news n ON i.slug = n.slug AND i.page = n.page)) WHERE was = 0)""")
+def walk(spark, sf):
+    return flow.walk(v.listing(spark, sf), {2024, 2025}).select("slug", "ordinal", "url", "page")
+
+
+@query("""SELECT page_id, coalesce(s.slug, CASE WHEN page_id % 3 = 0 THEN 'x' || page_id ELSE 'none' END) AS slug, coalesce(s.ticker, '') AS ticker, s.slug IS NOT NULL AS known, 'https://h' || (page_id % 60) || '.example.com' AS base
+  FROM (SELECT page_id, CASE WHEN page_id % 3 = 1 THEN 's' || (page_id % 7 + 1) END AS given, 'h' || (page_id % 60) || '.example.com' AS host FROM pages) p
+  LEFT JOIN (SELECT host, arg_min(slug, ordinal) AS slug FROM (SELECT regexp_replace(regexp_extract(ir_url, '://([^/]*)', 1), '^www\\.', '') AS host, slug, ordinal FROM sources) GROUP BY host) h ON p.host = h.host
+  LEFT JOIN sources s ON s.slug = coalesce(p.given, h.slug)""", v.SOURCES)
+def identity(spark, sf):
+    k = F.col("page_id")
+    slug = F.when(k % 3 == 1, F.concat(F.lit(" S"), (k % 7 + 1).cast("string"))).when(k % 3 == 0, F.concat(F.lit("x"), k.cast("string"))).otherwise("")
+    url = F.concat(F.lit("https://h"), (k % 60).cast("string"), F.lit(".example.com/news/"), k.cast("string"))
+    asked = v.table(spark, sf, "pages").select(url.alias("url"), slug.alias("slug"), F.lit("").alias("ticker"))
+    made = catalog.with_identity(asked, v.sources(spark, sf), default_slug="none")
+    return made.select(F.regexp_extract("url", r"(\d+)$", 1).cast("bigint").alias("page_id"), "slug", "ticker", "known", "base")
+
+
+@query("""SELECT slug, CASE platform WHEN 'q4' THEN 'q4_ir' ELSE platform END AS strategy, CASE platform WHEN 'q4' THEN b || '/news/default.aspx' WHEN 'aem' THEN b WHEN 'unknown' THEN u ELSE b || '/' || CASE WHEN ordinal % 2 = 0 THEN 'list' ELSE 'news-releases' END END AS listing, 'news-details' AS news_details_segment, CAST(ordinal % 2 AS INT) AS first_page_index, false AS needs_detail_page_dates
+  FROM (SELECT *, CASE WHEN news_url <> '' THEN news_url ELSE ir_url END AS u, rtrim(CASE WHEN news_url <> '' THEN news_url ELSE ir_url END, '/') AS b FROM sources)""", v.SOURCES)
+def resolved_sources(spark, sf):
+    s, none = v.sources(spark, sf), F.lit(None).cast("string")
+    k = F.col("ordinal")
+    full = s.drop("platform").withColumns({"news_releases_path": F.when(k % 2 == 0, "/list"), "news_path": none, "aem_listing_path": none, "news_details_segment": none, "first_page_index": F.when(k % 2 == 1, 1).cast("int"), "needs_detail_page_dates": F.lit(None).cast("boolean")})
+    made = catalog.resolved_sources(full, s.select("slug", "platform"))
+    return made.select("slug", "strategy", "listing", "news_details_segment", "first_page_index", "needs_detail_page_dates")
+
+
+@query("SELECT arg_min(c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN ' ' ELSE '' END, c_custkey) AS query, min(c_custkey) AS ordinal FROM customer GROUP BY c_mktsegment")
+def distinct_queries(spark, sf):
+    c = v.table(spark, sf, "customer")
+    return catalog.distinct_queries(c.select(F.concat("c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, " ").otherwise("")).alias("query"), F.col("c_custkey").alias("ordinal")))
+
+
+@query("SELECT ordinal, slug FROM configured WHERE lower(\"group\") = 'q4' AND slug = 's12' ORDER BY ordinal", v.SOURCES, v.CONFIGURED)
+def select_sources(spark, sf):
+    return catalog.selected(v.configured(spark, sf), "Q4", "S12").select("ordinal", "slug")
+
+
+@query("SELECT slug, ticker FROM sources WHERE lower(ticker) = 's.7' ORDER BY ordinal LIMIT 1", v.SOURCES)
+def find_source(spark, sf):
+    return catalog.find_source(v.sources(spark, sf), " s.7 ").select("slug", "ticker")
+
+
+@query("SELECT DISTINCT replace(trim(ticker), '.', '-') AS ticker FROM sources", v.SOURCES)
+def index_tickers(spark, sf):
+    row = F.concat(F.lit("<tr><td>Name</td><td> "), F.col("ticker"), F.lit(" </td></tr>"))
+    rows = v.sources(spark, sf).groupBy((F.col("ordinal") % 9).alias("page")).agg(F.array_join(F.collect_list(row), "").alias("rows"))
+    page = F.concat(F.lit("<table><tr><th>Security</th><th>Symbol</th></tr>"), F.col("rows"), F.lit("</table><table><tr><th>Symbol</th></tr><tr><td>OTHER</td></tr></table>"))
+    return catalog.index_tickers(rows.select(page.alias("html")))
+
+
 #: Cards by platform: what stands around them, and the card of a release with its date as text.
 CARDS = {
     "q4": ("<section>", "<div><span>{date}</span><a href='/news/news-details/2026/{id}'>{title}</a></div>", "</section>"),
@@ -495,16 +675,10 @@ def json_rows(spark, sf):
     return store.as_json(v.releases(spark, sf), "url")
 
 
-@query(f"""SELECT slug, ticker, title, url, publish_date, publish_time FROM (SELECT r.* FROM releases r WHERE release_id < 300 AND NOT EXISTS (SELECT 1 FROM incoming i WHERE i.release_id < 300 AND i.publish_date = r.publish_date AND i.url = r.url)
-  UNION ALL SELECT * FROM incoming WHERE release_id < 300)""", v.RELEASES, v.CHANGED)
-def stream_upsert(spark, sf):
-    return _streamed(spark, v.releases(spark, sf).filter("release_id < 300"))
-
-
 @query("""SELECT slug, ticker, title, url, publish_date, publish_time FROM releases r WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.publish_date = r.publish_date AND i.url = r.url)
   UNION ALL SELECT slug, ticker, title, url, publish_date, publish_time FROM incoming""", v.RELEASES, v.CHANGED)
 def stream_upsert_all(spark, sf):
-    """stream_upsert over the whole table."""
+    """The whole table through the stream and the day folders."""
     return _streamed(spark, v.releases(spark, sf))
 
 

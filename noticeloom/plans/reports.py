@@ -34,6 +34,12 @@ def merged_tallies(*counts: DataFrame) -> DataFrame:
     return out.groupBy(*KEYS).agg(F.sum("release_count").alias("release_count"))
 
 
+def check_counts(baseline: DataFrame, store: DataFrame | None, found: DataFrame | None, years: list[int] | None = None, slugs: list[str] | None = None) -> DataFrame:
+    """Mismatches with the baseline, for what a run covered: of the store after a wet run, of the items found (counts of keys) after a dry one."""
+    actual = release_counts(store) if found is None else found
+    return count_mismatches(restricted(baseline, years, slugs), restricted(actual, years, slugs))
+
+
 def restricted(rows: DataFrame, years: list[int] | None = None, slugs: list[str] | None = None) -> DataFrame:
     if years is not None:
         rows = rows.filter(F.col("year").isin(*years))
@@ -81,6 +87,12 @@ def coverage_missing(sources: DataFrame, configured: DataFrame, platforms: DataF
     return left.join(platforms.select("slug", "platform"), "slug", "left").withColumn("platform", F.coalesce("platform", F.lit("unknown")))
 
 
+def covered(sources: DataFrame, configured: DataFrame) -> DataFrame:
+    """Sources with whether any group has them (column covered)."""
+    there = configured.select(F.col("slug").alias("_s")).distinct()
+    return sources.join(there, F.col("slug") == F.col("_s"), "left").withColumn("covered", F.col("_s").isNotNull()).drop("_s")
+
+
 def unknown_slugs(configured: DataFrame, sources: DataFrame) -> DataFrame:
     return configured.select("slug").distinct().join(sources, "slug", "left_anti").orderBy("slug")
 
@@ -143,20 +155,27 @@ def signature_groups(sources: DataFrame, *signature: str, key: str = "slug", ord
     return made.select(*signature, F.size("m").cast("long").alias("n"), F.array_join(F.transform("m", lambda x: x[key].cast("string")), ",").alias("members"))
 
 
-def preview(rows: DataFrame) -> DataFrame:
-    """Lines in store order (column at); the time shows only if any row has one."""
+def preview(rows: DataFrame, category: str | None = None) -> DataFrame:
+    """url, line and place of every row, its place in the store's order of its day; the time shows only if any row has one.
+
+    category: a column whose value follows the title where there is one.
+    """
+    rows = store_lines(rows)
     timed = rows.agg(F.coalesce(F.max(F.col("publish_time") != ""), F.lit(False)).alias("timed"))
     joined = rows.crossJoin(F.broadcast(timed))  # one row
     time = F.when(F.col("timed"), F.concat(F.lit("  "), F.rpad("publish_time", 14, " "))).otherwise("")
     line = F.concat(F.coalesce(F.col("publish_date").cast("string"), F.lit("(no date)")), time, F.lit("  "), F.col("title"))
-    return joined.select("url", line.alias("line"))
+    if category:
+        line = F.concat(line, F.when(F.coalesce(F.col(category), F.lit("")) != "", F.concat(F.lit(" ["), F.col(category), F.lit("]"))).otherwise(""))
+    return joined.select("url", line.alias("line"), "place")
 
 
 def digest(rows: DataFrame) -> DataFrame:
-    """One row a release: the text that a message holds for it."""
+    """One row a release: the text that a message holds for it, and its place in the store's order of its day."""
+    rows = store_lines(rows)
     time = F.when(F.coalesce(F.col("publish_time"), F.lit("")) != "", F.concat(F.lit(", "), F.col("publish_time"))).otherwise("")
     text = F.concat(F.coalesce("ticker", "slug"), F.lit(": "), F.col("title"), F.lit(" ("), F.col("publish_date").cast("string"), time, F.lit(")\n"), F.col("url"))
-    return rows.select("url", text.alias("text"))
+    return rows.select("url", text.alias("text"), "place")
 
 
 def digest_title(rows: DataFrame) -> DataFrame:
@@ -179,9 +198,9 @@ def text_table(rows: DataFrame, *columns: str) -> list[str]:
     return [head.rstrip(), "  ".join("-" * width[c] for c in columns), *(r[0].rstrip() for r in rows.select(line).collect())]
 
 
-def record_lines(rows: DataFrame, *columns: str) -> DataFrame:
-    """A record's fields that are given, a line each."""
-    return rows.select(F.concat_ws("\n", *(F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns)).alias("text"))
+def record_lines(rows: DataFrame, *columns: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """A record's fields that are given, a line each, beside the columns in keep."""
+    return rows.select(*keep, F.concat_ws("\n", *(F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns)).alias("text"))
 
 
 def store_lines(rows: DataFrame) -> DataFrame:

@@ -72,12 +72,13 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s"), (e % 20).cast("string")).alias("slug"), F.floor(e / 1000).cast("long").alias("page"),
         F.concat(F.lit("https://x.example.com/"), (F.floor(e / 40) + F.when(e % 3 == 0, 0).otherwise(e % 7)).cast("string")).alias("url"),
         F.make_date(F.lit(2026) - F.floor(e / 2500).cast("int") - (e % 20 % 3).cast("int"), F.lit(6), F.lit(1)).alias("publish_date"),
+        e.alias("ordinal"),
     )
 
 
 LISTING = """listing AS (SELECT 's' || (event_id % 20) AS slug, event_id // 1000 AS page,
   'https://x.example.com/' || (event_id // 40 + CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 7 END) AS url,
-  make_date(2026 - event_id // 2500 - event_id % 20 % 3, 6, 1) AS publish_date FROM events)"""
+  make_date(2026 - event_id // 2500 - event_id % 20 % 3, 6, 1) AS publish_date, event_id AS ordinal FROM events)"""
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.functions import urls
+from noticeloom.functions.html import first_table
 from noticeloom.plans.classify import platform_of
 
 FIELDS = ("slug", "name", "ticker", "ir_url", "news_url", "news_releases_path", "first_page_index", "notes", "needs_detail_page_dates", "news_path", "news_details_segment", "aem_listing_path", "aem_item_selector")
@@ -83,6 +87,23 @@ def tickers(sources: DataFrame) -> DataFrame:
     return sources.select(urls.canonical_ticker(F.col("ticker")).alias("ticker")).filter("ticker <> ''").distinct()
 
 
+def index_tickers(pages: DataFrame, heading: str = "Symbol") -> DataFrame:
+    """The distinct tickers, in the catalog's spelling, that the first table of each page (html) has under the heading."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [row.get(heading, "") for page in batch.column("html").to_pylist() for row in first_table(page)]
+            yield pa.RecordBatch.from_arrays([pa.array(told, pa.string())], ["ticker"])
+
+    return tickers(pages.select("html").mapInArrow(run, "ticker string"))
+
+
+def arguments(slug: str, year: int | None = None, extra: tuple[str, ...] = (), dry_run: bool = False, data_dir: str | None = None) -> list[str]:
+    """The options that an extractor's run for one source is given."""
+    out = ["--slug", slug, *(["--year", str(year)] if year is not None else []), *extra, *(["--dry-run"] if dry_run else [])]
+    return out + (["--data-dir", data_dir] if data_dir is not None else [])
+
+
 def upsert_source(sources: DataFrame, record: DataFrame) -> DataFrame:
     """The record in place of the one with its ticker, or added; in slug order. A slug that another ticker has is an error."""
     taken = record.select("slug", F.col("ticker").alias("_t")).join(sources.select("slug", "ticker"), "slug").filter(~F.col("ticker").eqNullSafe(F.col("_t")))

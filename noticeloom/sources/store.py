@@ -85,6 +85,63 @@ def write_days(rows: DataFrame, root: str) -> None:
     made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").csv(root, header=True, escape='"', emptyValue="")
 
 
+def read_day(spark: SparkSession, root: str, day: str) -> DataFrame:
+    """The rows of one day's file, as text; no file gives no rows."""
+    path = f"{root}/{day[:4]}/{day}.csv"
+    if not _files(spark, path):
+        return spark.createDataFrame([], SCHEMA)
+    return spark.read.csv(path, schema=SCHEMA, header=True, multiLine=True, escape='"', enforceSchema=False).na.fill("")
+
+
+def _files(spark: SparkSession, pattern: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return list(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or [])
+
+
+def write_day_files(rows: DataFrame, root: str) -> int:
+    """Sorted CSV, a file root/year/day.csv for each day in rows, in place of the one that was there; how many were written.
+
+    Each day is written by one task into a staging folder, and the files are then renamed: nothing but names is handled here.
+    """
+    spark, staged = rows.sparkSession, f"{root}/_staged-{uuid.uuid4().hex}"
+    made = rows.withColumn("_year", F.year("publish_date")).withColumn("_day", F.col("publish_date").cast("string"))
+    made = made.select(*COLUMNS, "_year", "_day").repartition("_year", "_day").sortWithinPartitions("_year", "_day", *store_order())
+    made.write.partitionBy("_year", "_day").csv(staged, header=True, escape='"', emptyValue="")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    written = 0
+    for status in _files(spark, f"{staged}/*/*/part-*"):
+        folder = status.getPath().getParent()
+        day, year = folder.getName().split("=")[1], folder.getParent().getName().split("=")[1]
+        target = Path(f"{root}/{year}/{day}.csv")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, False)
+        if not fs.rename(status.getPath(), target):
+            raise OSError(f"cannot write {target}")
+        written += 1
+    fs.delete(Path(staged), True)
+    return written
+
+
+def upsert_row(existing: DataFrame, row: DataFrame) -> tuple[DataFrame, str]:
+    """A day's rows with this one in place of its address's, in the store's order, and what that did: Created, Added or Updated."""
+    address = row.select("url")
+    kept = existing.select(*COLUMNS).join(address, "url", "left_anti")
+    n, left = existing.count(), kept.count()
+    action = "Updated" if left < n else "Added" if n else "Created"
+    return kept.select(*COLUMNS).unionByName(row.select(*COLUMNS)).orderBy(*store_order()), action
+
+
+def split_undated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that have a day to be stored under, and those that have none."""
+    return rows.filter(F.col("publish_date").isNotNull()), rows.filter(F.col("publish_date").isNull())
+
+
+def undated_counts(rows: DataFrame, *by: str) -> DataFrame:
+    """By key, how many rows each side of split_undated has."""
+    return rows.groupBy(*by).agg(F.count_if(F.col("publish_date").isNull()).alias("undated"), F.count_if(F.col("publish_date").isNotNull()).alias("dated"))
+
+
 def read_day_folders(spark: SparkSession, root: str) -> DataFrame:
     """What write_days wrote, with the day as partition column."""
     return spark.read.csv(root, schema=f"{SCHEMA}, day date", header=True, multiLine=True, escape='"')
