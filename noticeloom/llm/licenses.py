@@ -1,9 +1,11 @@
 """Licence scan by a trained paragraph classifier, in DataFrame and SQL functions alone.
 
 Multinomial logistic regression over words and word pairs tells licence families and an unknown class apart. It is
-trained here, on notices composed from carriers and names, on excerpts, and on paragraphs of the corpus as unknown ones.
-A temperature fitted on notices that were held back calibrates its probabilities. What it says is confirmed by comparison
-with the family's templates: enough of one template's words and pairs must stand in the paragraph.
+trained here, on notices composed from carriers and names, on excerpts, and on whole paragraphs of the corpus as unknown
+ones: any paragraphs, and such that share words with a notice without being one. A temperature fitted on carriers and
+paragraphs that were held back calibrates its probabilities. What it says is confirmed by comparison with the family's
+templates: enough of one template's words and pairs must stand in the paragraph. A name of a single word is no template
+by itself, only with what carries it.
 """
 
 from __future__ import annotations
@@ -68,20 +70,23 @@ OTHERS = (
     "The commons debated the license fee.", "The project is available in four languages.", "The file is in the public library.", "All rights come with duties.",
 )
 UNKNOWN = "unknown"
-#: Corpus paragraphs that the unknown class learns from, by hash: the only bound on what is learned from.
+#: Corpus paragraphs that the unknown class learns from, by hash, half of them near to notices: the only bound on what is learned from.
 SAMPLE = 400
+#: The carriers, and one of so many unknown paragraphs, that are held back for the temperature.
+HELD_CARRIERS, HELD_SHARE = (3, 8), 5
 #: A family's probability, and the share of a template that must stand in the paragraph.
 PROBABLE, ALIKE = 0.5, 0.6
-TOKEN = r"[\p{L}\p{N}]+(?:[.][\p{N}]+)*"
+#: A word; of a number, eight groups behind points at most, as a matcher recurses once for each.
+TOKEN = r"[\p{L}\p{N}]+(?:[.][\p{N}]+){0,8}"
 #: Words of any text, which are chosen for the filter only where a template has too few others.
 EVERYDAY = frozenset("a all an and any are as at be by for form from in into is it may no nor not of on only or other that the this to under use used was which with your you".split())
-#: What every notice above holds; the unknown class learns from texts without it.
+#: What every notice above holds.
 ANCHOR = r"(?i)licen[sc]e|copyright|public domain|rights reserved|spdx|creative commons|\bcc0\b|\bcc[ -]by|\b[al]?gpl|permission is hereby|permission to use|source and binary forms|unencumbered|unauthorized copying|\b(?:released|available|published|distributed) under\b"
 
 
 def tokens(text: str) -> list[str]:
     """The same as the scan's own words: letters and digits, numbers with their points, lower case."""
-    return [t.lower() for t in re.findall(r"[^\W_]+(?:[.]\d+)*", text)]
+    return [t.lower() for t in re.findall(r"[^\W_]+(?:[.]\d+){0,8}", text)]
 
 
 def features(text: str) -> list[str]:
@@ -103,16 +108,23 @@ def notices() -> list[tuple[str, str]]:
     return made + [(UNKNOWN, text) for text in OTHERS for _ in range(4)]
 
 
-def train(unknown: list[str], rounds: int = 400, penalty: float = 1e-3) -> Model:
-    """unknown: corpus paragraphs without a notice. Every fifth notice is held back for the temperature."""
-    rows = notices() + [(UNKNOWN, text) for text in unknown]
+def held_back() -> set[str]:
+    """The notices that the temperature is fitted on: all names, with carriers that training does not see."""
+    return {CARRIERS[i].format(name) for names in NAMES.values() for name in names for i in HELD_CARRIERS}
+
+
+def train(unknown: list[list[str]], rounds: int = 400, penalty: float = 1e-3) -> Model:
+    """unknown: the features of corpus paragraphs without a notice."""
+    told = notices()
+    rows = [(f, features(text)) for f, text in told] + [(UNKNOWN, words) for words in unknown]
     families = sorted({f for f, _ in rows} - {UNKNOWN}) + [UNKNOWN]
     vocabulary = {w: i for i, w in enumerate(sorted({w for f, text in notices() for w in features(text)}))}
     x = np.zeros((len(rows), len(vocabulary)))
-    for i, (_, text) in enumerate(rows):
-        x[i, [vocabulary[w] for w in features(text) if w in vocabulary]] = 1.0
+    for i, (_, words) in enumerate(rows):
+        x[i, [vocabulary[w] for w in words if w in vocabulary]] = 1.0
     y = np.array([families.index(f) for f, _ in rows])
-    back = np.arange(len(rows)) % 5 == 4
+    kept = held_back()
+    back = np.array([text in kept for _, text in told] + [i % HELD_SHARE == HELD_SHARE - 1 for i in range(len(unknown))])
     target = np.eye(len(families))[y]
     each = 1 / np.bincount(y, minlength=len(families))[y]
     each[back] = 0
@@ -136,26 +148,47 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def templates() -> list[tuple[str, int, str]]:
-    """Family, template and feature: names without articles, and excerpts."""
+def templates() -> list[tuple[str, int, str, bool]]:
+    """Family, template, feature, and whether a paragraph must have it: names without articles, names of one word with their carriers, and excerpts.
+
+    A name of one word must be there itself, and of its carrier the longest word.
+    """
     made, number = [], 0
+
+    def add(family: str, text: str, *must: str) -> None:
+        nonlocal number
+        number += 1
+        made.extend((family, number, f, f in must) for f in features(text))
+
     for family in {**NAMES, **EXCERPTS}:
-        for text in (*NAMES.get(family, ()), *EXCERPTS.get(family, ())):
-            plain = re.sub(r"^(the|a) ", "", text, flags=re.I)
-            number += 1
-            made += [(family, number, f) for f in features(plain)]
+        for name in NAMES.get(family, ()):
+            words = tokens(_plain(name))
+            if len(words) > 1:
+                add(family, _plain(name))
+                continue
+            for carrier in CARRIERS:
+                carried = max((w for w in tokens(carrier.format("")) if w not in EVERYDAY), key=len)
+                add(family, carrier.format(name), words[0], carried)
+        for text in EXCERPTS.get(family, ()):
+            add(family, text)
     return made
 
 
+def _plain(name: str) -> str:
+    return re.sub(r"^(the|a) ", "", name, flags=re.I)
+
+
 def needed() -> str:
     """A pattern in lower case that finds a word in every paragraph which holds the share ALIKE of a template; others cannot be confirmed.
 
     Such a paragraph lacks fewer of a template's features than the words chosen for it occur in, so it holds one of them.
     """
     by: dict[int, list[str]] = {}
-    for _, number, feature in templates():
+    for _, number, feature, _ in templates():
         by.setdefault(number, []).append(feature)
-    chosen: set[str] = set()
+    chosen = {words[0] for names in NAMES.values() for name in names if len(words := tokens(_plain(name))) == 1}
+    for number in {number for _, number, _, must in templates() if must}:
+        del by[number]
     for held in sorted(by.values(), key=len):
         lacking = len(held) - math.ceil(ALIKE * len(held) - 1e-9)  # at most, in a paragraph that is alike
         met = lambda w: {f for f in held if w in f.split()}
@@ -170,44 +203,81 @@ def needed() -> str:
 def paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, digest, line, paragraph of the paragraphs with a needed word or an anchor, and their features."""
     docs = docs.filter(_held("text")).select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
-    held = docs.filter(_held("paragraph"))
-    held = held.withColumn("words", F.regexp_extract_all(F.lower("paragraph"), F.lit(f"({TOKEN})"), F.lit(1)))
+    return _with_features(docs.filter(_held("paragraph")))
+
+
+def _with_features(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("words", F.regexp_extract_all(F.lower("paragraph"), F.lit(f"({TOKEN})"), F.lit(1)))
     pairs = F.transform(F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.col("words")[i], w))
-    return held.withColumn("features", F.array_distinct(F.concat("words", pairs))).drop("words")
+    return rows.withColumn("features", F.array_distinct(F.concat("words", pairs))).drop("words")
 
 
 def _held(text: str) -> Column:
     return F.lower(text).rlike(needed()) | F.col(text).rlike(ANCHOR)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+KEY = ("doc_id", "digest", "line")
+
+
+def _any_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Paragraphs of some documents, chosen by a threshold on their hashes: a few times SAMPLE, however many documents there are."""
+    part = max(1, docs.count() // (2 * SAMPLE))
+    some = docs.filter(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(part)) == 0).select(F.explode(F.split("text", "\n")).alias("paragraph"))
+    some = some.filter(F.col("paragraph").rlike(r"[\p{L}\p{N}]") & ~_held("paragraph"))  # those that are held may be notices
+    return scratch.keep(_with_features(some.distinct()).select(F.xxhash64("paragraph").alias("h"), "features"), "some")
+
+
+def _sampled(rows: DataFrame, n: int) -> list[list[str]]:
+    return [r["features"] for r in rows.orderBy("h", F.array_join("features", " ")).limit(n).select("features").collect()]
+
+
+def _held_with_alike(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The paragraphs that can be notices (KEY, features), and for each family with a shared template KEY, t_family and alike."""
+    spark, told = docs.sparkSession, templates()
+    known = sorted({f for _, _, f, _ in told} | {f for _, text in notices() for f in features(text)})  # no other feature counts
+    held = paragraphs(docs).withColumn("features", F.array_intersect("features", F.lit(known)))
+    held = scratch.keep(held.drop("paragraph").distinct(), "paragraphs")
+    table = literal(spark, [{"t_family": f, "template": n, "feature": w, "must": m} for f, n, w, m in told], "t_family string, template int, feature string, must boolean")
+    size = table.groupBy(F.col("t_family").alias("f0"), F.col("template").alias("n0")).agg(F.count("*").alias("of"), F.count_if("must").alias("needed"))
+    each = held.select(*KEY, F.explode("features").alias("w")).join(F.broadcast(table), F.col("w") == F.col("feature"))
+    shared = each.groupBy(*KEY, "t_family", "template").agg(F.count("*").alias("n"), F.count_if("must").alias("met"))
+    shared = shared.join(F.broadcast(size), (F.col("t_family") == F.col("f0")) & (F.col("template") == F.col("n0"))).filter(F.col("met") == F.col("needed"))
+    alike = shared.groupBy(*KEY, "t_family").agg(F.max(F.col("n") / F.col("of")).alias("alike"))
+    return held, scratch.keep(alike, "alike")
+
+
+def _same(prefix: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(f"{prefix}doc_id")) & (F.col("digest") == F.col(f"{prefix}digest")) & (F.col("line") == F.col(f"{prefix}line"))
+
+
+def learned(docs: DataFrame, scratch: Scratch, held: DataFrame, alike: DataFrame) -> Model:
+    """The model that this corpus trains: SAMPLE paragraphs at most reach the driver, as their words."""
+    notices_here = alike.filter(F.col("alike") >= ALIKE).select(*(F.col(k).alias(f"n_{k}") for k in KEY)).distinct()
+    near = held.join(notices_here, _same("n_"), "left_anti").select("features").distinct().withColumn("h", F.xxhash64(F.array_join("features", " ")))
+    part = max(1, near.count() // (2 * SAMPLE))
+    near = scratch.keep(near.filter(F.pmod("h", F.lit(part)) == 0), "near")
+    return train(_sampled(near, SAMPLE // 2) + _sampled(_any_paragraphs(docs, scratch), SAMPLE // 2))
+
+
+def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, digest, line, family, probability, alike, confirmed of every paragraph with a needed word or an anchor.
 
-    Null and empty texts hold none. Rows alike in doc_id and text are scanned once.
+    Null and empty texts hold none. Rows alike in doc_id and text are scanned once. Without a model, docs trains one.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    plain = docs.filter(~F.col("text").rlike(ANCHOR) & (F.length("text") > 0)).select(F.xxhash64("text").alias("h"), F.substring_index("text", "\n", 1).alias("first"))
-    model = train([r["first"] for r in plain.orderBy("h", "first").limit(SAMPLE).select("first").collect()])
-    known = sorted({f for _, _, f in templates()} | set(model.weight))  # no other feature counts
-    held = paragraphs(docs).withColumn("features", F.array_intersect("features", F.lit(known)))
-    held = scratch.keep(held.drop("paragraph").distinct(), "paragraphs")
-    key = ("doc_id", "digest", "line")
-    scored = _scores(spark, held, key, model)
+    held, alike = _held_with_alike(docs, scratch)
+    model = model or learned(docs, scratch, held, alike)
+    scored = _scores(spark, held, KEY, model)
     best = F.array_max(F.transform("scores", lambda s, i: F.struct(s.alias("score"), (-i).alias("i"))))
     total = F.aggregate(F.transform("scores", lambda s: F.exp((s - F.array_max("scores")) / model.temperature)), F.lit(0.0), lambda a, e: a + e)
     said = scored.withColumn("best", best).withColumn("probability", 1 / total)
     names = F.array(*map(F.lit, model.families))
-    said = said.select(*key, names[-F.col("best.i")].alias("said"), "probability")
+    said = said.select(*KEY, names[-F.col("best.i")].alias("said"), "probability")
     said = scratch.keep(said, "said")
-    table = literal(spark, [{"t_family": f, "template": n, "feature": w} for f, n, w in templates()], "t_family string, template int, feature string")
-    size = table.groupBy(F.col("t_family").alias("f0"), F.col("template").alias("n0")).agg(F.count("*").alias("of"))
-    each = held.select(*key, F.explode("features").alias("w")).join(F.broadcast(table), F.col("w") == F.col("feature"))
-    shared = each.groupBy(*key, "t_family", "template").agg(F.count("*").alias("n")).join(F.broadcast(size), (F.col("t_family") == F.col("f0")) & (F.col("template") == F.col("n0")))
-    alike = shared.groupBy(*(F.col(k).alias(f"a_{k}") for k in key), F.col("t_family")).agg(F.max(F.col("n") / F.col("of")).alias("alike"))
-    on = F.col("doc_id").eqNullSafe(F.col("a_doc_id")) & (F.col("digest") == F.col("a_digest")) & (F.col("line") == F.col("a_line")) & (F.col("said") == F.col("t_family"))
-    made = said.join(alike, on, "left").withColumn("alike", F.coalesce("alike", F.lit(0.0)))
+    alike = alike.select(*(F.col(k).alias(f"a_{k}") for k in KEY), "t_family", "alike")
+    made = said.join(alike, _same("a_") & (F.col("said") == F.col("t_family")), "left").withColumn("alike", F.coalesce("alike", F.lit(0.0)))
     sure = (F.col("said") != UNKNOWN) & (F.col("probability") >= PROBABLE) & (F.col("alike") >= ALIKE)
-    return made.select(*key, F.when(sure, F.col("said")).otherwise(UNKNOWN).alias("family"), "probability", "alike", sure.alias("confirmed"))
+    return made.select(*KEY, F.when(sure, F.col("said")).otherwise(UNKNOWN).alias("family"), "probability", "alike", sure.alias("confirmed"))
 
 
 def literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -217,7 +287,7 @@ def literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 def _scores(spark: SparkSession, held: DataFrame, key: tuple[str, ...], model: Model) -> DataFrame:
     """key and scores: a number for each family, the weights of the paragraph's features added up; none for the empty one, which holds paragraphs without a known feature."""
-    weights = literal(spark, [{"feature": f, "weight": w.tolist()} for f, w in model.weight.items()] + [{"feature": "", "weight": [0.0] * len(model.families)}], "feature string, weight array<double>")
+    weights = literal(spark, [{"feature": f, "weight": w.round(6).tolist()} for f, w in model.weight.items()] + [{"feature": "", "weight": [0.0] * len(model.families)}], "feature string, weight array<double>")
     each = held.select(*key, F.explode(F.array_append("features", F.lit(""))).alias("w")).join(F.broadcast(weights), F.col("w") == F.col("feature"))
     sums = [(F.sum(F.col("weight")[i]) + float(model.intercept[i])).alias(f"s{i}") for i in range(len(model.families))]
     return each.groupBy(*key).agg(*sums).select(*key, F.array(*(F.col(f"s{i}") for i in range(len(model.families)))).alias("scores"))

@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 from noticeloom.llm import licenses
 
@@ -59,3 +60,59 @@ def test_every_notice_is_scanned(spark):
     assert all(r["n_paragraphs"] == 1 for r in got.values())
     assert [got[i]["families"] for i, (_, t) in enumerate(notices) if t in ("Released under MIT.", "Published under BSD-3-Clause.", "Available under MPL-2.0.")] == ["MIT", "BSD-3-Clause", "MPL-2.0"]
     assert all(re.search(licenses.ANCHOR, t) for _, t in notices)
+
+
+@pytest.mark.parametrize("text", ["Prof. Lee of MIT holds the copyright of the book.", "Distributed under the terms of our contract.", "The LGPL is the topic of the talk.", "Copyright law and the MIT Press."])
+def test_names_alone_are_no_notices(text):
+    """A name of one word counts only with what carries it; the brute force of the comparison, without Spark."""
+    words, by = set(licenses.features(text)), {}
+    for family, number, feature, must in licenses.templates():
+        by.setdefault((family, number), []).append((feature, must))
+    alike = {k: sum(f in words for f, _ in v) / len(v) for k, v in by.items() if all(f in words for f, must in v if must)}
+    assert all(share < licenses.ALIKE for share in alike.values())
+
+
+def test_probabilities_are_calibrated():
+    """Of notices with carriers that training did not see, and sentences without a licence, the mean probability of what is said is near the share that is right."""
+    model, kept = licenses.train([licenses.features(t) for t in licenses.OTHERS]), licenses.held_back()
+    rows = [(f, t) for f, t in dict.fromkeys(licenses.notices()) if t in kept or f == licenses.UNKNOWN]
+    told = []
+    for family, text in rows:
+        z = model.intercept + sum(model.weight[w] for w in licenses.features(text) if w in model.weight)
+        e = np.exp((z - z.max()) / model.temperature)
+        told.append((e.max() / e.sum(), model.families[int(z.argmax())] == family))
+    p, right = map(np.array, zip(*told))
+    assert right.mean() > 0.95 and abs(p.mean() - right.mean()) < 0.1
+
+
+def test_scores_match_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    notes = [(10**6 + i, "A line before.\n" + text) for i, (text, _) in enumerate(NOTICES)]
+    docs = docs.union(spark.createDataFrame(notes, DOCS))
+    model = licenses.train([licenses.features(t) for t in licenses.OTHERS])
+    got = {(r["doc_id"], r["line"]): r for r in licenses.scan(docs, model).collect()}
+    by, seen = {}, 0
+    for family, number, feature, must in licenses.templates():
+        by.setdefault((family, number), []).append((feature, must))
+    needed, anchor = re.compile(licenses.needed().replace(r"\p{L}\p{N}", r"^\W_").replace("[^\\W_]", "[^\\W_]")), re.compile(licenses.ANCHOR)
+    for r in docs.collect():
+        for line, text in enumerate((r["text"] or "").split("\n")):
+            if not (needed.search(text.lower()) or anchor.search(text)):
+                assert (r["doc_id"], line) not in got
+                continue
+            seen += 1
+            words = licenses.features(text)
+            z = model.intercept + sum((model.weight[w] for w in words if w in model.weight), np.zeros(len(model.families)))
+            e = np.exp((z - z.max()) / model.temperature)
+            said = model.families[int(z.argmax())]
+            alike = max((sum(f in words for f, _ in v) / len(v) for (family, _), v in by.items() if family == said and all(f in words for f, must in v if must)), default=0.0)
+            row = got[r["doc_id"], line]
+            assert row["probability"] == pytest.approx(e.max() / e.sum(), abs=1e-4) and row["alike"] == pytest.approx(alike)
+            sure = said != licenses.UNKNOWN and e.max() / e.sum() >= licenses.PROBABLE and alike >= licenses.ALIKE
+            assert (row["family"], row["confirmed"]) == (said if sure else licenses.UNKNOWN, sure)
+    assert seen == len(got) > 10
+
+
+def test_long_and_hostile_texts(spark):
+    texts = ["copyright " + "1." * 100_000 + "1", "copyright " + "a" * 100_000, "license " * 20_000, "mit " + "-" * 100_000, "copyright\n" * 20_000]
+    assert licenses.license_report(spark.createDataFrame(list(enumerate(texts)), DOCS), ).count() == len(texts)
