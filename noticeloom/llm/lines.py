@@ -79,12 +79,14 @@ def numbered_lines(docs: DataFrame, least: int) -> DataFrame:
 KEY = ("doc_id", "digest", "place")
 
 
-def _sorted_names(rows: DataFrame, pair: tuple[str, str], scratch: Scratch, name: str) -> DataFrame:
-    """KEY and rank of the rows whose pair occurs again; ranks ascend with the pairs.
+def _sorted_groups(rows: DataFrame, by: tuple[str, ...], scratch: Scratch, name: str) -> DataFrame:
+    """KEY, by, group, again and first of rows: groups ascend with the columns in by (integers, not null), equal ones share one.
 
-    A task of the range sort numbers its groups from its own number on. Only a group that crosses into the next task
-    needs more: each task's first and last pairs, a row a task, tell which groups go on.
+    again: another row has the group; first: no row of the group has a lesser KEY. Rows are sorted by range over the cluster,
+    KEY behind by, so that a group of any size is spread over tasks. A task numbers its groups from its own number on. Only
+    a group that crosses into the next task needs more: each task's first and last groups, a row a task, tell which go on.
     """
+    names = [f"g{i}" for i in range(len(by))]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -98,43 +100,51 @@ def _sorted_names(rows: DataFrame, pair: tuple[str, str], scratch: Scratch, name
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (batch.column(c).to_numpy() for c in "xy")
-            new = np.empty(len(x), bool)
-            new[0] = last is None or (x[0], y[0]) != last
-            new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            starts = np.where(new, np.arange(seen, seen + len(x)), 0)
+            columns = [batch.column(c).to_numpy() for c in names]
+            new = np.zeros(len(columns[0]), bool)
+            new[0] = last is None or tuple(c[0] for c in columns) != last
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            starts = np.where(new, np.arange(seen, seen + len(new)), 0)
             starts[0] = starts[0] if new[0] else group
             starts = np.maximum.accumulate(starts)
-            seen, group, last = seen + len(x), int(starts[-1]), (x[-1], y[-1])
+            seen, group, last = seen + len(new), int(starts[-1]), tuple(c[-1] for c in columns)
             rank = (np.int64(task) << np.int64(40)) + starts
-            ranked = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank)], [*batch.schema.names, "rank"])
+            ranked = pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank), pa.array(new)], [*batch.schema.names, "rank", "first"])
             if held is not None:
                 yield out(held[0], np.array([held[1] or not new[0]]))
-            yield out(ranked.slice(0, len(x) - 1), ~new[:-1] | ~new[1:])
-            held = ranked.slice(len(x) - 1), not new[-1]
+            yield out(ranked.slice(0, len(new) - 1), ~new[:-1] | ~new[1:])
+            held = ranked.slice(len(new) - 1), not new[-1]
         if held is not None:
             yield out(held[0], np.array([held[1]]))
 
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.select(*KEY, F.col(pair[0]).alias("x"), F.col(pair[1]).alias("y"))
-    dealt = dealt.repartitionByRange(parts, "x", "y", *KEY).sortWithinPartitions("x", "y", *KEY)
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(*KEY, *(F.col(c).cast("long").alias(g) for c, g in zip(by, names)))
+    dealt = dealt.repartitionByRange(parts, *names, *KEY).sortWithinPartitions(*names, *KEY)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    ranked = scratch.keep(dealt.mapInArrow(number, f"{kinds}, rank bigint, again boolean"), f"{name}_all")
-    task = F.shiftright("rank", 40)
-    ends = ranked.groupBy(task.alias("task")).agg(F.min(F.struct("rank", "x", "y")).alias("first"), F.max(F.struct("rank", "x", "y")).alias("last"))
-    ends = sorted(ends.collect(), key=lambda r: r["task"])  # two pairs a task
+    ranked = scratch.keep(dealt.mapInArrow(number, f"{kinds}, rank bigint, first boolean, again boolean"), name)
+    one = F.struct("rank", *names)
+    ends = ranked.groupBy(F.shiftright("rank", 40).alias("task")).agg(F.min(one).alias("first"), F.max(one).alias("last"))
+    ends = sorted(ends.collect(), key=lambda r: r["task"])  # two groups a task
     goes_on, of_last = {}, None
     for r in ends:
         if of_last is not None and tuple(r["first"])[1:] == of_last[1]:
             goes_on[r["first"]["rank"]] = of_last[0]
-        one = r["first"]["rank"] == r["last"]["rank"]
-        of_last = (goes_on.get(r["last"]["rank"], r["last"]["rank"]) if one else r["last"]["rank"], tuple(r["last"])[1:])
-    rank, again = F.col("rank"), F.col("again")
+        whole = r["first"]["rank"] == r["last"]["rank"]
+        of_last = (goes_on.get(r["last"]["rank"], r["last"]["rank"]) if whole else r["last"]["rank"], tuple(r["last"])[1:])
     if goes_on:
-        table = F.create_map(*[F.lit(x) for kv in goes_on.items() for x in kv])
-        again = again | rank.isin(*goes_on, *goes_on.values())
-        rank = F.coalesce(table[rank], rank)
-    made = scratch.keep(ranked.filter(again).select(*KEY, rank.alias("rank")), name)
+        crossing = spark.createDataFrame([(r, goes_on.get(r, r)) for r in {*goes_on, *goes_on.values()}], "r0 long, r1 long")
+        ranked = ranked.join(F.broadcast(crossing), F.col("rank") == F.col("r0"), "left")  # two rows a task at most
+        again, first = F.col("again") | F.col("r0").isNotNull(), F.col("first") & F.coalesce(F.col("r0") == F.col("r1"), F.lit(True))
+        ranked = ranked.withColumns({"again": again, "first": first, "rank": F.coalesce("r1", "rank")})
+    return ranked.select(*KEY, *(F.col(g).alias(c) for c, g in zip(by, names)), F.col("rank").alias("group"), "again", "first")
+
+
+def _sorted_names(rows: DataFrame, pair: tuple[str, str], scratch: Scratch, name: str) -> DataFrame:
+    """KEY and rank of the rows whose pair occurs again; ranks ascend with the pairs."""
+    made = _sorted_groups(rows, pair, scratch, f"{name}_all").filter("again").select(*KEY, F.col("group").alias("rank"))
+    made = scratch.keep(made, name)
     scratch.drop(f"{name}_all")
     return made
 
@@ -187,10 +197,7 @@ def repeated_places(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -
             fit = fit.withColumn("tail", F.lit(0).cast("long"))
         fit = fit.select(*KEY, "size", "rank", "tail")
         found = fit if found is None else found.union(fit)
-    found = scratch.keep(found, "found")
-    first = found.groupBy("size", "rank", "tail").agg(F.min(F.struct(*KEY)).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = first.select(F.col("size").alias("s0"), F.col("rank").alias("r0"), F.col("tail").alias("t0"), "first")
-    later = found.join(first, (F.col("size") == F.col("s0")) & (F.col("rank") == F.col("r0")) & (F.col("tail") == F.col("t0"))).filter(~F.struct(*KEY).eqNullSafe(F.col("first")))
+    later = _sorted_groups(found, ("size", "rank", "tail"), scratch, "found").filter("not first")
     later = later.select(*KEY[:2], F.col("place").alias("lo"), (F.col("place") + F.col("size") - 1).alias("hi"))
     # Overlapping runs become one per document and stretch of places, then places become lines of the text.
     by_doc = Window.partitionBy(*KEY[:2]).orderBy("lo", "hi")
