@@ -7,10 +7,11 @@ discounts left. A text is read once from left to right: a token is tried in the
 weights added until an arc carries the token, and the arc's target is the next state.
 
 Every word and every n-gram of the training rows is kept, so the model grows with the corpus and no process holds it
-whole. Texts are cut into blocks; a block's distinct n-grams are counted there and sent, by their hashes, to buckets whose
-number follows the corpus. A bucket adds the counts up and answers each block with those that it asked for. The arcs of one
-history lie in many buckets, so a history before a third of all words is no hot group: a state needs only its own count,
-which it has as an n-gram of one size less, and how many kinds of arcs it has, which the buckets tell each other. Failure
+whole. Texts are cut into blocks; a block's distinct n-grams are counted there and sent, by their histories, to buckets
+whose number follows the corpus. A bucket adds the counts up and answers each block with those that it asked for. A state
+needs its own count, which it has as an n-gram of one size less, and how many kinds of arcs it has. A history that occurs
+more often than a bucket holds is hot: its arcs are dealt out by their own hashes, and the buckets' numbers of kinds are
+added up; there is at most one such history for each bucket's share of the training tokens, and these are broadcast. Failure
 arcs are followed from the longest history, so a token's probability is built from the unigram upwards. Words are known
 by 64 bits of BLAKE2b, histories by 64 bits mixed from these, the word after one by 32.
 
@@ -29,7 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -312,8 +313,16 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _keys(history: np.ndarray, word: np.ndarray, size: int) -> np.ndarray:
-    return history if size == 1 else _after(history, word)
+def _is_hot(history: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Whether each history is one of hot (in order)."""
+    if not len(hot):
+        return np.zeros(len(history), bool)
+    return hot[np.minimum(np.searchsorted(hot, history), len(hot) - 1)] == history
+
+
+def _place(history: np.ndarray, word: np.ndarray, buckets: int, hot: np.ndarray) -> np.ndarray:
+    """The bucket of each n-gram: its history's, or its own where the history is hot."""
+    return _bucket(np.where(_is_hot(history, hot), _after(history, word), history), buckets)
 
 
 def _distinct(history: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -339,75 +348,70 @@ def _unpack(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
-def _asked(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
-    """size, bucket, block, histories, words, n: the n-grams of a size in each block for each bucket, a range of their hashes."""
+def _asked(blocks: DataFrame, size: int, buckets: int, hot: Broadcast) -> DataFrame:
+    """bucket, block, histories, words, n: the n-grams of a size in each block for each bucket, a range of histories' hashes."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 history, word, n, _, _ = Block(row).grams(size)
-                bucket = _bucket(_keys(history, word, size), buckets)
+                bucket = _place(history, word, buckets, hot.value)
                 order = np.argsort(bucket, kind="stable")
                 history, word, n = history[order], word[order], n[order]
                 held, starts = np.unique(bucket[order], return_index=True)
                 ends = np.append(starts, len(history))[1:]
                 parts = [(_pack(np.diff(history[a:b], prepend=np.uint64(0))), _pack(word[a:b]), _pack(n[a:b])) for a, b in zip(starts, ends)]
-                columns = [pa.array(np.full(len(held), size, np.int32)), pa.array(held.astype(np.int64)), pa.array([row["block"]] * len(held), pa.int64())]
+                columns = [pa.array(held.astype(np.int64)), pa.array([row["block"]] * len(held), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(list(x), pa.binary()) for x in (zip(*parts) if parts else ([], [], []))], names)
 
-    names = ["size", "bucket", "block", "histories", "words", "n"]
-    return blocks.mapInArrow(ask, "size int, bucket bigint, block bigint, histories binary, words binary, n binary")
-
+    names = ["bucket", "block", "histories", "words", "n"]
+    return blocks.mapInArrow(ask, "bucket bigint, block bigint, histories binary, words binary, n binary")
 
-#: Answers of a bucket: kinds is the bucket's distinct n-grams, told once. Rows without a block carry, to the bucket of a
-#: size less, histories in n and how many kinds of tokens follow them here in after.
-ANSWER = "size int, bucket bigint, block bigint, kinds bigint, n binary, after binary"
 
+#: Answers of a bucket to a block, and rows of the bucket itself: at KINDS, hot histories (in n) and how many kinds of tokens
+#: follow them in this bucket; at MANY, the n-grams that occur more than BUCKET times, which are hot as histories.
+ANSWER, KINDS, MANY = "size int, bucket bigint, block bigint, kinds bigint, n binary, after binary", -1, -2
 
-def _answer(asked: pa.Table, kinds: pa.Table | None, size: int, buckets: int) -> pa.Table:
-    """For each block's n-grams in one bucket, how often they occur and how many kinds of tokens follow them.
 
-    kinds: the counts of kinds that the buckets of one size more have for the n-grams here as histories.
-    """
+def _answer(asked: pa.Table, size: int, hot: np.ndarray, limit: int) -> pa.Table:
+    """For each block's n-grams in one bucket, how often they occur, and how many kinds of tokens follow their histories (0 for hot ones)."""
     parts = [(np.cumsum(_unpack(h, np.uint64), dtype=np.uint64), _unpack(w, np.uint32), _unpack(n, np.int32)) for h, w, n in zip(*(asked.column(c).to_pylist() for c in ("histories", "words", "n")))]
-    rows: list[tuple] = []
-    if parts:
-        history, word, n = (np.concatenate(x) for x in zip(*parts))
-        h, w, gram, where = _distinct(history, word)
-        count = np.add.reduceat(n[where], np.flatnonzero(np.diff(gram, prepend=-1)), dtype=np.int64)
-        after = np.zeros(len(h), np.int32)
-        if kinds is not None and kinds.num_rows:
-            keys = np.concatenate([np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in kinds.column("n").to_pylist()])
-            told = np.concatenate([_unpack(x, np.int32) for x in kinds.column("after").to_pylist()])
-            mine = _keys(h, w, size)
-            order = np.argsort(mine)
-            np.add.at(after, order[np.searchsorted(mine, keys, sorter=order)], told)
-        place = np.empty(len(n), np.int64)
-        place[where] = gram
-        ends = np.cumsum([len(p[2]) for p in parts])
-        whole = int((count > 0).sum())
-        for block, bucket, e, p in zip(asked.column("block").to_pylist(), asked.column("bucket").to_pylist(), ends, parts):
-            x = place[e - len(p[2]) : e]
-            rows.append((size, bucket, block, whole, _pack(count[x]), _pack(after[x])))
-            whole = 0
-        if size > 1:
-            seen = h[count > 0]  # in order
-            first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])[: len(seen)])
-            many = np.diff(np.append(first, len(seen))).astype(np.int32)
-            seen = seen[first]
-            held, starts = np.unique(_bucket(seen, buckets), return_index=True)
-            for bucket, a, b in zip(held.tolist(), starts, np.append(starts, len(seen))[1:]):
-                rows.append((size - 1, bucket, -1, 0, _pack(np.diff(seen[a:b], prepend=np.uint64(0))), _pack(many[a:b])))
-    kinds_of = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds_of)], ["size", "bucket", "block", "kinds", "n", "after"])
-
-
-def _answering(size: int, buckets: int, alone: bool = False) -> Callable[..., pa.Table]:
-    """_answer as a function of the tables alone, whose number Spark reads off its parameters."""
-    if alone:
-        return lambda asked: _answer(asked, None, size, buckets)
-    return lambda asked, kinds: _answer(asked, kinds, size, buckets)
+    history, word, n = (np.concatenate(x) for x in zip(*parts))
+    h, w, gram, where = _distinct(history, word)
+    count = np.add.reduceat(n[where], np.flatnonzero(np.diff(gram, prepend=-1)), dtype=np.int64)
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    kinds = np.add.reduceat((count > 0).astype(np.int64), first).astype(np.int32)
+    spread = _is_hot(h[first], hot)
+    after = np.repeat(np.where(spread, 0, kinds), np.diff(np.append(first, len(h)))).astype(np.int32)
+    place = np.empty(len(n), np.int64)
+    place[where] = gram
+    ends = np.cumsum([len(p[2]) for p in parts])
+    bucket, rows, whole = asked.column("bucket")[0].as_py(), [], int((count > 0).sum())
+    for block, e, p in zip(asked.column("block").to_pylist(), ends, parts):
+        x = place[e - len(p[2]) : e]
+        rows.append((size, bucket, block, whole, _pack(count[x]), _pack(after[x])))
+        whole = 0
+    if spread.any():
+        rows.append((size, bucket, KINDS, 0, _pack(h[first][spread]), _pack(kinds[spread])))
+    if (many := count > limit).any():
+        rows.append((size, bucket, MANY, 0, _pack(h[many] if size == 1 else _after(h[many], w[many])), _pack(count[many])))
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows), types)], ["size", "bucket", "block", "kinds", "n", "after"])
+
+
+def _answering(size: int, hot: Broadcast, limit: int) -> Callable[[pa.Table], pa.Table]:
+    """_answer as a function of the table alone, as Spark counts its parameters."""
+    return lambda asked: _answer(asked, size, hot.value, limit)
+
+
+def _collected(answers: DataFrame, row: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order and numbers of the buckets' own rows; equal hashes are added up. At most one hash for each BUCKET training tokens."""
+    told = answers.filter(F.col("block") == row).select("n", "after").collect()
+    keys = np.concatenate([np.empty(0, np.uint64)] + [_unpack(r["n"], np.uint64) for r in told])
+    numbers = np.concatenate([np.empty(0, np.int64)] + [_unpack(r["after"], kind).astype(np.int64) for r in told])
+    keys, of = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(of, numbers, len(keys)).astype(np.int64)
 
 
 def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER) -> DataFrame:
@@ -420,56 +424,61 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER
     blocks = scratch.keep(_blocks(docs.select("doc_id", "text", (crc_fold(folds) == held).alias("held_out"))), "blocks")
     total = blocks.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
     texts = blocks.select("block", "held", "sizes", "places", "words")
-    answers, buckets, kinds = [], total // BUCKET + 1, None
-    for size in range(order, 0, -1):  # the longest first, whose histories are n-grams of the next; what one has shuffled can then go
-        asked = _asked(texts, size, buckets).groupBy("bucket")
-        if kinds is None:
-            made = asked.applyInArrow(_answering(size, buckets, alone=True), ANSWER)
-        else:
-            made = asked.cogroup(kinds.groupBy("bucket")).applyInArrow(_answering(size, buckets), ANSWER)
+    answers, hot, spread = {}, {}, {}
+    buckets, limit = total // BUCKET + 1, BUCKET
+    many = np.empty(0, np.uint64)
+    for size in range(1, order + 1):  # the shortest first: their counts tell which histories of the next size are hot
+        hot[size] = many
+        shared = spark.sparkContext.broadcast(many)
+        made = _asked(texts, size, buckets, shared).groupBy("bucket").applyInArrow(_answering(size, shared, limit), ANSWER)
         made = scratch.keep(made, f"answers{size}")
-        answers.append(made.filter("block >= 0"))
-        kinds = made.filter("block < 0").select("bucket", "n", "after")
-        del asked
+        answers[size] = made.filter("block >= 0")
+        spread[size] = _collected(made, KINDS, np.int32)
+        many, _ = _collected(made, MANY, np.int64)
         gc.collect()
         for _ in range(3):  # Spark deletes a shuffle's files when the driver, the listeners too, has forgotten it
             time.sleep(1)
             spark._jvm.System.gc()
-    kinds = answers[-1].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    told = spark.sparkContext.broadcast((hot, spread))
+    kinds = answers[1].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
     shares = total + kinds + 1
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         block = Block(row)
         size_of, place_of = (np.array(right.column(c).to_pylist(), np.int64) for c in ("size", "bucket"))
-        p = base = known = lower_n = lower_kinds = None
+        hot, spread = told.value
+        p = base = known = lower = None
         for size in range(1, order + 1):
             mine = [int(i) for i in np.argsort(place_of) if size_of[i] == size]
             history, word, _, at, which = block.grams(size)
             if not len(at):
                 continue
-            by = np.argsort(_bucket(_keys(history, word, size), buckets), kind="stable")
+            by = np.argsort(_place(history, word, buckets, hot[size]), kind="stable")
             n, kinds_after = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
             n[by] = np.concatenate([_unpack(right.column("n")[i].as_py(), np.int64) for i in mine])
-            kinds_after[by] = np.concatenate([_unpack(right.column("after")[i].as_py(), np.int32) for i in mine])
             here = n[which]
             if size == 1:
                 p, known = (here + 1) / shares, here > 0
                 base = np.log10(p)
-                start = np.searchsorted(history, block.end)
-                lower_n, lower_kinds = block.before(here, n[start]), block.before(kinds_after[which], kinds_after[start])
+                lower = block.before(here, n[np.searchsorted(history, block.end)])
                 continue
-            state = lower_n[at] > 0  # a history is followed as often as it occurs
+            kinds_after[by] = np.concatenate([_unpack(right.column("after")[i].as_py(), np.int32) for i in mine])
+            keys, numbers = spread[size]
+            if len(keys):
+                there = _is_hot(history, keys)
+                kinds_after[there] = numbers[np.searchsorted(keys, history[there])]
+            state = lower[at] > 0  # a history is followed as often as it occurs
             t = at[state]
-            p[t] = (np.maximum(here[state] - DISCOUNT, 0) + DISCOUNT * lower_kinds[t] * p[t]) / lower_n[t]
-            full, many = np.zeros(len(p), np.int64), np.zeros(len(p), np.int64)
-            full[at], many[at] = here, kinds_after[which]
-            lower_n, lower_kinds = block.before(full, 0), block.before(many, 0)
+            p[t] = (np.maximum(here[state] - DISCOUNT, 0) + DISCOUNT * kinds_after[which][state] * p[t]) / lower[t]
+            full = np.zeros(len(p), np.int64)
+            full[at] = here
+            lower = block.before(full, 0)
         add = lambda x: np.bincount(block.doc, x, len(block.sizes))
         columns = [left.column("doc_id").combine_chunks().flatten(), pa.array(block.held), pa.array(block.sizes), pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(add(np.log10(p)))]
         return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = reduce(DataFrame.unionByName, answers).drop("kinds")
+    found = reduce(DataFrame.unionByName, answers.values()).drop("kinds")
     made = blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(read, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return made.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

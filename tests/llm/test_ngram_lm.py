@@ -125,3 +125,21 @@ def test_every_ngram_counts_however_large_the_corpus(spark, monkeypatch):
         _, _, score, unseen = automaton.read((texts[r["doc_id"]] or "").encode())
         assert r["score"] == pytest.approx(score + sum(unseen.values()) * automaton.unknown)
     assert max(r["score"] / r["n_tokens"] for r in rows if r["n_tokens"] > 10) > -1.5
+
+
+@pytest.mark.parametrize("bucket", [40, 400])
+def test_hot_histories_are_spread(spark, monkeypatch, bucket):
+    """Words and pairs that occur more often than a bucket holds give the same scores, for every document."""
+    import random
+
+    monkeypatch.setattr(lm, "BLOCK", 150)
+    monkeypatch.setattr(lm, "BUCKET", bucket)
+    rng = random.Random(bucket)
+    docs = [(i, " ".join(rng.choice(["the", "the", "of the", "a", f"w{rng.randint(0, 30)}"]) for _ in range(rng.randint(0, 20)))) for i in range(250)]
+    rows = lm.lm_scores(spark.createDataFrame(docs, DOCS)).collect()
+    check_base(rows, docs)
+    _, made = lm.train(spark.createDataFrame([d for d in docs if not held(d[0])], DOCS), Scratch(spark), 3)
+    automaton, texts = lm.Automaton(made["model"]), dict(docs)
+    for r in rows:
+        _, _, score, unseen = automaton.read(texts[r["doc_id"]].encode())
+        assert r["score"] == pytest.approx(score + sum(unseen.values()) * automaton.unknown)
