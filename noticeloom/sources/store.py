@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +18,7 @@ SCHEMA = "slug string, ticker string, title string, url string, publish_date str
 def read_days(spark: SparkSession, root: str, *columns: str) -> DataFrame:
     """All day files below root/year/, as text, with the file that each row is from. No files give an empty frame."""
     names = columns or COLUMNS
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*.csv")
-    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-    if not found:
+    if not has_files(spark, f"{root}/*/*.csv"):
         return spark.createDataFrame([], f"{SCHEMA}, source_file string").select(*names, "source_file")
     made = spark.read.csv(f"{root}/*/*.csv", schema=SCHEMA, header=True, multiLine=True, escape='"', enforceSchema=False)
     return made.select(*names, F.col("_metadata.file_path").alias("source_file"))
@@ -93,6 +93,10 @@ def read_day(spark: SparkSession, root: str, day: str) -> DataFrame:
     return spark.read.csv(path, schema=SCHEMA, header=True, multiLine=True, escape='"', enforceSchema=False).na.fill("")
 
 
+def has_files(spark: SparkSession, pattern: str) -> bool:
+    return bool(_files(spark, pattern))
+
+
 def _files(spark: SparkSession, pattern: str) -> list:
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     return list(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or [])
@@ -154,7 +158,16 @@ def scratch_path(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "/tmp/checkpoints"
-    return f"{root.rstrip('/')}/store-{uuid.uuid4().hex}"
+    made = f"{root.rstrip('/')}/store-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, made)
+    return made
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """What a scratch folder holds may be read as long as the program runs."""
+    with contextlib.suppress(Exception):  # the session may be gone by now
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def as_json(rows: DataFrame, *keep: str) -> DataFrame:

@@ -19,12 +19,8 @@ def ingest(spark: SparkSession, incoming: str, root: str, checkpoint: str) -> in
     def merge(batch: DataFrame, number: int) -> None:
         batch = batch.withColumn("publish_date", F.col("publish_date").cast("date"))
         days = batch.filter("publish_date IS NOT NULL").select(F.col("publish_date").alias("day")).distinct()
-        try:
-            old = store.read_day_folders(spark, root).join(days, "day", "left_semi")
-        except Exception as e:  # the store's first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = spark.createDataFrame([], f"{store.SCHEMA}, day date")
+        there = store.read_day_folders(spark, root) if store.has_files(spark, f"{root}/day=*") else spark.createDataFrame([], f"{store.SCHEMA}, day date")
+        old = there.join(days, "day", "left_semi")
         old = old.select(*(F.col(c).cast("date").alias(c) if c == "publish_date" else F.coalesce(F.col(c), F.lit("")).alias(c) if c == "publish_time" else c for c in store.COLUMNS))
         made = store.merge(old.withColumn("ordinal", F.monotonically_increasing_id()), batch)
         path = f"{checkpoint}-merged/{number}"  # the days that are read are about to be overwritten
