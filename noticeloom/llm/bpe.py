@@ -414,14 +414,15 @@ def bpe_tokens(docs: DataFrame, path: str) -> DataFrame:
     """
     content = _vocabulary(docs, path)
     names = [c for c in docs.columns if c != "tokens"]
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col("text").alias("text"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))  # the text goes to Python and back once
+    at = names.index("text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         encoder = _encoder(content.value)
         for batch in batches:
-            made = [encode_ids(encoder, raw or b"") for raw in binary(batch.column("text"))]
+            made = [encode_ids(encoder, raw or b"") for raw in binary(batch.column("row").flatten()[at])]
             ends = np.cumsum([0, *(len(x) // 4 for x in made)]).astype("int32")
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(made), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column("row"), tokens], ["row", "tokens"])
