@@ -82,7 +82,8 @@ KEY = ("doc_id", "digest", "place")
 def _sorted_groups(rows: DataFrame, by: tuple[str, ...], scratch: Scratch, name: str) -> DataFrame:
     """KEY, by, group, again and first of rows: groups ascend with the columns in by (integers, not null), equal ones share one.
 
-    again: another row has the group; first: no row of the group has a lesser KEY. Rows are sorted by range over the cluster,
+    again: another row has the group; first: no row of the group comes before it in the order of KEY, and of rows with one
+    KEY one only is first, so callers make KEYs distinct. Rows are sorted by range over the cluster,
     KEY behind by, so that a group of any size is spread over tasks. A task numbers its groups from its own number on. Only
     a group that crosses into the next task needs more: each task's first and last groups, a row a task, tell which go on.
     """
@@ -172,12 +173,26 @@ def suffix_ranks(lines: DataFrame, scratch: Scratch, depth: int) -> list[DataFra
     return ranks
 
 
+def distinct_places(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """lines with one row for each KEY: of documents listed more than once the lines of one listing.
+
+    Only lines of such documents are grouped; copies are combined before the shuffle. Others pass as they are.
+    """
+    again = lines.filter("place = 0").groupBy("doc_id", "digest").count().filter("count > 1")
+    again = scratch.keep(again.select(F.col("doc_id").alias("d0"), F.col("digest").alias("g0")), "again")
+    if again.isEmpty():
+        return lines
+    marked = lines.join(again, lines["doc_id"].eqNullSafe(F.col("d0")) & (lines["digest"] == F.col("g0")), "left").withColumn("twice", F.col("g0").isNotNull())
+    once = marked.filter(~F.col("twice")).select(lines.columns)
+    return scratch.keep(once.unionByName(marked.filter("twice").select(lines.columns).dropDuplicates([*KEY])), "places")
+
+
 def repeated_places(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, digest, begin, end (lines of the text, end not included) of later copies of repeated runs.
 
     The first copy is the one at the least doc_id (null first), then digest, then place.
     """
-    lines = scratch.keep(numbered_lines(docs, least), "lines")
+    lines = distinct_places(scratch.keep(numbered_lines(docs, least), "lines"), scratch)
     longest = lines.agg(F.greatest(F.max("ahead"), F.max("back"))).first()[0] or 0  # at most least, as every line has a word
     ranks = suffix_ranks(lines, scratch, longest)
     # The runs to look up, by their first place and length, where the first line occurs again at all.
@@ -215,7 +230,8 @@ def repeated_places(docs: DataFrame, scratch: Scratch, least: int = MIN_WORDS) -
 def cut_lines(docs: DataFrame, least: int = MIN_WORDS, scratch: Scratch | None = None) -> DataFrame:
     """docs with the column cuts added (array of begin, end; null if nothing repeats): lines that are later copies.
 
-    Rows alike in doc_id and text are one document listed twice and share its cuts. Null texts have no lines.
+    Rows alike in doc_id and text are one document listed more than once: they are no copies of each other and share that
+    document's cuts. Null texts have no lines.
     """
     scratch = scratch or Scratch(docs.sparkSession)
     cuts = repeated_places(docs, scratch, least)

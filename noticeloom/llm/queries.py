@@ -80,20 +80,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_pareto_mix, op2_line_dedup, op3_quality_rules, op4_pii_surrogates, op5_toxicity, op6_bpe_round_trip, op7_license_scan, op8_simhash_groups, op9_multiset_fingerprints, op10_backoff_lm, op11_elkan_clusters, op12_periodic_runs, op13_url_rules)
 }
 #: Runs of lines with 50 words or more, the shortest from each line on and back to each line; all but the first copy go.
-LINES_SQL = """WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents),
-l AS (SELECT doc_id, unnest(range(len(a))) AS i, unnest(a) AS line FROM d),
+LINES_SQL = """WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS r, doc_id, text, string_split(text, chr(10)) AS a FROM (SELECT DISTINCT doc_id, text FROM documents)),
+l AS (SELECT r, unnest(range(len(a))) AS i, unnest(a) AS line FROM d),
 w AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM l),
-s AS (SELECT doc_id, i, line, n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM w WHERE n > 0),
-pairs AS (SELECT a.doc_id, a.p AS a, b.p AS b FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.p BETWEEN a.p AND a.p + 49 AND b.upto - a.upto + a.n >= 50),
-runs AS (SELECT doc_id, a, min(b) AS b FROM pairs GROUP BY ALL UNION SELECT doc_id, max(a), b FROM pairs GROUP BY doc_id, b),
-texts AS (SELECT r.doc_id, r.a, r.b, string_agg(s.line, chr(10) ORDER BY s.p) AS t FROM runs r JOIN s ON s.doc_id = r.doc_id AND s.p BETWEEN r.a AND r.b GROUP BY ALL),
-later AS (SELECT doc_id, a, b FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, a) AS k FROM texts) WHERE k > 1),
-gone AS (SELECT DISTINCT s.doc_id, s.i, s.p FROM s JOIN later r ON s.doc_id = r.doc_id AND s.p BETWEEN r.a AND r.b),
-stretch AS (SELECT x.doc_id, x.i AS lo, y.i AS hi FROM gone x JOIN gone y ON x.doc_id = y.doc_id AND y.p = x.p + 1),
-kept AS (SELECT l.* FROM l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.i = l.i) AND NOT EXISTS (SELECT 1 FROM stretch t WHERE t.doc_id = l.doc_id AND l.i > t.lo AND l.i < t.hi)),
-k AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM kept GROUP BY doc_id)
-SELECT d.doc_id, coalesce(CAST(len(d.a) AS BIGINT), 0) AS n_lines, coalesce(CAST(len(d.a) AS BIGINT), 0) - coalesce(k.n, 0) AS n_cut, CAST(length(coalesce(k.t, '')) AS BIGINT) AS n_chars_left, sha256(coalesce(k.t, '')) AS kept_sha256
-FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""
+s AS (SELECT r, i, line, n, row_number() OVER (PARTITION BY r ORDER BY i) AS p, sum(n) OVER (PARTITION BY r ORDER BY i) AS upto FROM w WHERE n > 0),
+pairs AS (SELECT a.r, a.p AS a, b.p AS b FROM s a JOIN s b ON a.r = b.r AND b.p BETWEEN a.p AND a.p + 49 AND b.upto - a.upto + a.n >= 50),
+runs AS (SELECT r, a, min(b) AS b FROM pairs GROUP BY ALL UNION SELECT r, max(a), b FROM pairs GROUP BY r, b),
+texts AS (SELECT x.r, x.a, x.b, string_agg(s.line, chr(10) ORDER BY s.p) AS t FROM runs x JOIN s ON s.r = x.r AND s.p BETWEEN x.a AND x.b GROUP BY ALL),
+later AS (SELECT r, a, b FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY r, a) AS k FROM texts) WHERE k > 1),
+gone AS (SELECT DISTINCT s.r, s.i, s.p FROM s JOIN later x ON s.r = x.r AND s.p BETWEEN x.a AND x.b),
+stretch AS (SELECT x.r, x.i AS lo, y.i AS hi FROM gone x JOIN gone y ON x.r = y.r AND y.p = x.p + 1),
+kept AS (SELECT l.* FROM l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.r = l.r AND g.i = l.i) AND NOT EXISTS (SELECT 1 FROM stretch t WHERE t.r = l.r AND l.i > t.lo AND l.i < t.hi)),
+k AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t FROM kept GROUP BY r)
+SELECT o.doc_id, coalesce(CAST(len(d.a) AS BIGINT), 0) AS n_lines, coalesce(CAST(len(d.a) AS BIGINT), 0) - coalesce(k.n, 0) AS n_cut, CAST(length(coalesce(k.t, '')) AS BIGINT) AS n_chars_left, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM documents o LEFT JOIN d ON o.doc_id IS NOT DISTINCT FROM d.doc_id AND o.text IS NOT DISTINCT FROM d.text LEFT JOIN k ON d.r = k.r"""
 
 
 def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
