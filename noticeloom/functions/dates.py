@@ -5,32 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Month names, and by priority the date shapes with the formats that a match must satisfy.
+#: Month names, and by priority the shapes of dates, each with the groups that hold year, month and day.
 MONTHS = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec|January|February|March|April|May|June|July|August|September|October|November|December"
 SHAPES = (
-    (rf"\b(?:{MONTHS})\.?\s+\d{{1,2}},\s*\d{{4}}\b", ("MMM d, yyyy", "MMMM d, yyyy")),
-    (rf"\b\d{{1,2}}\s+(?:{MONTHS})\.?,?\s*\d{{4}}\b", ("d MMM, yyyy", "d MMMM, yyyy", "d MMM yyyy", "d MMMM yyyy")),
-    (r"\b\d{1,2}/\d{1,2}/\d{4}\b", ("M/d/yyyy",)),
-    (r"\b\d{4}-\d{2}-\d{2}\b", ("yyyy-MM-dd",)),
+    (rf"\b({MONTHS})\.?\s+(\d{{1,2}}),\s+(\d{{4}})\b", (3, 1, 2)),
+    (rf"\b(\d{{1,2}})\s+({MONTHS}),?\s+(\d{{4}})\b", (3, 2, 1)),
+    (r"\b(\d{1,2})/(\d{1,2})/(\d{4})\b", (3, 1, 2)),
+    (r"\b(\d{4})-(\d{2})-(\d{2})\b", (1, 2, 3)),
 )
+#: Clock times with a zone, their parts, and what may stand around a date or time that is alone.
 TIME = r"\b\d{1,2}:\d{2}\s*[AaPp]\.?[Mm]\.?\s+[A-Z]{2,5}\b"
 TIME_PARTS = r"^(\d{1,2}):(\d{2})\s*([AaPp])\.?[Mm]\.?\s+[A-Z]{2,5}$"
 BARE = " \t\r\n-–—|·•.,:"
+#: The months by their first three letters: a month's number follows from its place.
+INITIALS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+
+
+def _real_date(year: Column, month: Column, day: Column) -> Column:
+    """The date, or null where there is none such; the month is a name or a number."""
+    named = ((F.instr(F.lit(INITIALS), F.substring(month, 1, 3)) + 2) / 3).cast("int").cast("string")
+    return F.try_to_date(F.concat_ws("-", year, F.when(month.rlike(r"^\d"), month).otherwise(named), day), "yyyy-M-d")
 
 
 def _found(text: Column, last: bool) -> Column:
     """struct(date, raw): by shape first, by place second, the first match that is a real date."""
     picks = []
-    for shape, formats in SHAPES:
-        matches = F.regexp_extract_all(text, F.lit(f"({shape})"), F.lit(1))
-        matches = F.reverse(matches) if last else matches
+    for shape, order in SHAPES:
+        matches = F.regexp_extract_all(text, F.lit(shape), F.lit(0))
 
-        def read(m: Column, formats: tuple[str, ...] = formats) -> Column:
-            clean = F.regexp_replace(F.regexp_replace(m, r"\s+", " "), r"^([A-Za-z]+)\.", "$1")
-            return F.struct(F.coalesce(*(F.try_to_date(clean, f) for f in formats)).alias("date"), F.trim(m).alias("raw"))
+        def read(m: Column, shape: str = shape, order: tuple[int, ...] = order) -> Column:
+            return F.struct(_real_date(*(F.regexp_extract(m, shape, i) for i in order)).alias("date"), F.trim(m).alias("raw"))
 
-        read_one = _unary(read)
-        picks.append(F.get(F.filter(F.transform(matches, read_one), lambda c: c["date"].isNotNull()), F.lit(0)))
+        real = F.filter(F.transform(matches, _unary(read)), lambda c: c["date"].isNotNull())
+        picks.append(F.try_element_at(real, F.lit(-1 if last else 1)))
     return F.coalesce(*picks, F.struct(F.lit(None).cast("date").alias("date"), F.lit("").alias("raw")))
 
 
