@@ -22,6 +22,14 @@ def year_set(years: list[int] | None = None, start: int | None = None, end: int
     return out or None
 
 
+def cap_of(platform: Column) -> Column:
+    """The number of pages after which a walk of this platform's listings ends."""
+    out = F.lit(PAGE_CAP)
+    for name, cap in PAGE_CAPS.items():
+        out = F.when(platform == name, cap).otherwise(out)
+    return out
+
+
 def filter_items(items: DataFrame, years: set[int] | None = None, since: str | None = None, until: str | None = None, limit: int | None = None, tie: tuple[str, ...] = ()) -> DataFrame:
     """Items within all bounds, oldest first, undated ones before them; a limit keeps the oldest.
 
@@ -63,7 +71,7 @@ def start_page(pages: DataFrame, target_max: int, target_min: int, by: str = "sl
     return pages.groupBy(by).agg(F.when(newest < target_min, last + 1).otherwise(F.coalesce(first, last)).cast("long").alias("start_page"))
 
 
-def walked(pages: DataFrame, items: DataFrame, target_min: int | None = None, cap: int = PAGE_CAP, by: str = "slug") -> DataFrame:
+def walked(pages: DataFrame, items: DataFrame, target_min: int | None = None, cap: int | Column = PAGE_CAP, by: str = "slug") -> DataFrame:
     """The pages (by, page, n_new, max_year) that a walk reads before it stops.
 
     It stops after a page without new addresses, after one that is wholly older than the target, or at the cap; the

@@ -691,3 +691,6 @@ def _streamed(spark: SparkSession, first: DataFrame) -> DataFrame:
         ingest.ingest(spark, f"{root}/incoming", f"{root}/store", f"{root}/state")
     made = store.read_day_folders(spark, f"{root}/store")
     return made.select("slug", "ticker", "title", "url", F.col("day").alias("publish_date"), F.coalesce("publish_time", F.lit("")).alias("publish_time"))
+
+
+from noticeloom.plans import store_queries, walk_queries  # noqa: E402, F401  they register more, with the functions above

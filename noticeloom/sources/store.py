@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,6 +164,17 @@ def scratch_path(spark: SparkSession) -> str:
     return made
 
 
+def keeper(spark: SparkSession, root: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
+    """keep(df, name): writes df below root (a new scratch folder without one) and gives the rows read back; it cuts lineage."""
+    place = root or scratch_path(spark)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{place}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{place}/{name}")
+
+    return keep
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     """What a scratch folder holds may be read as long as the program runs."""
     with contextlib.suppress(Exception):  # the session may be gone by now
