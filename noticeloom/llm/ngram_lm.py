@@ -20,10 +20,8 @@ Automaton is the same model in one process, for a corpus that fits there.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
-import time
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
@@ -422,10 +420,11 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     blocks = scratch.keep(_blocks(docs.select("doc_id", "text", (crc_fold(folds) == held).alias("held_out"))), "blocks")
-    total = blocks.agg(F.coalesce(F.sum("train"), F.lit(0))).first()[0]
+    whole = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n)
+    total, every = blocks.agg(F.coalesce(F.sum("train"), F.lit(0)), F.coalesce(F.sum(whole), F.lit(0))).first()
     texts = blocks.select("block", "held", "sizes", "places", "words")
     answers, hot, spread = {}, {}, {}
-    buckets, limit = total // BUCKET + 1, BUCKET
+    buckets, limit = every // BUCKET + 1, BUCKET  # held-out texts ask for their n-grams too
     many = np.empty(0, np.uint64)
     for size in range(1, order + 1):  # the shortest first: their counts tell which histories of the next size are hot
         hot[size] = many
@@ -435,10 +434,6 @@ def lm_scores(docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER
         answers[size] = made.filter("block >= 0")
         spread[size] = _collected(made, KINDS, np.int32)
         many, _ = _collected(made, MANY, np.int64)
-        gc.collect()
-        for _ in range(3):  # Spark deletes a shuffle's files when the driver, the listeners too, has forgotten it
-            time.sleep(1)
-            spark._jvm.System.gc()
     told = spark.sparkContext.broadcast((hot, spread))
     kinds = answers[1].agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
     shares = total + kinds + 1
