@@ -5,7 +5,11 @@ trained here, on notices composed from carriers and names, on excerpts, and on w
 ones: any paragraphs, and such that share words with a notice without being one. A temperature fitted on carriers and
 paragraphs that were held back calibrates its probabilities. What it says is confirmed by comparison with the family's
 templates: enough of one template's words and pairs must stand in the paragraph. A name of a single word is no template
-by itself, only with what carries it.
+by itself, only with what carries it, and the numbers of a template, which tell versions apart, must all stand there. A
+paragraph that holds whole templates of other families too, as a choice of licences does, is told under each of them.
+
+A paragraph is a line and the lines that it is wrapped into: a line without a full stop, colon or the like at its end goes
+on in the next one, up to a blank line.
 """
 
 from __future__ import annotations
@@ -49,7 +53,10 @@ CARRIERS = (
 )
 #: Sentences that licence texts themselves hold.
 EXCERPTS = {
-    "MIT": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    ),
     "Apache-2.0": ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",),
     "GPL-3.0": ("either version 3 of the License, or (at your option) any later version of the GNU General Public License",),
     "GPL-2.0": ("either version 2 of the License, or (at your option) any later version of the GNU General Public License",),
@@ -84,6 +91,12 @@ EVERYDAY = frozenset("a all an and any are as at be by for form from in into is
 ANCHOR = r"(?i)licen[sc]e|copyright|public domain|rights reserved|spdx|creative commons|\bcc0\b|\bcc[ -]by|\b[al]?gpl|permission is hereby|permission to use|source and binary forms|unencumbered|unauthorized copying|\b(?:released|available|published|distributed) under\b"
 
 
+#: The end of a wrapped line: no mark that ends a sentence or clause stands before it, and no blank line behind it.
+WRAP = r"(?<=[^.!?:;\s])[ \t\r]{0,99}\n(?=[ \t]{0,99}[^\s])"
+#: A notice that says what is not the case.
+NEGATED = r"(?i)\b(?:not|never|no longer)\s+(?:\w+\s+){0,2}(?:licensed|released|distributed|published|available)\b"
+
+
 def tokens(text: str) -> list[str]:
     """The same as the scan's own words: letters and digits, numbers with their points, lower case."""
     return [t.lower() for t in re.findall(r"[^\W_]+(?:[.]\d+){0,8}", text)]
@@ -151,13 +164,14 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def templates() -> list[tuple[str, int, str, bool]]:
     """Family, template, feature, and whether a paragraph must have it: names without articles, names of one word with their carriers, and excerpts.
 
-    A name of one word must be there itself, and of its carrier the longest word.
+    A name of one word must be there itself, and of its carrier the longest word; so must every word with a digit.
     """
     made, number = [], 0
 
     def add(family: str, text: str, *must: str) -> None:
         nonlocal number
         number += 1
+        must = {*must, *(w for w in tokens(text) if any(c.isdigit() for c in w))}
         made.extend((family, number, f, f in must) for f in features(text))
 
     for family in {**NAMES, **EXCERPTS}:
@@ -187,7 +201,7 @@ def needed() -> str:
     for _, number, feature, _ in templates():
         by.setdefault(number, []).append(feature)
     chosen = {words[0] for names in NAMES.values() for name in names if len(words := tokens(_plain(name))) == 1}
-    for number in {number for _, number, _, must in templates() if must}:
+    for number in {number for _, number, feature, must in templates() if must and feature in chosen}:
         del by[number]
     for held in sorted(by.values(), key=len):
         lacking = len(held) - math.ceil(ALIKE * len(held) - 1e-9)  # at most, in a paragraph that is alike
@@ -201,11 +215,16 @@ def needed() -> str:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, line, paragraph of the paragraphs with a needed word or an anchor, and their features."""
-    docs = docs.filter(_held("text")).select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+    """doc_id, digest, line (the paragraph's number), paragraph of the paragraphs with a needed word or an anchor, and their features."""
+    docs = docs.filter(_held("text")).select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(_split("text")).alias("line", "paragraph"))
     return _with_features(docs.filter(_held("paragraph")))
 
 
+def _split(text: str) -> Column:
+    """The paragraphs of a text, wrapped lines joined."""
+    return F.split(F.regexp_replace(text, WRAP, " "), "\n")
+
+
 def _with_features(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("words", F.regexp_extract_all(F.lower("paragraph"), F.lit(f"({TOKEN})"), F.lit(1)))
     pairs = F.transform(F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.col("words")[i], w))
@@ -222,7 +241,7 @@ KEY = ("doc_id", "digest", "line")
 def _any_paragraphs(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Paragraphs of some documents, chosen by a threshold on their hashes: a few times SAMPLE, however many documents there are."""
     part = max(1, docs.count() // (2 * SAMPLE))
-    some = docs.filter(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(part)) == 0).select(F.explode(F.split("text", "\n")).alias("paragraph"))
+    some = docs.filter(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(part)) == 0).select(F.explode(_split("text")).alias("paragraph"))
     some = some.filter(F.col("paragraph").rlike(r"[\p{L}\p{N}]") & ~_held("paragraph"))  # those that are held may be notices
     return scratch.keep(_with_features(some.distinct()).select(F.xxhash64("paragraph").alias("h"), "features"), "some")
 
@@ -232,11 +251,11 @@ def _sampled(rows: DataFrame, n: int) -> list[list[str]]:
 
 
 def _held_with_alike(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The paragraphs that can be notices (KEY, features), and for each family with a shared template KEY, t_family and alike."""
+    """The paragraphs that can be notices (KEY, features, negated), and for each family with a shared template KEY, t_family and alike."""
     spark, told = docs.sparkSession, templates()
     known = sorted({f for _, _, f, _ in told} | {f for _, text in notices() for f in features(text)})  # no other feature counts
     held = paragraphs(docs).withColumn("features", F.array_intersect("features", F.lit(known)))
-    held = scratch.keep(held.drop("paragraph").distinct(), "paragraphs")
+    held = scratch.keep(held.withColumn("negated", F.col("paragraph").rlike(NEGATED)).drop("paragraph").distinct(), "paragraphs")
     table = literal(spark, [{"t_family": f, "template": n, "feature": w, "must": m} for f, n, w, m in told], "t_family string, template int, feature string, must boolean")
     size = table.groupBy(F.col("t_family").alias("f0"), F.col("template").alias("n0")).agg(F.count("*").alias("of"), F.count_if("must").alias("needed"))
     each = held.select(*KEY, F.explode("features").alias("w")).join(F.broadcast(table), F.col("w") == F.col("feature"))
@@ -262,7 +281,9 @@ def learned(docs: DataFrame, scratch: Scratch, held: DataFrame, alike: DataFrame
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, digest, line, family, probability, alike, confirmed of every paragraph with a needed word or an anchor.
 
-    Null and empty texts hold none. Rows alike in doc_id and text are scanned once. Without a model, docs trains one.
+    A confirmed paragraph that holds a whole template of other families, Proprietary not among them, has a row for each of
+    these, with the paragraph's probability. One that says what is not the case is not confirmed. Null and empty texts hold
+    none. Rows alike in doc_id and text are scanned once. Without a model, docs trains one.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     held, alike = _held_with_alike(docs, scratch)
@@ -272,12 +293,15 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     total = F.aggregate(F.transform("scores", lambda s: F.exp((s - F.array_max("scores")) / model.temperature)), F.lit(0.0), lambda a, e: a + e)
     said = scored.withColumn("best", best).withColumn("probability", 1 / total)
     names = F.array(*map(F.lit, model.families))
-    said = said.select(*KEY, names[-F.col("best.i")].alias("said"), "probability")
+    said = said.select(*KEY, "negated", names[-F.col("best.i")].alias("said"), "probability")
     said = scratch.keep(said, "said")
     alike = alike.select(*(F.col(k).alias(f"a_{k}") for k in KEY), "t_family", "alike")
     made = said.join(alike, _same("a_") & (F.col("said") == F.col("t_family")), "left").withColumn("alike", F.coalesce("alike", F.lit(0.0)))
-    sure = (F.col("said") != UNKNOWN) & (F.col("probability") >= PROBABLE) & (F.col("alike") >= ALIKE)
-    return made.select(*KEY, F.when(sure, F.col("said")).otherwise(UNKNOWN).alias("family"), "probability", "alike", sure.alias("confirmed"))
+    sure = (F.col("said") != UNKNOWN) & (F.col("probability") >= PROBABLE) & (F.col("alike") >= ALIKE) & ~F.col("negated")
+    made = made.select(*KEY, F.when(sure, F.col("said")).otherwise(UNKNOWN).alias("family"), "probability", "alike", sure.alias("confirmed"))
+    whole = alike.filter((F.col("alike") == 1) & (F.col("t_family") != "Proprietary"))
+    more = made.filter("confirmed").select(*KEY, "family", "probability").join(whole, _same("a_") & (F.col("t_family") != F.col("family")))
+    return made.unionByName(more.select(*KEY, F.col("t_family").alias("family"), "probability", "alike", F.lit(True).alias("confirmed")))
 
 
 def literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
@@ -288,17 +312,17 @@ def literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 def _scores(spark: SparkSession, held: DataFrame, key: tuple[str, ...], model: Model) -> DataFrame:
     """key and scores: a number for each family, the weights of the paragraph's features added up; none for the empty one, which holds paragraphs without a known feature."""
     weights = literal(spark, [{"feature": f, "weight": w.round(6).tolist()} for f, w in model.weight.items()] + [{"feature": "", "weight": [0.0] * len(model.families)}], "feature string, weight array<double>")
-    each = held.select(*key, F.explode(F.array_append("features", F.lit(""))).alias("w")).join(F.broadcast(weights), F.col("w") == F.col("feature"))
+    each = held.select(*key, "negated", F.explode(F.array_append("features", F.lit(""))).alias("w")).join(F.broadcast(weights), F.col("w") == F.col("feature"))
     sums = [(F.sum(F.col("weight")[i]) + float(model.intercept[i])).alias(f"s{i}") for i in range(len(model.families))]
-    return each.groupBy(*key).agg(*sums).select(*key, F.array(*(F.col(f"s{i}") for i in range(len(model.families)))).alias("scores"))
+    return each.groupBy(*key, "negated").agg(*sums).select(*key, "negated", F.array(*(F.col(f"s{i}") for i in range(len(model.families)))).alias("scores"))
 
 
 def license_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs (with a needed word or an anchor), n_confirmed, families (sorted, joined by blanks, empty if none) and probability (the surest confirmed one's, else 0) of every row of docs (doc_id, text)."""
     found = scan(docs)
     by_doc = found.groupBy(F.col("doc_id").alias("d0"), F.col("digest").alias("g0")).agg(
-        F.count("*").alias("n_paragraphs"),
-        F.count_if("confirmed").alias("n_confirmed"),
+        F.count_distinct("line").alias("n_paragraphs"),
+        F.count_distinct(F.when(F.col("confirmed"), F.col("line"))).alias("n_confirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), " ").alias("families"),
         F.coalesce(F.max(F.when(F.col("confirmed"), F.col("probability"))), F.lit(0.0)).alias("probability"),
     )

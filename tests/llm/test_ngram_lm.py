@@ -147,8 +147,8 @@ def test_hot_histories_are_spread(spark, monkeypatch, bucket):
 
 def test_everything_held_out(spark, monkeypatch):
     """Without a training row all words are unseen; n-grams are still dealt over buckets, by all tokens."""
-    monkeypatch.setattr(ngram_lm, "BUCKET", 64)
+    monkeypatch.setattr(lm, "BUCKET", 64)
     docs = spark.createDataFrame([(i, f"a b c w{i} x{i} y{i}") for i in range(100)], "doc_id long, text string")
-    made = ngram_lm.lm_scores(docs, folds=1, held=0).collect()
+    made = lm.lm_scores(docs, folds=1, held=0).collect()
     assert len(made) == 100 and all(r["held_out"] and r["train_tokens"] == 0 and r["n_known"] == 0 for r in made)
     assert all(r["n_tokens"] == 7 and r["score"] == r["base_score"] == 0.0 for r in made)  # log10 of 1 / (0 + 0 + 1)
