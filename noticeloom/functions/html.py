@@ -427,12 +427,41 @@ EXTRACTORS: dict[str, Callable[..., Iterator[Item]]] = {
 }
 
 
-def items_of(html: str | None, base: str, platform: str, segment: str | None = None) -> list[Item]:
+Extractor = Callable[..., Iterator[Item]]
+
+
+def link_extractor(is_detail: Callable[[str], bool], when: Callable[[Page, int], tuple[date | None, str, str]] | None = None, title: Callable[[Page, int], str] = _link_title) -> Extractor:
+    """An extractor from callbacks: which addresses are releases, and a link's date, raw text and time, and its title.
+
+    Without when, the date is the first one in the nearest five elements around the link that hold no other release.
+    """
+
+    def near(page: Page, a: int) -> tuple[date | None, str, str]:
+        for up in page.above(a, 5):
+            if len({page.href(x) for x in page.links(up) if is_detail(page.href(x))}) > 1:
+                break
+            text = " ".join(page.without(up, a))
+            day, raw = find_date(text)
+            if day:
+                return day, raw, find_time(text)
+        return None, "", ""
+
+    def items(page: Page, base: str, **_) -> Iterator[Item]:
+        for a, url, done in _each(page, base, is_detail):
+            if told := title(page, a):
+                done()
+                yield told, url, *(when or near)(page, a), ""
+
+    return items
+
+
+def items_of(html: str | None, base: str, platform: str, segment: str | None = None, extractors: dict[str, Extractor] | None = None) -> list[Item]:
     """The items of one listing page; an empty or null page, or a platform without an extractor, has none."""
-    if not html or platform not in EXTRACTORS:
+    known = extractors or EXTRACTORS
+    if not html or platform not in known:
         return []
     options = {"segment": segment or "news-details"} if platform == "q4" else {}
-    return list(EXTRACTORS[platform](Page(html), base, **options))
+    return list(known[platform](Page(html), base, **options))
 
 
 def next_page(html: str, base: str) -> str | None:

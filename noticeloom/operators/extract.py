@@ -3,47 +3,110 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import date
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.functions import html
+from noticeloom.operators import flow
 
 ITEM = "title string, url string, publish_date date, raw_date_text string, publish_time string, category string"
 ARROW = [pa.string(), pa.string(), pa.date32(), pa.string(), pa.string(), pa.string()]
 
 
-def extract_items(pages: DataFrame) -> DataFrame:
-    """pages (slug, ticker, page, base_url, html, platform, segment) to slug, ticker, page, ordinal and the items' columns.
+_added: dict[str, html.Extractor] = {}
+
+
+def register_extractor(platform: str, extractor: html.Extractor) -> None:
+    """A platform of one's own for extract_items and the table function: extractor(page, base) yields items; html.link_extractor makes one.
+
+    Plans made from then on know it; it travels to the tasks with them.
+    """
+    if platform in html.EXTRACTORS:
+        raise ValueError(f"{platform} has an extractor")
+    _added[platform] = extractor
+
+
+def unregister_extractor(platform: str) -> None:
+    _added.pop(platform, None)
+
+
+def extractors() -> dict[str, html.Extractor]:
+    return html.EXTRACTORS | _added
+
+
+def try_items(pages: DataFrame, *keys: str) -> DataFrame:
+    """pages (keys, base_url, html, platform, segment) to keys, ordinal, the items' columns, and error.
 
     Pages move to Python in Arrow batches and are parsed there once; nothing is shuffled. ordinal is the item's place on
-    its page. A page that holds no item gives no row.
+    its page. A page that cannot be read gives one row with the error and no item, and hinders no other page; a page that
+    holds no item gives no row.
     """
+    known = extractors()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, rows = [], []
-            for r in batch.to_pylist():
-                found = html.items_of(r["html"], r["base_url"] or "", r["platform"] or "", r["segment"])
-                keys += [(r["slug"], r["ticker"], r["page"], i) for i in range(len(found))]
+            of, places, rows, errors = [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("html", "base_url", "platform", "segment"))
+            for i, (text, base, platform, segment) in enumerate(zip(*columns)):
+                try:
+                    found, error = html.items_of(text, base or "", platform or "", segment, known), None
+                except Exception as e:  # whatever a page does to its extractor, it is that page's
+                    found, error = [(None,) * len(ARROW)], f"{type(e).__name__}: {e}"
+                of += [i] * len(found)
+                places += range(len(found)) if error is None else [None]
                 rows += found
-            columns = [list(c) for c in zip(*keys)] or [[]] * 4
-            values = [list(c) for c in zip(*rows)] or [[]] * 6
-            arrays = [pa.array(c, k) for c, k in zip([*columns, *values], [pa.string(), pa.string(), pa.int64(), pa.int64(), *ARROW])]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                errors += [error] * len(found)
+            taken = [batch.column(i).take(pa.array(of, pa.int64())) for i in range(len(keys))]
+            values = [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * len(ARROW), ARROW)]
+            yield pa.RecordBatch.from_arrays([*taken, pa.array(places, pa.int64()), *values, pa.array(errors, pa.string())], names)
 
-    names = ["slug", "ticker", "page", "ordinal", *(c.split()[0] for c in ITEM.split(", "))]
-    takes = ["slug", "ticker", F.col("page").cast("bigint").alias("page"), "base_url", "html", "platform", "segment"]
-    return pages.select(*takes).mapInArrow(run, f"slug string, ticker string, page bigint, ordinal bigint, {ITEM}")
+    names = [*keys, "ordinal", *(c.split()[0] for c in ITEM.split(", ")), "error"]
+    kinds = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys)
+    return pages.select(*keys, "base_url", "html", "platform", "segment").mapInArrow(run, f"{kinds}, ordinal bigint, {ITEM}, error string")
+
+
+def extract_items(pages: DataFrame) -> DataFrame:
+    """pages (slug, ticker, page, base_url, html, platform, segment) to slug, ticker, page, ordinal and the items' columns.
+
+    As try_items; a page that cannot be read fails the job.
+    """
+    made = try_items(pages.withColumn("page", F.col("page").cast("bigint")), "slug", "ticker", "page")
+    where = F.concat_ws(" ", F.col("slug"), F.col("page").cast("string"), F.col("error"))
+    return made.filter(F.when(F.col("error").isNotNull(), F.raise_error(where).cast("boolean")).otherwise(True)).drop("error")
+
+
+def gated_years(pages: DataFrame, years: set[int] | None = None, today: date | None = None, cap: int = flow.PAGE_CAP) -> DataFrame:
+    """Items of listings that are filtered by year at their source, and an error row for each year that failed.
+
+    pages: slug, ticker, year, page (from 0), base_url, html, platform, segment. Without years it is the year of today. The
+    pages of a year are walked up to the first one that brings nothing new. If one of these cannot be read the year has
+    failed: it gives one row, with the first such page and its error, and no item; other years keep theirs.
+    """
+    wanted = years or {(today or date.today()).year}
+    rows = pages.filter(F.col("year").isin(*sorted(wanted))).withColumn("page", F.col("page").cast("bigint"))
+    found = try_items(rows, "slug", "ticker", "year", "page").withColumn("listing", F.struct("slug", "year"))
+    items = found.filter("error is null")
+    each = rows.select(F.struct("slug", "year").alias("listing"), "page", F.lit(None).cast("long").alias("max_year")).distinct()
+    read = flow.walked(each, items, cap=cap, by="listing").select("listing", "page")
+    read_rows = found.join(read, ["listing", "page"], "left_semi")
+    failed = read_rows.filter("error is not null").groupBy("listing").agg(F.min_by(F.struct("ticker", "page", "error"), "page").alias("f"))
+    good = read_rows.filter("error is null").join(failed, "listing", "left_anti").withColumn("at", F.struct("page", "ordinal"))
+    good = flow.dedupe(good, "at", ("listing",)).select("slug", "ticker", "year", "page", "ordinal", *(c.split()[0] for c in ITEM.split(", ")), "error")
+    bad = failed.select("listing.slug", "f.ticker", "listing.year", "f.page", F.lit(None).cast("long").alias("ordinal"), *(F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in ITEM.split(", ")), "f.error")
+    return good.unionByName(bad)
 
 
 def register(spark: SparkSession, name: str = "extract_items") -> None:
     """The table function extract_items(html, base_url, platform, segment), for SQL's LATERAL."""
 
+    known = extractors()
+
     class ExtractItems:
         def eval(self, text: str, base_url: str, platform: str, segment: str):
-            yield from html.items_of(text, base_url or "", platform or "", segment)
+            yield from html.items_of(text, base_url or "", platform or "", segment, known)
 
     spark.udtf.register(name, F.udtf(ExtractItems, returnType=ITEM))
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noticeloom.operators import flow, probe
+from noticeloom.operators import extract, flow, probe
 from noticeloom.plans import views as v
-from noticeloom.plans.queries import ORACLES, query
+from noticeloom.plans.queries import CARDS, ORACLES, query
 from noticeloom.sources import store
 from noticeloom.streaming import walk
 
@@ -67,3 +67,29 @@ def walk_probing(spark, sf):
     facts, items, listings = _by_spot(spark, sf, 4)
     made, _ = probe.probing_walk(facts, items, listings, {2024, 2025}, store.keeper(spark), groups=4)
     return made.select("slug", "ordinal", "url", "page")
+
+
+def gated_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """releases as gated listings, ten cards a page of a source's year; some second pages hold an address that no parser takes."""
+    before, card, after = CARDS["notified_gated"]
+    year = F.year("publish_date").cast("long")
+    place = F.row_number().over(Window.partitionBy("slug", year).orderBy("release_id")) - 1
+    text = F.lit(card)
+    for name, value in (("{date}", F.col("date_text")), ("{id}", F.col("release_id").cast("string")), ("{title}", F.col("title"))):
+        text = F.replace(text, F.lit(name), value)
+    r = v.releases(spark, sf).withColumns({"year": year, "page": F.floor(place / 10).cast("long"), "card": text})
+    pages = r.groupBy("slug", "year", "page").agg(F.array_sort(F.collect_list(F.struct("release_id", "card"))).alias("cards"), F.first("ticker", ignorenulls=True).alias("ticker"))
+    broken = F.when((F.col("page") == 1) & ((F.substring("slug", 2, 9).cast("int") + F.col("year")) % 5 == 0), "<a href='/news-releases/news-release-details/[x'>fine</a><a href='http://[x/news-releases/news-release-details/y'>broken</a>").otherwise("")
+    html = F.concat(F.lit(before), F.array_join("cards.card", ""), F.lit(after), broken)
+    none = F.lit(None).cast("string").alias("segment")
+    return pages.select("slug", "ticker", "year", "page", F.lit("https://ir.example.com/news").alias("base_url"), html.alias("html"), F.lit("notified_gated").alias("platform"), none)
+
+
+@query("""SELECT slug, y AS year, page, title, publish_date, false AS failed FROM cards WHERE y BETWEEN 1996 AND 1999 AND NOT EXISTS (SELECT 1 FROM bad b WHERE b.slug = cards.slug AND b.y = cards.y)
+  UNION ALL SELECT slug, y, 1, NULL, NULL, true FROM bad WHERE y BETWEEN 1996 AND 1999""", v.RELEASES, """
+cards AS (SELECT slug, CAST(year(publish_date) AS BIGINT) AS y, title, publish_date, (row_number() OVER (PARTITION BY slug, year(publish_date) ORDER BY release_id) - 1) // 10 AS page FROM releases),
+bad AS (SELECT DISTINCT slug, y FROM cards WHERE page = 1 AND (CAST(substr(slug, 2) AS INT) + y) % 5 = 0)""")
+def gated_years(spark, sf):
+    """A page that cannot be read fails its year alone."""
+    made = extract.gated_years(gated_pages(spark, sf), {1996, 1997, 1998, 1999})
+    return made.select("slug", "year", "page", "title", "publish_date", F.col("error").isNotNull().alias("failed"))

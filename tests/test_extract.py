@@ -141,3 +141,63 @@ def test_detail_time_is_the_articles():
         assert html.detail_time(f"<html><body>{menu}<{tag}>CITY, May 6, 2026, 4:05 PM EDT news</{tag}></body></html>") == html.detail_time("<p>4:05 PM EDT</p>") != ""
     assert html.detail_time(f"<html><head><title>{'title ' * 400}</title></head><body>At 4:05 PM EDT</body></html>") == html.detail_time("<p>4:05 PM EDT</p>")
     assert html.detail_time(None) == ""
+
+
+def listing(spark, rows):
+    return spark.createDataFrame([(slug, "T", year, page, BASE, text, platform, None) for slug, year, page, text, platform in rows], "slug string, ticker string, year long, page long, base_url string, html string, platform string, segment string")
+
+
+def card(n, day="3/4/25"):
+    return f"<tr><td>{day}</td><td><a href='/news-releases/news-release-details/r{n}'>Release {n}</a></td></tr>"
+
+
+BROKEN = "<a href='http://[x/news-releases/news-release-details/y'>broken</a>"
+
+
+def test_a_broken_page_fails_its_year_alone(spark):
+    pages = listing(spark, [
+        ("a", 2024, 0, f"<table>{card(1)}{card(2)}</table>", "notified_gated"),
+        ("a", 2024, 1, f"<table>{card(2)}{card(3)}</table>", "notified_gated"),
+        ("a", 2024, 2, f"<table>{card(3)}</table>", "notified_gated"),  # nothing new: the walk ends
+        ("a", 2024, 3, BROKEN, "notified_gated"),  # and does not come here
+        ("a", 2025, 0, f"<table>{card(4)}</table>", "notified_gated"),
+        ("a", 2025, 1, f"<table>{card(5)}</table>{BROKEN}", "notified_gated"),
+        ("b", 2025, 0, f"<table>{card(6)}</table>", "notified_gated"),
+        ("b", 2025, 1, "", "notified_gated"),
+        ("b", 2025, 2, f"<table>{card(7)}</table>", "notified_gated"),  # behind an empty page
+        ("b", 2023, 0, None, "notified_gated"),
+    ])
+    made = extract.gated_years(pages, {2023, 2024, 2025}).collect()
+    assert sorted((r["slug"], r["year"], r["page"], r["title"]) for r in made if r["error"] is None) == [("a", 2024, 0, "Release 1"), ("a", 2024, 0, "Release 2"), ("a", 2024, 1, "Release 3"), ("b", 2025, 0, "Release 6")]
+    assert [(r["slug"], r["year"], r["page"], r["error"].split(":")[0]) for r in made if r["error"]] == [("a", 2025, 1, "ValueError")]
+    only = extract.gated_years(pages, today=date(2024, 6, 1)).collect()
+    assert {r["year"] for r in only} == {2024} and len(only) == 3
+    assert extract.gated_years(pages.limit(0), {2024}).count() == 0
+    with pytest.raises(Exception, match="Invalid IPv6"):
+        extract.extract_items(pages).collect()
+
+
+def test_a_platform_of_ones_own(spark):
+    """Added from outside, with a link predicate and a date of its own, beside another platform in one plan."""
+
+    def when(page, a):
+        stamp = page.attrs[a].get("data-day", "")
+        return (date.fromisoformat(stamp), stamp, "") if stamp else (None, "", "")
+
+    own = "<ul><li>May 1, 2020 <a href='/blog/one' data-day='2026-02-03'>Post one</a></li><li><a href='/blog/two'>Post two</a></li><li><a href='/about'>About</a></li></ul>"
+    pages = listing(spark, [("a", 2026, 0, own, "blog"), ("b", 2026, 0, f"<table>{card(1)}</table>", "notified_gated"), ("c", 2026, 0, own, "plain_blog")])
+    assert {r["slug"] for r in extract.extract_items(pages).collect()} == {"b"}
+    extract.register_extractor("blog", html.link_extractor(lambda href: href.startswith("/blog/"), when))
+    extract.register_extractor("plain_blog", html.link_extractor(lambda href: href.startswith("/blog/")))
+    try:
+        made = {(r["slug"], r["title"]): r["publish_date"] for r in extract.extract_items(pages).collect()}
+        extract.register(spark, "items_of_all")
+        pages.createOrReplaceTempView("own_pages")
+        lateral = spark.sql("SELECT slug, i.title FROM own_pages, LATERAL items_of_all(html, base_url, platform, segment) i").collect()
+    finally:
+        extract.unregister_extractor("blog")
+        extract.unregister_extractor("plain_blog")
+    assert made == {("a", "Post one"): date(2026, 2, 3), ("a", "Post two"): None, ("b", "Release 1"): date(2025, 3, 4), ("c", "Post one"): date(2020, 5, 1), ("c", "Post two"): None}
+    assert sorted(map(tuple, lateral)) == sorted(made)
+    with pytest.raises(ValueError, match="q4"):
+        extract.register_extractor("q4", html.q4)
