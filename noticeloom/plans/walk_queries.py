@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noticeloom.operators import extract, flow, probe
+from noticeloom.operators import containment, extract, flow, probe
 from noticeloom.plans import views as v
 from noticeloom.plans.queries import CARDS, ORACLES, query
 from noticeloom.sources import store
@@ -93,3 +93,26 @@ def gated_years(spark, sf):
     """A page that cannot be read fails its year alone."""
     made = extract.gated_years(gated_pages(spark, sf), {1996, 1997, 1998, 1999})
     return made.select("slug", "year", "page", "title", "publish_date", F.col("error").isNotNull().alias("failed"))
+
+
+#: Cards of a rich listing: nested, with a second link, with a date in the headline, and with the date in the label alone.
+RICH = (
+    "<li><div><span>{date}</span><div><a href='/news/news-details/2026/{id}/default.aspx'>{title}</a></div></div><a href='/news/news-details/2026/{id}/default.aspx'>Continue</a></li>",
+    "<article><section><p>{date}</p><p>Sales Releases</p><div><ul><li><a href='/news/news-details/2026/{id}/'><b> {title} </b></a></li></ul></div></section></article>",
+    "<div><div><time>{date}</time></div><div><div><a href='/news/news-details/2026/{id}'>{title} on April 9, 2031</a></div></div></div>",
+    "<div><div><a href='/news/news-details/2026/{id}' aria-label='Results of January 27, 2026, {plain}'>{title}</a></div></div>",
+)
+
+
+@query("""SELECT release_id // 20 AS page_id, title || CASE release_id % 4 WHEN 2 THEN ' on April 9, 2031' ELSE '' END AS title,
+  'https://ir.example.com/news/news-details/2026/' || release_id || CASE release_id % 4 WHEN 0 THEN '/default.aspx' WHEN 1 THEN '/' ELSE '' END AS url, publish_date, CASE release_id % 4 WHEN 1 THEN 'Sales Releases' ELSE '' END AS category FROM releases""", v.RELEASES)
+def containment_items(spark, sf):
+    """releases in rich listings of twenty cards, read by interval joins over their nodes."""
+    k = F.col("release_id")
+    text = F.element_at(F.array(*map(F.lit, RICH)), (k % len(RICH) + 1).cast("int"))
+    for name, value in (("{date}", F.col("date_text")), ("{plain}", F.date_format("publish_date", "MMMM d, yyyy")), ("{id}", k.cast("string")), ("{title}", F.col("title"))):
+        text = F.replace(text, F.lit(name), value)
+    cards = v.releases(spark, sf).select(F.floor(k / 20).cast("long").alias("page_id"), F.struct("release_id", text.alias("card")).alias("c")).groupBy("page_id").agg(F.array_sort(F.collect_list("c")).alias("cs"))
+    page = F.concat(F.lit("<html><nav><a href='/news'>News</a></nav><main><section>"), F.array_join("cs.card", ""), F.lit("</section></main></html>"))
+    made = containment.q4_items(cards.select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html")))
+    return made.select("page_id", "title", "url", "publish_date", "category")
