@@ -39,7 +39,9 @@ COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++(?<!\.)@(?![.\-])[A-Za-z0-9\-.]{1,253}(?<=[A-Za-z0-9]\.[A-Za-z]{2,24})(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\.?\d)",
-    "ip6": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])|(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![0-9A-Za-z:])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"
+    # Short ones hold a digit or three groups; names of code such as add::face do not.
+    r"|(?<![0-9A-Za-z:.])(?=[A-Fa-f:]{0,40}\d|[A-Fa-f]{1,4}::?[A-Fa-f]{1,4}:)(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}(?![0-9A-Za-z:])",
     "phone": rf"\+\d{{1,3}}{BETWEEN}\(\d{{2,4}}\){BETWEEN}\d{{3,4}}{BETWEEN}\d{{3,4}}(?!\d)|\+\d{{1,3}}(?: ?\(0\) ?\d{{2,4}})?(?:[ .\-]\d{{2,4}}){{2,4}}(?!\d)|\+\d{{9,15}}(?!\d)"
     r"|(?<![\p{L}\p{N}+.\-])(?:1[ .\-])?(?:\(\d{3}\) ?|\d{3}[.\-])\d{3}[.\-]\d{4}(?![\p{L}\p{N}\-])",
     "secret": r"(?<![0-9A-Za-z])(?=[A-Fa-f]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
@@ -51,7 +53,7 @@ PERSON = rf"(?<![\p{{L}}\p{{N}}])(?:{ANY_TITLE})\.? {NAME}(?: {NAME}){{0,2}}(?![
 CAPITALISED = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}{1,40}+(?:-\p{Lu}\p{Ll}{1,40}+)?(?![\p{L}\p{N}])"
 FORMATTED = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every text with a formatted entity holds, and every text with a titled name; most texts without one are told apart by these.
-HINT, TITLE_HINT = r"[0-9@]|gh[pousr]_|sk-|xox|AKIA|ASIA|AIza", rf"(?=[{''.join(sorted({t[0] for ts in TITLES.values() for t in ts}))}])(?:{ANY_TITLE})\.? \p{{Lu}}"
+HINT, TITLE_HINT = r"[0-9@]|gh[pousr]_|sk-|xox|AKIA|ASIA|AIza|[A-Fa-f]::?[A-Fa-f]", rf"(?=[{''.join(sorted({t[0] for ts in TITLES.values() for t in ts}))}])(?:{ANY_TITLE})\.? \p{{Lu}}"
 
 #: Runs of code points that take each other's places, by the first and how many: digits and letters by script.
 RUNS = (

@@ -171,3 +171,13 @@ def test_edges(spark, rows):
 def test_plan_is_native(spark):
     plan = pii.pseudonymise(spark.createDataFrame([(1, "8.8.8.8")], DOCS), "k")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
+
+
+def test_entities_do_not_depend_on_what_else_a_text_holds(spark):
+    """Each kind is found alone and beside a digit; names of code are no addresses."""
+    alone = ["dead:beef::cafe", "abcd:beef:cafe:dada:fade:face:deed:feed", "a@b.example", "sk-" + "abcdefgh" * 3, "fe80::beef", "beef::1"]
+    code = ["add::face", "dead::beef", "std::face", "a::b", "be:ad"]
+    docs = [(i, f"Look at {x} here.{more}") for i, (x, more) in enumerate((x, more) for x in alone + code for more in ("", " And 7 more."))]
+    made = {r["doc_id"]: r["n_entities"] for r in pii.pseudonymise(spark.createDataFrame(docs, "doc_id long, text string"), key="k").collect()}
+    assert [made[2 * i] for i in range(len(alone + code))] == [1] * len(alone) + [0] * len(code)
+    assert all(made[2 * i] == made[2 * i + 1] for i in range(len(alone + code)))
