@@ -128,6 +128,6 @@ def or_else(first: DataFrame, second: DataFrame, by: str = "slug") -> DataFrame:
 
 
 def smoke_sample(sources: DataFrame, *signature: str, seed: int = 0, key: str = "slug") -> DataFrame:
-    """One member of each signature, by a hash that the seed decides."""
-    pick = Window.partitionBy(*signature).orderBy(F.xxhash64(key, F.lit(seed)), key)
-    return sources.withColumn("_n", F.row_number().over(pick)).filter("_n = 1").drop("_n")
+    """One member of each signature: the one whose key and seed have the smallest md5. Members are combined before the shuffle."""
+    pick = F.struct(F.md5(F.concat_ws(" ", key, F.lit(seed))), key)
+    return sources.groupBy(*signature).agg(F.min_by(F.struct(*sources.columns), pick).alias("_r")).select("_r.*")

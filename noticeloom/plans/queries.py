@@ -84,9 +84,11 @@ def filter_items_range(spark, sf):
     return flow.filter_items(v.releases(spark, sf), years, "1996-03-01", "1997-10-31", 500, ("release_id",)).select("release_id", "title", "publish_date")
 
 
-@query("SELECT CAST(unnest([1995, 1998, 1999, 2000]) AS BIGINT) AS year")
+@query("SELECT release_id, CAST(year(publish_date) AS BIGINT) AS year FROM releases WHERE year(publish_date) = 1995 OR year(publish_date) BETWEEN 1998 AND 2000", v.RELEASES)
 def year_set(spark, sf):
-    return spark.createDataFrame([(y,) for y in sorted(flow.year_set([1995], start=2000, end=1998))], "year bigint")
+    """Single years and a range whose ends are told in the wrong order, as a filter of all releases."""
+    made = flow.filter_items(v.releases(spark, sf), years=flow.year_set([1995], start=2000, end=1998))
+    return made.select("release_id", F.year("publish_date").cast("long").alias("year"))
 
 
 RAW = """CASE release_id % 8 WHEN 0 THEN strftime(publish_date, '%b %-d, %Y') WHEN 1 THEN strftime(publish_date, '%B %-d, %Y') WHEN 2 THEN strftime(publish_date, '%-d %b %Y')
@@ -151,10 +153,11 @@ def resolve_publish_date(spark, sf):
     return made.select("release_id", "r.date", "r.raw", "r.conflict", dates.time_of_card(F.col("r.date"), F.col("card"), F.col("publish_time")).alias("time"))
 
 
-@query("SELECT CAST(y AS BIGINT) AS year, CAST(b AS BIGINT) AS begin_ms, CAST(e AS BIGINT) AS end_ms FROM (VALUES (2024, 1704085200000, 1735621200000), (2025, 1735707600000, 1767157200000), (2026, 1767243600000, 1798693200000)) t(y, b, e)")
+#: New York midnights: standard time on both days, five hours behind.
+@query("""SELECT release_id, (epoch_ms(CAST(make_date(CAST(year(publish_date) AS BIGINT), 1, 1) AS TIMESTAMP)) + 18000000) AS begin_ms, (epoch_ms(CAST(make_date(CAST(year(publish_date) AS BIGINT), 12, 31) AS TIMESTAMP)) + 18000000) AS end_ms FROM releases""", v.RELEASES)
 def epoch_range(spark, sf):
-    made = spark.range(2024, 2027).select(F.col("id").alias("year"), dates.year_epoch_range(F.col("id").cast("int")).alias("r"))
-    return made.select("year", "r.begin_ms", "r.end_ms")
+    made = v.releases(spark, sf).select("release_id", dates.year_epoch_range(F.year("publish_date")).alias("r"))
+    return made.select("release_id", "r.begin_ms", "r.end_ms")
 
 
 @query("""SELECT page_id, rtrim(url, '/') || '/news' AS joined, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS root, regexp_replace(regexp_extract(url, '://([^/?#]*)', 1), '^www\\.', '') AS host,
@@ -369,12 +372,35 @@ def signature_groups(spark, sf):
     return reports.signature_groups(rows, "brand", "size")
 
 
-@query()
+@query("SELECT p_brand, p_type, arg_min(p_partkey, md5(p_partkey || ' 7')) AS slug FROM part GROUP BY ALL")
 def smoke_sample(spark, sf):
     rows = v.table(spark, sf, "part").select("p_brand", "p_type", F.col("p_partkey").alias("slug"))
     return flow.smoke_sample(rows, "p_brand", "p_type", seed=7)
 
 
+CONFIG_ARGS = (
+    '{"b": 2, "a": [1, 2, {"y": null, "x": true}]}',
+    '{"a":[1,2,{"x":true,"y":null}],"b":2}',  # the same value as the first
+    '{"a": [2, 1, {"x": true, "y": null}], "b": 2}',
+    '["--limit", 5]',
+    '[5, "--limit"]',
+    '"--dry"',
+)
+
+
+@query("""SELECT string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS members, count(*) AS n FROM part
+  GROUP BY p_brand, greatest(p_partkey % 6, 1), greatest((p_partkey // 6) % 6, 1)""")
+def nested_signatures(spark, sf):
+    """Parts as sources with two nested arguments in either order; the second is told apart by its key."""
+    k = F.col("p_partkey")
+    arg = lambda n: F.element_at(F.array(*map(F.lit, CONFIG_ARGS)), (n % 6 + 1).cast("int"))
+    one, two = arg(k), F.concat(F.lit('{"second": '), arg(F.floor(k / 6)), F.lit("}"))
+    args = F.when(k % 2 == 0, F.array(one, two, F.lit("null"))).otherwise(F.array(F.lit("null"), two, one))
+    rows = v.table(spark, sf, "part").select(F.col("p_brand").alias("module"), args.alias("args"), k.alias("slug"))
+    made = catalog.nested_signatures(rows).groupBy("signature").agg(F.array_sort(F.collect_list("slug")).alias("m"))
+    return made.select(F.array_join(F.transform("m", lambda x: x.cast("string")), ",").alias("members"), F.size("m").cast("long").alias("n"))
+
+
 NEUTRAL = (("archive", "<article"), ("menu", "<nav"), ("plain", "<h1"))
 
 

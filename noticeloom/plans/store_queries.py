@@ -57,3 +57,14 @@ def store_versions(spark, sf):
     was = made.read(version=1).groupBy("day").count().select("day")
     now = made.read().groupBy("day").agg(F.count("*").alias("n"), F.count_if(F.col("title").endswith("(updated)")).alias("updated"))
     return now.join(was, "day").select(F.col("day").cast("string").alias("day"), "n", "updated")
+
+
+@query(f"SELECT CAST(year(publish_date) AS BIGINT) AS year, slug, coalesce(ticker, '') AS ticker, count(*) AS release_count FROM ({MERGED}) GROUP BY ALL", *MONTHLY)
+def store_counts(spark, sf):
+    """Counts after each of three crawls, each time from the days that changed."""
+    first = monthly(v.releases(spark, sf))
+    made = DayStore(spark, f"{store.scratch_path(spark)}/days")
+    for rows in (first.filter("release_id % 2 = 0"), first, v.changed(first)):
+        made.upsert(rows)
+        counts = made.counts()
+    return counts

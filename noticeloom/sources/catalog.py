@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.functions import urls
@@ -83,6 +83,17 @@ def signatures(config: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     return out.withColumn("signature", F.to_json(F.struct("module", F.array_sort("args").alias("args"), durable.alias("needs_detail_page_dates"))))
 
 
+def canonical_json(value: Column) -> Column:
+    """One text for all JSON texts of one value: objects by their keys, numbers by their values, no white space; lists keep their order. Text that is no JSON stands for itself behind a tilde, which begins no JSON; null is JSON's null."""
+    return F.coalesce(F.to_json(F.try_parse_json(value)), F.concat(F.lit("~"), value), F.lit("null"))
+
+
+def nested_signatures(config: DataFrame) -> DataFrame:
+    """config (module, args: array of JSON texts, nested to any depth) with a signature in which neither the order of arguments nor that of keys counts."""
+    args = F.array_sort(F.transform(F.coalesce("args", F.array().cast("array<string>")), canonical_json))
+    return config.withColumn("signature", F.to_json(F.struct(F.col("module"), args.alias("args"))))
+
+
 def tickers(sources: DataFrame) -> DataFrame:
     return sources.select(urls.canonical_ticker(F.col("ticker")).alias("ticker")).filter("ticker <> ''").distinct()
 

@@ -16,14 +16,15 @@ import json
 import posixpath
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from noticeloom.operators.flow import store_order
-from noticeloom.sources.store import COLUMNS, SCHEMA, keeper, scratch_path
+from noticeloom.sources.store import COLUMNS, SCHEMA, keeper, marked, scratch_path
 
 FORMAT = "daystore"
 MANIFESTS, FILES = "_manifests", "_files"
@@ -197,29 +198,6 @@ class DayStoreSource(DataSource):
         return DayReader(self.options["path"], int(version) if version is not None else None)
 
 
-def marked(existing: DataFrame, incoming: DataFrame, ordinal: str = "ordinal") -> DataFrame:
-    """All rows of both with new (came in) and change (added, updated or same; null for rows that were there), less those that incoming replaces.
-
-    existing's last row of an address, by ordinal, is the one that incoming rows are held against. Both sides are dealt out
-    once, by day and address, so that a day of any size is spread over tasks.
-    """
-    was = existing.select(*COLUMNS, F.lit(False).alias("new"), F.col(ordinal).alias("place"))
-    now = incoming.select(*COLUMNS, F.lit(True).alias("new"), F.lit(None).cast("long").alias("place"))
-    address = Window.partitionBy("publish_date", "url")
-    old = F.max_by(F.when(~F.col("new"), F.struct(*COLUMNS)), F.when(~F.col("new"), F.col("place"))).over(address)
-    rows = was.unionByName(now).withColumns({"old": old, "comes": F.max("new").over(address)})
-    differs = _any(~F.col(c).eqNullSafe(F.col(f"old.{c}")) for c in COLUMNS)
-    change = F.when(~F.col("new"), F.lit(None)).when(F.col("old").isNull(), "added").when(differs, "updated").otherwise("same")
-    return rows.filter(F.col("new") | ~F.col("comes")).select(*COLUMNS, "new", change.alias("change"))
-
-
-def _any(conditions: Iterable[Column]) -> Column:
-    out = F.lit(False)
-    for c in conditions:
-        out = out | c
-    return out
-
-
 class DayStore:
     """A store at root: read, upsert, and the manifests behind them. Only names of files and days pass through the driver."""
 
@@ -320,6 +298,33 @@ class DayStore:
                 raise ConcurrentWriteError(f"{target} was written by another writer") from error
             raise
 
+    def changed_days(self, since: int, until: int | None = None) -> list[str]:
+        """The days whose files differ between two versions."""
+        a, b = ({} if n == 0 else whole_manifest(self._text(self._path(self.root, MANIFESTS, f"{n:012d}"))) for n in (since, self.current()[0] if until is None else until))
+        return sorted(d for d in a.keys() | b.keys() if a.get(d) != b.get(d))
+
+    def counts(self) -> DataFrame:
+        """year, slug, ticker, release_count of the store, kept up to date by what changed.
+
+        The counts of the last call lie beside the store with the version that they are of. The rows of the days that differ
+        since are added as they are now and taken off as they were then; no other day is read.
+        """
+        version = self.current()[0]
+        done = sorted(n for s in self._list("_counts/*/_SUCCESS") if (n := _number(s.getPath().getParent().getName())) is not None and n <= version)
+        since = done[-1] if done else 0
+        kind = "year bigint, slug string, ticker string, release_count bigint"
+        place = f"{self.root}/_counts/{version:012d}"
+        if since < version:
+            days = [F.lit(d).cast("date") for d in self.changed_days(since, version)]
+            parts = [self.spark.read.schema(kind).parquet(f"{self.root}/_counts/{since:012d}")] if since else []
+            for n, sign in ((since, -1), (version, 1)):
+                if n and days:
+                    rows = self.read(n).filter(F.col("day").isin(*days))
+                    parts.append(rows.groupBy(F.year("day").cast("long").alias("year"), "slug", "ticker").agg((sign * F.count("*")).alias("release_count")))
+            made = reduce(DataFrame.unionByName, parts).groupBy("year", "slug", "ticker").agg(F.sum("release_count").alias("release_count"))
+            made.filter("release_count <> 0").write.mode("overwrite").parquet(place)
+        return self.spark.read.schema(kind).parquet(place) if version else self.spark.createDataFrame([], kind)
+
     def vacuum(self, keep: int = 2) -> int:
         """Delete manifests before the last ones kept, and files that none of the kept ones names; how many files went. No writer may be at work."""
         numbers = sorted(n for s in self._list(f"{MANIFESTS}/*") if (n := _number(s.getPath().getName())) is not None)

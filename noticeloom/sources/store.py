@@ -7,7 +7,7 @@ import contextlib
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticeloom.operators.flow import store_order
@@ -57,16 +57,32 @@ def touched_days(changes: DataFrame) -> DataFrame:
     return changes.filter("change <> 'same'").select("publish_date").distinct()
 
 
+def marked(existing: DataFrame, incoming: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """The rows of both with new (came in) and change (added, updated or same; null for rows that were there), less those that incoming replaces.
+
+    existing's last row of an address, by ordinal, is the one that incoming rows are held against. Both sides are dealt out
+    once, by day and address, so that a day of any size is spread over tasks.
+    """
+    was = existing.select(*COLUMNS, F.lit(False).alias("new"), F.col(ordinal).alias("place"))
+    now = incoming.select(*COLUMNS, F.lit(True).alias("new"), F.lit(None).cast("long").alias("place"))
+    address = Window.partitionBy("publish_date", "url")
+    last = F.max_by(F.when(~F.col("new"), F.struct(*COLUMNS)), F.when(~F.col("new"), F.col("place"))).over(address)
+    rows = was.unionByName(now).withColumns({"old": last, "comes": F.max("new").over(address)})
+    rows = rows.filter(F.col("new") | ~F.col("comes")).withColumn("now", F.struct(*COLUMNS))
+    change = F.when(~F.col("new"), F.lit(None)).when(F.col("old").isNull(), "added").when(_differs("now", "old"), "updated").otherwise("same")
+    return rows.select(*COLUMNS, "new", change.alias("change"))
+
+
 def merge(existing: DataFrame, incoming: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """The rows of the days that change: existing ones whose address does not come in, and all that come in.
 
-    Rows that come in twice stay twice. Days without a change are not returned, so they are not written.
+    Rows that come in twice stay twice. Days without a change are not returned, so they are not written. Only days that come
+    in are dealt out; both sides meet in one shuffle, whose result serves for the days that change as well.
     """
     dated = incoming.filter(F.col("publish_date").isNotNull())
-    days = touched_days(classify(existing, dated, ordinal))
-    addresses = dated.select("publish_date", "url").distinct()
-    kept = existing.join(addresses, ["publish_date", "url"], "left_anti").select(*COLUMNS)
-    return kept.unionByName(dated.select(*COLUMNS)).join(days, "publish_date", "left_semi").select(*COLUMNS)
+    asked = dated.select("publish_date").distinct()
+    rows = marked(existing.join(asked, "publish_date", "left_semi"), dated, ordinal)
+    return rows.join(touched_days(rows), "publish_date", "left_semi").select(*COLUMNS)
 
 
 def summary(incoming: DataFrame, changes: DataFrame) -> DataFrame:
@@ -106,25 +122,28 @@ def _files(spark: SparkSession, pattern: str) -> list:
 def write_day_files(rows: DataFrame, root: str) -> int:
     """Sorted CSV, a file root/year/day.csv for each day in rows, in place of the one that was there; how many were written.
 
-    Each day is written by one task into a staging folder, and the files are then renamed: nothing but names is handled here.
+    Each day is written by one task into a staging folder; then each file takes its place by one rename over the old one, so
+    that a crash leaves every day as it was or as it becomes, none without a file. daystore.DayStore commits all days at once.
     """
     spark, staged = rows.sparkSession, f"{root}/_staged-{uuid.uuid4().hex}"
-    made = rows.withColumn("_year", F.year("publish_date")).withColumn("_day", F.col("publish_date").cast("string"))
+    made = rows.withColumn("_year", F.date_format("publish_date", "yyyy")).withColumn("_day", F.col("publish_date").cast("string"))
     made = made.select(*COLUMNS, "_year", "_day").repartition("_year", "_day").sortWithinPartitions("_year", "_day", *store_order())
     made.write.partitionBy("_year", "_day").csv(staged, header=True, escape='"', emptyValue="")
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    fs = hadoop.Path(root).getFileSystem(conf)
+    context = hadoop.FileContext.getFileContext(fs.getUri(), conf)
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
     written = 0
     for status in _files(spark, f"{staged}/*/*/part-*"):
         folder = status.getPath().getParent()
         day, year = folder.getName().split("=")[1], folder.getParent().getName().split("=")[1]
-        target = Path(f"{root}/{year}/{day}.csv")
+        target = fs.makeQualified(hadoop.Path(f"{root}/{year}/{day}.csv"))
         fs.mkdirs(target.getParent())
-        fs.delete(target, False)
-        if not fs.rename(status.getPath(), target):
-            raise OSError(f"cannot write {target}")
+        context.rename(status.getPath(), target, over)
         written += 1
-    fs.delete(Path(staged), True)
+    fs.delete(hadoop.Path(staged), True)
     return written
 
 

@@ -97,3 +97,17 @@ def test_queries(spark):
 def test_registry():
     assert classify.registry_faults() == []
     assert len(classify.describe_platforms()) == 6
+
+
+def test_nested_signatures(spark):
+    from pyspark.sql import functions as F
+
+    same = [['{"b":[1,{"y":2,"x":null}],"a":"t"}', "7"], ["7", ' {"a":"t", "b":[1, {"x":null, "y":2}]}']]
+    other = [["7"], ['{"b":[{"y":2,"x":null},1],"a":"t"}', "7"], ['{"b":[1,{"y":2,"x":null}],"a":"T"}', "7"], ["no json"], ['"no json"'], ['{"text":"no json"}'], [None], ["null"], None, [], ["7", "7"], ["true"], ['"true"']]
+    rows = [("m", a, i) for i, a in enumerate(same + other)] + [("n", same[0], 99)]
+    made = {r["i"]: r["signature"] for r in catalog.nested_signatures(spark.createDataFrame(rows, "module string, args array<string>, i int")).collect()}
+    assert made[0] == made[1] and made[0] != made[99]
+    equal = {frozenset(i for i, x in made.items() if x == s) for s in made.values()}
+    assert {e for e in equal if len(e) > 1} == {frozenset({0, 1}), frozenset({8, 9}), frozenset({10, 11})}  # null is JSON's null, no arguments are none
+    numbers = spark.createDataFrame([("100",), ("1e2",), ("100.0",)], "v string").select(catalog.canonical_json(F.col("v")).alias("c")).distinct()
+    assert numbers.count() <= 2

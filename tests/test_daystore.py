@@ -175,3 +175,25 @@ def test_large_days_are_written_by_several_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(store.current()[1]["2026-01-05"]) > 1
     assert [r["title"] for r in store.read().orderBy("ordinal").collect()] == sorted(r["title"] for r in rows.collect())
+
+
+def test_counts_follow_the_changed_days(spark, tmp_path):
+    """Added rows count, replaced ones and removed days do not; files of other days are not opened."""
+    store = DayStore(spark, f"{tmp_path}/store")
+    assert store.counts().count() == 0
+    old = datetime.date(2025, 12, 31)
+    crawls = [[row("u1"), row("u2"), row("u3", day=old)], [row("u1", "b"), row("u4", day=D2, ticker=None)], [row("u1", "b", ticker="T")]]
+    for rows in crawls:
+        store.upsert(frame(spark, *rows))
+        want = store.read().groupBy(F.year("day").cast("long").alias("year"), "slug", "ticker").count()
+        assert sorted(map(tuple, store.counts().collect())) == sorted(map(tuple, want.collect()))
+        for file in Path(f"{tmp_path}/store/_files").glob("*/day=2025-12-31/*.csv"):
+            file.rename(f"{tmp_path}/away.csv")
+            away = file
+        if rows is not crawls[-1]:
+            Path(f"{tmp_path}/away.csv").rename(away)
+    assert store.changed_days(2, 3) == ["2026-01-05"] and store.changed_days(0, 1) == ["2025-12-31", "2026-01-05"]
+    store.upsert(frame(spark, row("u1", "c", ticker="T")))  # the old day's file is away by now
+    assert sorted(map(tuple, store.counts().collect())) == [(2025, "s", "S", 1), (2026, "s", "", 1), (2026, "s", "S", 1), (2026, "s", "T", 1)]
+    store.commit({}, store.current()[0], removed=["2026-01-06"])
+    assert sorted(map(tuple, store.counts().collect())) == [(2025, "s", "S", 1), (2026, "s", "S", 1), (2026, "s", "T", 1)]
