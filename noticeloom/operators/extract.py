@@ -140,6 +140,34 @@ def headings(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("bigint").alias("page_id"), "html").mapInArrow(run, "page_id bigint, title string")
 
 
+def listing_facts(pages: DataFrame, *keys: str) -> DataFrame:
+    """pages (keys, base_url, html, size, years) to keys and what a walk asks a listing's first page.
+
+    next_url and last_page of its pager; sizes and years that its widgets offer and the year that it shows by itself;
+    size_query and year_query, the ordered parameters that ask for pages of at most size items and for the one year in
+    years (array), each empty where the page has no such widget or offers nothing fit; segment, that of most detail links;
+    leads, the addresses that may lead to releases. A null page has none of it. size must not be null.
+    """
+
+    def told(text: str, base: str, size: int, years: list[int] | None) -> tuple:
+        sizes, shown = html.size_widget(text) or {}, html.year_widget(text) or {}
+        queries = ("&".join(f"{k}={v}" for k, v in pairs) for pairs in (html.size_params(text, size), html.year_params(text, {*years} if years else None)))
+        return html.next_page(text, base), html.last_page(text), sizes.get("sizes", []), shown.get("years", []), shown.get("default"), *queries, html.details_segment(text), [h for h, _ in html.empty_page_leads(text)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("html", "base_url", "size", "years"))
+            rows = [told(text or "", base or "", size, years) for text, base, size, years in zip(*columns)]
+            values = [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * len(kinds), kinds)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keys))), *values], [*keys, *names])
+
+    facts = "next_url string, last_page bigint, sizes array<bigint>, years array<bigint>, shown string, size_query string, year_query string, segment string, leads array<string>"
+    names = [f.split()[0] for f in facts.split(", ")]
+    kinds = [{"string": pa.string(), "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}[f.split()[1]] for f in facts.split(", ")]
+    own = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keys)
+    return pages.select(*keys, "base_url", "html", F.col("size").cast("bigint").alias("size"), F.col("years").cast("array<bigint>").alias("years")).mapInArrow(run, f"{own}, {facts}")
+
+
 def detail_dates(pages: DataFrame) -> DataFrame:
     """pages (url, html, platform) to url, detail_date, detail_time."""
 

@@ -116,3 +116,62 @@ def containment_items(spark, sf):
     page = F.concat(F.lit("<html><nav><a href='/news'>News</a></nav><main><section>"), F.array_join("cs.card", ""), F.lit("</section></main></html>"))
     made = containment.q4_items(cards.select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html")))
     return made.select("page_id", "title", "url", "publish_date", "category")
+
+
+@query("""SELECT page_id, CASE WHEN k % 4 <> 0 THEN 'https://ir.example.com/list?page=2' END AS next_url, CASE k % 4 WHEN 0 THEN NULL WHEN 2 THEN greatest(2, k % 7 + 1) ELSE k % 7 + 1 END AS last_page,
+  CASE WHEN form THEN '10,50,100' ELSE '' END AS sizes, CASE WHEN form THEN '2024,2025' ELSE '' END AS years, CASE WHEN form THEN CASE k % 2 WHEN 0 THEN '2024' ELSE '_none' END END AS shown,
+  CASE WHEN form AND k % 4 > 0 THEN w || '_items_per_page=' || [50, 50, 100][k % 4] || '&' || w || '_year[value]=_none&op=Filter&' || w || '_widget_id=' || w || '&form_id=f&form_build_id=b' || k ELSE '' END AS size_query,
+  CASE WHEN form AND (k % 5 > 0 OR k % 2 = 0) THEN w || '_year[value]=' || CASE WHEN k % 5 > 0 THEN '2025' ELSE '_none' END || '&op=Filter&' || w || '_widget_id=' || w || '&form_id=f&form_build_id=b' || k ELSE '' END AS year_query,
+  CASE WHEN k % 6 = 0 THEN 'event-details' ELSE 'news-details' END AS segment, 1 + CAST(k % 2 AS BIGINT) AS leads
+  FROM (SELECT page_id, page_id AS k, page_id % 3 <> 0 AS form, 'w' || (page_id % 5) AS w FROM pages)""")
+def listing_widgets(spark, sf):
+    """Each page's id as a listing with a pager, a page-size and a year widget, detail links of two kinds and leads."""
+    k = F.col("page_id")
+    w = F.concat(F.lit("w"), (k % 5).cast("string"))
+    sel = lambda on: F.when(on, " selected").otherwise("")
+    form = F.concat(
+        F.lit("<form><select name='"), w, F.lit("_year[value]'><option value='_none'"), sel(k % 2 == 1), F.lit(">All</option><option value='2025'>2025</option><option value='2024'"), sel(k % 2 == 0), F.lit(">2024</option></select><select name='"), w,
+        F.lit("_items_per_page'><option>100</option><option value='10'>ten</option><option value='50'>50</option><option value='all'>All</option></select><input name='form_id' value='f'><input name='form_build_id' value='b"), k.cast("string"), F.lit("'></form>"),
+    )
+    last = F.concat(F.lit("<a href='?page="), (k % 7 + 1).cast("string"), F.when(k % 4 == 2, "'>").otherwise("' title='Go to last page'>"), F.lit("x</a>"))
+    pager = F.concat(F.lit("<a href='?page=1'>1</a><a href='#'>next</a>"), last, F.lit("<a rel='next' href='/list?page=2'>more</a>"))
+    links = F.when(k % 6 == 0, "<a href='/x/event-details/2026/a'>e</a>").otherwise("<a href='/x/news-details/2026/a'>n</a><a href='/x/event-details/2026/b'>e</a><a href='/x/news-details/2026/c'>n</a>")
+    leads = F.concat(F.lit("<a href='/about'>About</a><a href='/Press-Releases/all'>All</a>"), F.when(k % 2 == 1, "<a href='/investors'>Investors</a><a href='/investors'>again</a>").otherwise(""))
+    html = F.concat(F.when(k % 3 != 0, form).otherwise(""), F.when(k % 4 != 0, pager).otherwise(""), links, leads)
+    pages = v.table(spark, sf, "pages").select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), html.alias("html"), F.element_at(F.array(*map(F.lit, (5, 50, 70, 1000))), (k % 4 + 1).cast("int")).alias("size"), F.array(F.when(k % 5 == 0, 2030).otherwise(2025)).alias("years"))
+    made = extract.listing_facts(pages, "page_id")
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return made.select("page_id", "next_url", "last_page", joined("sizes"), joined("years"), "shown", "size_query", "year_query", "segment", F.size("leads").cast("long").alias("leads"))
+
+
+#: Cards whose link says no more than to read on: the headline is a heading, has a class that tells, or is the card's first text that is no date.
+READ_ON = (
+    "<li><div><h3>{title}</h3><p>{date}</p></div><p><a href='/news-releases/news-release-details/{id}'>Read more</a></p></li>",
+    "<li><p>{date}</p><span class='card-Title'>{title}</span><a href='/news-releases/news-release-details/{id}'>Learn More</a></li>",
+    "<li><span>{date}</span><p>{title}</p><b><a href='/news-releases/news-release-details/{id}'>Find out more</a></b></li>",
+    "<li><a href='/news-releases/news-release-details/{id}'><time datetime='{iso}T09:00'>x</time><h5>{title}</h5>{date}</a></li>",
+)
+
+
+@query("SELECT release_id // 25 AS page, title, 'https://ir.example.com/news-releases/news-release-details/' || release_id AS url, publish_date FROM releases", v.RELEASES)
+def extract_items_read_on(spark, sf):
+    k = F.col("release_id")
+    text = F.element_at(F.array(*map(F.lit, READ_ON)), (k % len(READ_ON) + 1).cast("int"))
+    for name, value in (("{date}", F.col("date_text")), ("{iso}", F.col("publish_date").cast("string")), ("{id}", k.cast("string")), ("{title}", F.col("title"))):
+        text = F.replace(text, F.lit(name), value)
+    cards = v.releases(spark, sf).select(F.floor(k / 25).cast("long").alias("page"), F.struct("release_id", text.alias("card")).alias("c")).groupBy("page").agg(F.array_sort(F.collect_list("c")).alias("cs"))
+    page = F.concat(F.lit("<main><ul>"), F.array_join("cs.card", ""), F.lit("</ul></main>"))
+    none = F.lit(None).cast("string")
+    pages = cards.select(F.lit("s").alias("slug"), F.lit("S").alias("ticker"), "page", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html"), F.lit("notified").alias("platform"), none.alias("segment"))
+    return extract.extract_items(pages).select("page", "title", "url", "publish_date")
+
+
+@query("SELECT release_id, publish_date AS detail_date, CASE WHEN release_id % 2 = 0 THEN '9:05 AM EST' ELSE '' END AS detail_time FROM releases", v.RELEASES)
+def detail_dates_by_platform(spark, sf):
+    """Notified pages tell the date in a labelled element, behind another date in the text; Q4 pages at the beginning of the text."""
+    k = F.col("release_id")
+    labelled = F.concat(F.lit("<body><p>Since May 1, 1990.</p><p class='release-date'>"), F.col("date_text"), F.lit("</p><article>9:05 AM EST</article></body>"))
+    plain = F.concat(F.lit("<body><h1>Title</h1><div>"), F.col("date_text"), F.lit("</div><p class='date'>1990-05-01</p></body>"))
+    pages = v.releases(spark, sf).select(k.cast("string").alias("url"), F.when(k % 2 == 0, labelled).otherwise(plain).alias("html"), F.when(k % 2 == 0, "notified").otherwise("q4").alias("platform"))
+    made = extract.detail_dates(pages)
+    return made.select(F.col("url").cast("bigint").alias("release_id"), "detail_date", "detail_time")
