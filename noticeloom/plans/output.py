@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
+import posixpath
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.operators import flow
@@ -55,6 +56,36 @@ def finalize(items: DataFrame, root: str, *, years: set[int] | None = None, sinc
     return out
 
 
+#: Fixed value: the line that tells what a merge did, or on a dry run would do.
+SUMMARY = "%s %d new + %d updated row(s) across %d daily CSV file(s)%s%s"
+
+
+def summary_line(told: DataFrame, incoming: DataFrame, dry_run: bool = False, root: str | None = None) -> DataFrame:
+    """line of store.summary's one row. A dry run tells the days that came in instead of those that change."""
+    days = incoming.agg(F.count_distinct("publish_date").alias("days"))
+    files = F.col("days") if dry_run else F.col("files_written")
+    skipped = F.when(F.col("undated") > 0, F.format_string(" (%d undated item(s) skipped)", "undated")).otherwise("")
+    place = F.lit("" if root is None else f" under {root}")
+    line = F.format_string(SUMMARY, F.lit("Would write" if dry_run else "Wrote"), "rows_added", "rows_updated", files, place, skipped)
+    return told.crossJoin(days).select(line.alias("line"))  # one row by one row
+
+
+def dump_path(path: str, page: Column | None = None, year: Column | None = None) -> Column:
+    """Where a page's HTML is dumped to: path for page 1, else with _page and the number before its ending, behind _ and the year where there is one."""
+    folder, name = posixpath.split(path)
+    stem, ending = posixpath.splitext(name)
+    middle = [F.concat(F.lit("_"), year.cast("string"))] if year is not None else []
+    middle += [F.when(page == 1, "").otherwise(F.concat(F.lit("_page"), page.cast("string")))] if page is not None else []
+    return F.concat(F.lit(posixpath.join(folder, stem)), *(F.coalesce(m, F.lit("")) for m in middle), F.lit(ending))
+
+
+def write_dumps(pages: DataFrame, root: str, name: str = "page.html") -> None:
+    """pages (slug, year, page, html) as text, a folder for each dump, named by the slug and dump_path; null pages are left out."""
+    dump = F.concat_ws("-", "slug", dump_path(name, F.col("page"), F.col("year")))
+    made = pages.filter("html is not null").select(F.col("html").alias("value"), dump.alias("dump"))
+    made.repartition("dump").write.mode("append").partitionBy("dump").text(root)
+
+
 def write_json(items: DataFrame, path: str) -> None:
     """An array of the items' stored columns, in their order, as one file. For exports of a bounded number of items."""
     told = [json.loads(r["json"]) for r in store.as_json(items).toLocalIterator()]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeloom.plans import output
 from noticeloom.plans import views as v
-from noticeloom.plans.queries import query
+from noticeloom.plans.queries import CHANGES, _crawl, query
 from noticeloom.sources import store
 from noticeloom.sources.daystore import DayStore
 
@@ -68,3 +69,20 @@ def store_counts(spark, sf):
         made.upsert(rows)
         counts = made.counts()
     return counts
+
+
+@query(f"""SELECT 'Wrote ' || a || ' new + ' || u || ' updated row(s) across ' || f || ' daily CSV file(s) under data (' || n || ' undated item(s) skipped)' AS line FROM (SELECT count(DISTINCT CASE WHEN change <> 'same' THEN publish_date END) AS f, count(*) FILTER (change = 'added') AS a, count(*) FILTER (change = 'updated') AS u, (SELECT count(*) FROM releases WHERE release_id % 6 = 0) AS n FROM changes)
+  UNION ALL SELECT 'Would write ' || a || ' new + ' || u || ' updated row(s) across ' || d || ' daily CSV file(s)' FROM (SELECT count(*) FILTER (change = 'added') AS a, count(*) FILTER (change = 'updated') AS u, (SELECT count(DISTINCT publish_date) FROM incoming) AS d FROM changes)""", v.RELEASES, CHANGES)
+def merge_lines(spark, sf):
+    """A merge's line with undated items, and a dry run's without."""
+    old, new = _crawl(spark, sf)
+    told = store.summary(new, store.classify(old, new))
+    undated = v.releases(spark, sf).filter("release_id % 6 = 0").withColumn("publish_date", F.lit(None).cast("date"))
+    wet = output.summary_line(told.drop("undated").crossJoin(undated.agg(F.count("*").alias("undated"))), new, root="data")
+    return wet.unionByName(output.summary_line(told, new, dry_run=True))
+
+
+@query("SELECT page_id, 'out/list' || CASE WHEN page_id % 4 = 0 THEN '' ELSE '_page' || (page_id % 4 + 1) END || '.html' AS by_page, 'list_' || (2000 + page_id % 26) || CASE WHEN page_id % 4 = 0 THEN '' ELSE '_page' || (page_id % 4 + 1) END || '.html' AS by_year FROM pages")
+def dump_paths(spark, sf):
+    k = F.col("page_id")
+    return v.table(spark, sf, "pages").select("page_id", output.dump_path("out/list.html", k % 4 + 1).alias("by_page"), output.dump_path("list.html", k % 4 + 1, 2000 + k % 26).alias("by_year"))

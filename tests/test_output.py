@@ -96,3 +96,10 @@ def test_arguments_and_selector():
     assert catalog.arguments("s", 2026, ("--a", "b"), True, "d") == ["--slug", "s", "--year", "2026", "--a", "b", "--dry-run", "--data-dir", "d"]
     assert catalog.arguments("s") == ["--slug", "s"]
     assert urls.details_selector() == "a[href*='/news-details/']" and urls.details_selector("x-details") == "a[href*='/x-details/']"
+
+
+def test_dumps_are_named_by_year_and_page(spark, tmp_path):
+    rows = [("a", 2026, 1, "<p>one</p>\n<p>two</p>"), ("a", 2026, 2, "<p>three</p>"), ("b", None, 1, "x"), ("b", None, 3, None)]
+    output.write_dumps(spark.createDataFrame(rows, "slug string, year int, page int, html string"), f"{tmp_path}/dumps")
+    made = {r["dump"]: r["value"].strip() for r in spark.read.text(f"{tmp_path}/dumps", wholetext=True).collect()}
+    assert made == {"a-page_2026.html": rows[0][3], "a-page_2026_page2.html": rows[1][3], "b-page.html": "x"}
