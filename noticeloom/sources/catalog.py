@@ -123,6 +123,61 @@ def upsert_source(sources: DataFrame, record: DataFrame) -> DataFrame:
     return sources.join(record.select("ticker"), "ticker", "left_anti").unionByName(record, allowMissingColumns=True).orderBy("slug")
 
 
+def _spans(text: str) -> list[tuple[int, int, dict]]:
+    """First line, line behind the last, and content of each record of a catalog; comments between records are in no span."""
+    import yaml
+
+    def last(node) -> int:
+        if isinstance(node, yaml.ScalarNode):
+            return node.end_mark.line + (node.end_mark.column > 0)
+        inner = [x for pair in node.value for x in pair] if isinstance(node, yaml.MappingNode) else node.value
+        own = [] if inner and not node.flow_style else [node.end_mark.line + (node.end_mark.column > 0)]
+        return max([*own, *map(last, inner)])
+
+    root = yaml.compose(text)
+    records = yaml.safe_load(text) or []
+    return [(node.start_mark.line, last(node), record) for node, record in zip(root.value if root else [], records)]
+
+
+def saved_text(text: str, record: dict) -> str:
+    """A catalog's text with the record in place of the one with its ticker, or added before the first greater slug; no other line changes.
+
+    A record is replaced by the lines that it stands on; comments within these go, all others stay. A slug that another
+    ticker has is an error. If the new slug breaks the order, the record moves.
+    """
+    import yaml
+
+    lines, spans = text.splitlines(keepends=True), _spans(text)
+    if lines and not lines[-1].endswith("\n"):
+        lines[-1] += "\n"
+    same = next((i for i, (_, _, r) in enumerate(spans) if record.get("ticker") and r.get("ticker") == record["ticker"]), None)
+    if any(r.get("slug") == record["slug"] and i != same for i, (_, _, r) in enumerate(spans)):
+        raise ValueError(f"slug {record['slug']} belongs to another source")
+    made = yaml.safe_dump([{k: v for k, v in record.items() if v is not None}], sort_keys=False, allow_unicode=True, width=10**6).splitlines(keepends=True)
+    others = [s for i, s in enumerate(spans) if i != same]
+    if same is not None:
+        begin, end, _ = spans[same]
+        before, after = [r["slug"] for _, _, r in spans[:same]], [r["slug"] for _, _, r in spans[same + 1 :]]
+        if all(x < record["slug"] for x in before) and all(x > record["slug"] for x in after):
+            return "".join(lines[:begin] + made + lines[end:])
+        lines[begin:end] = []
+        others = [(b - (end - begin) * (b > begin), e - (end - begin) * (b > begin), r) for b, e, r in others]
+    at = next((b for b, _, r in others if r["slug"] > record["slug"]), len(lines))
+    while 0 < at < len(lines) and lines[at - 1].lstrip().startswith("#"):  # the next record's own comment stays with it
+        at -= 1
+    return "".join(lines[:at] + made + lines[at:])
+
+
+def save_source(path: str, record: dict) -> None:
+    """saved_text of the catalog file, written beside it and put in its place by one rename; a new file if there is none."""
+    import os
+
+    text = open(path, encoding="utf-8", newline="").read() if os.path.exists(path) else ""
+    with open(f"{path}.new", "w", encoding="utf-8", newline="") as f:
+        f.write(saved_text(text, record))
+    os.replace(f"{path}.new", path)
+
+
 def platform_map(spark: SparkSession, path: str) -> DataFrame:
     """slug and platform of a detection report, as text and without reading any value as null; no file gives no rows."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -111,3 +111,43 @@ def test_nested_signatures(spark):
     assert {e for e in equal if len(e) > 1} == {frozenset({0, 1}), frozenset({8, 9}), frozenset({10, 11})}  # null is JSON's null, no arguments are none
     numbers = spark.createDataFrame([("100",), ("1e2",), ("100.0",)], "v string").select(catalog.canonical_json(F.col("v")).alias("c")).distinct()
     assert numbers.count() <= 2
+
+
+CATALOG = """# All sources
+- slug: acme
+  name: "Acme, Inc."   # as they write it
+  ticker: ACME
+  ir_url: https://ir.acme.example.com
+
+# The second one
+# moves often
+- slug: beta
+  name: Beta
+  ticker: BET
+  notes: |
+    two
+    lines
+  ir_url: 'https://ir.beta.example.com'
+- {slug: delta, name: Delta, ticker: DEL, ir_url: https://d.example.com}
+# the end
+"""
+
+
+def test_saving_a_source_leaves_all_other_lines_alone(spark, tmp_path):
+    beta = {"slug": "beta", "name": "Beta \u00dc", "ticker": "BET", "ir_url": "https://new.example.com", "news_url": None}
+    text = catalog.saved_text(CATALOG, beta)
+    begin, end = CATALOG.index("- slug: beta"), CATALOG.index("- {slug: delta")
+    assert text == CATALOG[:begin] + "- slug: beta\n  name: Beta \u00dc\n  ticker: BET\n  ir_url: https://new.example.com\n" + CATALOG[end:]
+    new = {"slug": "aero", "name": "Aero", "ticker": "AER", "ir_url": "https://a.example.com"}
+    added = catalog.saved_text(CATALOG, new)
+    at = CATALOG.index("# The second one")
+    assert added == CATALOG[:at] + "- slug: aero\n  name: Aero\n  ticker: AER\n  ir_url: https://a.example.com\n" + CATALOG[at:]
+    assert catalog.saved_text(added, new) == added
+    moved = catalog.saved_text(CATALOG, {**beta, "slug": "zeta"})
+    assert moved.endswith("# the end\n- slug: zeta\n  name: Beta \u00dc\n  ticker: BET\n  ir_url: https://new.example.com\n") and "- slug: beta" not in moved and "# moves often" in moved
+    with pytest.raises(ValueError, match="acme"):
+        catalog.saved_text(CATALOG, {**beta, "slug": "acme"})
+    path = f"{tmp_path}/sources.yaml"
+    for record in (beta, new, {**beta, "slug": "zeta"}):
+        catalog.save_source(path, record)
+    assert [(r["slug"], r["ticker"]) for r in catalog.load_sources(spark, path).orderBy("ordinal").collect()] == [("aero", "AER"), ("zeta", "BET")]
