@@ -5,8 +5,11 @@ filled by one further copy of some documents. For it each document has an inclus
 length; in each source the sum of p times size is the remainder. Each document has a fixed random number u, and
 documents are taken by ascending (u / (1 - u)) / (p / (1 - p)) until the remainder is full:
 Pareto order sampling with the sample's size fixed in words. The order is cut by two rounds of histograms, so no task
-ever sorts a source; only the rows of one bin in a million are compared one by one. The order ends about one document
-short of the remainder, and up to three documents that fit the gap close it: no order alone can meet a target in words.
+ever sorts a source; only the rows of one bin in a million are compared one by one. The order is cut where it is nearest
+to the remainder: a document is taken if its middle word lies within it. Nothing is taken out of order, so a source misses
+its target by half of the document at the cut at most. Sources that miss it by more than a ten-thousandth, which only those
+of few documents do, are drawn again with other random numbers (rejective sampling): of up to 64 Pareto samples the one nearest
+to the target stands, so what decides between samples is their sum, never the size of one document.
 """
 
 from __future__ import annotations
@@ -15,7 +18,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from noticeloom.llm.common import WORD, Scratch, text_or_empty, uniform
 
@@ -23,8 +25,10 @@ from noticeloom.llm.common import WORD, Scratch, text_or_empty, uniform
 BROADCAST_SOURCES = 10_000
 #: Bins of a histogram round.
 BINS = 1024
-#: Documents per source that may be taken out of order to close the gap which the last one in order leaves.
-CLOSINGS = 3
+#: A source whose sample misses its target by more than this part of it is drawn again.
+TOLERANCE = 1e-4
+#: Samples drawn of a source at most.
+DRAWS = 64
 #: How far inclusion probabilities are spread, of what keeps them between 0 and 1.
 SPREAD = 0.9
 
@@ -34,7 +38,7 @@ def word_count(text: str = "text") -> Column:
 
 
 def source_targets(sizes: DataFrame, scratch: Scratch, weights: Sequence[float], cap: float, half: float) -> DataFrame:
-    """A row per source: source, source_size, mean (preference by size), usual (size of a document), weight, target.
+    """A row per source: source, source_size, mean (preference by size), weight, target.
 
     Sources in code point order, null last, get the weights in turn; the targets share the sum of all sizes, none is
     above cap times its source, and what a cap cuts off goes to the others by weight.
@@ -42,7 +46,7 @@ def source_targets(sizes: DataFrame, scratch: Scratch, weights: Sequence[float],
     order = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("i") % len(weights) + 1)
     preferred = F.sum(F.col("size") * preference(F.col("size"), half))
-    table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.coalesce(preferred / F.nullif(F.sum("size"), F.lit(0)), F.lit(0.0)).alias("mean"), F.avg(F.nullif("size", F.lit(0))).alias("usual"))
+    table = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.coalesce(preferred / F.nullif(F.sum("size"), F.lit(0)), F.lit(0.0)).alias("mean"))
     table = table.withColumn("i", (F.row_number().over(order) - 1).cast("int")).withColumn("weight", weight)
     table = scratch.keep(table, "sources")
     # The targets are min(weight * level, cap * size); the level rises until the targets share everything.
@@ -80,6 +84,19 @@ def _rank(p: Column, size: Column, u: Column) -> Column:
     return F.when((p > 0) & (size > 0), r / (1 + r)).otherwise(F.lit(1.0))
 
 
+#: Columns of a source's plan.
+PLAN = ("source_size", "mean", "weight", "target", "whole", "rest", "share")
+
+
+def _of_source(left: DataFrame, side: DataFrame, few: bool, *also: str, how: str = "inner") -> DataFrame:
+    """left with side's columns, by source (null is one of them) and the other columns named; side is broadcast if it has few rows."""
+    keys = ("source", *also)
+    side = side.withColumnsRenamed({c: f"side_{c}" for c in keys})
+    same = [F.col(c).eqNullSafe(F.col(f"side_{c}")) for c in keys]
+    on = same[0] if len(same) == 1 else same[0] & same[1]
+    return left.join(F.broadcast(side) if few else side, on, how).drop(*(f"side_{c}" for c in keys))
+
+
 class Mix:
     """Copies of each document for a mix.
 
@@ -95,79 +112,67 @@ class Mix:
         whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(cap))).otherwise(0)
         plan = plan.withColumn("whole", whole.cast("long")).withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
         plan = plan.withColumn("share", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0))
-        plan = plan.withColumn("goal", F.greatest(F.col("rest") - F.coalesce("usual", F.lit(0.0)), F.lit(0.0)))
         plan = scratch.keep(plan, "plan")
-        self.few = plan.count() <= BROADCAST_SOURCES
-        ranked = self._ranked(sizes, plan).filter("size > 0 and rest > 0")
-        ranked = scratch.keep(ranked.select("source", "doc_id", "digest", "size", "rank", "rest", "goal"), "ranked")
-        cut = self._cut(ranked, plan, scratch)
-        self.plan = self._closed(ranked, scratch.keep(cut, "cut"), scratch)
-
-    def _ranked(self, docs: DataFrame, plan: DataFrame) -> DataFrame:
-        u = uniform("doc_id", "digest", seed=self.seed)
-        side = plan.withColumnRenamed("source", "s0")
-        joined = docs.join(F.broadcast(side) if self.few else side, F.col("source").eqNullSafe(F.col("s0"))).drop("s0")
+        first = self._draw(sizes, plan, range(1), scratch)
+        missed = scratch.keep(first.filter(F.col("gap") > TOLERANCE * F.col("target")).select("source", *PLAN), "missed")
+        again = self._draw(sizes, missed, range(1, DRAWS), scratch)
+        best = F.min_by(F.struct("draw", "floor", "limit", "gap"), F.struct("gap", "draw")).alias("best")
+        cuts = first.unionByName(again)
+        self.plan = scratch.keep(cuts.groupBy("source", *PLAN).agg(best).select("source", *PLAN, "best.*"), "cuts")
+        self.few = self.plan.count() <= BROADCAST_SOURCES
+
+    def _ranked(self, docs: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
+        """docs with the columns of plan, where each row is a draw of a source, and their rank in that draw."""
+        joined = _of_source(docs, plan, few)
+        u = uniform("doc_id", "digest", "draw", seed=self.seed)
         return joined.withColumn("rank", _rank(inclusion(F.col("share"), F.col("size"), F.col("mean"), self.half), F.col("size"), u))
 
-    def _cut(self, ranked: DataFrame, plan: DataFrame, scratch: Scratch) -> DataFrame:
-        """For every source the last row in the order that still fits: bins first, then the rows of one bin."""
-        before = plan.select("source", F.lit(0.0).alias("taken"), F.lit(0).cast("long").alias("bin"))
-        by_source = Window.partitionBy("source")
-        rows = ranked
+    def _draw(self, sizes: DataFrame, plan: DataFrame, draws: range, scratch: Scratch) -> DataFrame:
+        """plan for each draw, with floor and limit of its cut and the words by which it misses the remainder (gap)."""
+        plan = plan.withColumn("draw", F.explode(F.array(*map(F.lit, draws))))
+        few = plan.count() <= BROADCAST_SOURCES
+        rows = self._ranked(sizes, plan, few).filter("size > 0 and rest > 0").select("source", "draw", "doc_id", "digest", "size", "rank", "rest")
+        name = f"draw{draws.start}"
+        rows = scratch.keep(rows, f"{name}-ranked")
+        edge = self._cut(rows, plan, few, scratch, name)
+        scratch.drop(f"{name}-ranked")
+        return edge
+
+    def _cut(self, rows: DataFrame, plan: DataFrame, few: bool, scratch: Scratch, name: str) -> DataFrame:
+        """For every draw the last row in the order whose middle is within the remainder: bins first, then the rows of one bin."""
+        before = plan.select("source", "draw", F.lit(0.0).alias("taken"))
+        by_draw = Window.partitionBy("source", "draw")
         for depth in (1, 2):
             scale = float(BINS**depth)
             rows = rows.withColumn("bin", F.least(F.floor(F.col("rank") * scale), F.lit(int(scale) - 1)).cast("long"))
-            bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("goal").alias("goal"))
-            prior = before.select(F.col("source").alias("s0"), F.col("taken").alias("base"))
-            bins = bins.join(F.broadcast(prior) if self.few else prior, F.col("source").eqNullSafe(F.col("s0"))).drop("s0")
-            run = F.col("base") + F.sum("words").over(by_source.orderBy("bin"))
-            bins = bins.withColumn("upto", run)
+            bins = rows.groupBy("source", "draw", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+            bins = _of_source(bins, before.select("source", "draw", "taken"), few, "draw")
+            bins = bins.withColumn("upto", F.col("taken") + F.sum("words").over(by_draw.orderBy("bin")))
             # The bin where the remainder is passed, or the last one where it never is.
-            passed = F.min(F.when(F.col("upto") > F.col("goal"), F.struct("bin", (F.col("upto") - F.col("words")).alias("taken"))))
-            last = F.max(F.struct("bin", (F.col("upto") - F.col("words")).alias("taken")))
-            before = bins.groupBy("source").agg(F.coalesce(passed, last).alias("at")).select("source", "at.taken", "at.bin")
-            before = scratch.keep(before, f"bin{depth}")
-            at = before.select(F.col("source").alias("s0"), F.col("bin").alias("b0"))
-            rows = rows.join(F.broadcast(at) if self.few else at, F.col("source").eqNullSafe(F.col("s0")) & (F.col("bin") == F.col("b0"))).drop("s0", "b0")
+            at = F.struct("bin", (F.col("upto") - F.col("words")).alias("taken"))
+            passed = F.min(F.when(F.col("upto") > F.col("rest"), at))
+            before = bins.groupBy("source", "draw").agg(F.coalesce(passed, F.max(at)).alias("at")).select("source", "draw", "at.taken", F.col("at.bin").alias("floor"))
+            before = scratch.keep(before, f"{name}-bin{depth}")
+            rows = _of_source(rows, before.drop("taken"), few, "draw").filter("bin = floor").drop("floor", "bin")
         key = F.struct("rank", "doc_id", "digest")
-        base = before.select(F.col("source").alias("s0"), "taken", F.col("bin").alias("floor"))
-        upto = F.col("taken") + F.sum("size").over(by_source.orderBy("rank", "doc_id", "digest").rangeBetween(Window.unboundedPreceding, 0))
-        last = rows.join(F.broadcast(base) if self.few else base, F.col("source").eqNullSafe(F.col("s0"))).withColumn("upto", upto)
-        last = last.filter("upto <= goal").groupBy(F.col("source").alias("s1")).agg(F.max(key).alias("limit"), F.max("upto").alias("upto"))
-        edge = plan.join(base, F.col("source").eqNullSafe(F.col("s0")), "left").drop("s0").join(last, F.col("source").eqNullSafe(F.col("s1")), "left").drop("s1")
-        gap = F.col("rest") - F.coalesce("upto", "taken", F.lit(0.0))
-        return edge.withColumn("gap", gap).withColumn("floor", F.coalesce(F.col("floor"), F.lit(0))).drop("taken", "upto")
+        alike = rows.groupBy("source", "draw", "rank", "doc_id", "digest").agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))  # one fate
+        upto = F.col("taken") + F.sum("size").over(by_draw.orderBy("rank", "doc_id", "digest"))
+        last = _of_source(alike, before, few, "draw").withColumn("upto", upto).filter("upto - size / 2 <= rest")
+        last = last.groupBy("source", "draw").agg(F.max(key).alias("limit"), F.max("upto").alias("upto"))
+        edge = _of_source(_of_source(plan, before, few, "draw", how="left"), last, few, "draw", how="left")
+        gap = F.abs(F.col("rest") - F.coalesce("upto", "taken", F.lit(0.0)))
+        edge = edge.withColumn("gap", gap).withColumn("floor", F.coalesce("floor", F.lit(0)))
+        return scratch.keep(edge.select("source", *PLAN, "draw", "floor", "limit", "gap"), f"{name}-cut")
 
     def _in(self) -> Column:
-        """Taken: below the bin of the cut, within it up to its limit, or closing the last gap."""
+        """Taken: below the bin of the cut, or within it up to its limit."""
         below = F.floor(F.col("rank") * float(BINS**2)) < F.col("floor")
         within = F.col("limit").isNotNull() & (F.struct("rank", "doc_id", "digest") <= F.col("limit"))
-        closing = F.array_contains("closing", F.struct("rank", "doc_id", "digest"))
-        return F.coalesce((F.col("rest") > 0) & (F.col("rank") < 1) & (below | within | closing), F.lit(False))
-
-    def _closed(self, ranked: DataFrame, cut: DataFrame, scratch: Scratch) -> DataFrame:
-        """Adds the closing documents: of those not yet taken, one after the other, whichever fits the source's last gap, or half of it, best."""
-        kind = ranked.select(F.struct("rank", "doc_id", "digest").alias("key")).schema["key"].dataType
-        cut = cut.withColumn("closing", F.array().cast(T.ArrayType(kind)))
-        for turn in range(CLOSINGS):
-            side = cut.select(F.col("source").alias("s0"), "floor", "limit", "gap", "closing")
-            left = ranked.join(F.broadcast(side) if self.few else side, F.col("source").eqNullSafe(F.col("s0"))).drop("s0")
-            left = left.filter(~self._in() & (F.abs(F.col("size") - F.col("gap")) < F.col("gap")))
-            whole, half = F.abs(F.col("size") - F.col("gap")), F.abs(F.col("size") - F.col("gap") / 2)
-            # One that fits all of the gap; else one of half of it, so that another can fit the rest.
-            fits = (whole <= 1 + F.col("gap") / 50) | F.lit(turn == CLOSINGS - 1)
-            best = F.min(F.struct((~fits).alias("unfit"), F.when(fits, whole).otherwise(half).alias("off"), "rank", "doc_id", "digest", "size"))
-            best = left.groupBy(F.col("source").alias("s0")).agg(best.alias("best"))
-            cut = cut.join(best, F.col("source").eqNullSafe(F.col("s0")), "left").drop("s0")
-            cut = cut.withColumn("gap", F.col("gap") - F.coalesce("best.size", F.lit(0)))
-            more = F.array(F.struct("best.rank", "best.doc_id", "best.digest"))
-            cut = cut.withColumn("closing", F.when(F.col("best").isNotNull(), F.concat("closing", more)).otherwise(F.col("closing")))
-            cut = scratch.keep(cut.drop("best"), f"closed{turn}")
-        return cut
+        return F.coalesce((F.col("rest") > 0) & (F.col("rank") < 1) & (below | within), F.lit(False))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """docs (source, doc_id, digest, size) with source_size, target, copies (long) and the plan's columns."""
-        return self._ranked(docs, self.plan).withColumn("copies", F.col("whole") + self._in().cast("long"))
+        return self._ranked(docs, self.plan, self.few).withColumn("copies", F.col("whole") + self._in().cast("long"))
 
 
 def sized(docs: DataFrame, *extra: Column) -> DataFrame:
