@@ -719,4 +719,4 @@ def _streamed(spark: SparkSession, first: DataFrame) -> DataFrame:
     return made.select("slug", "ticker", "title", "url", F.col("day").alias("publish_date"), F.coalesce("publish_time", F.lit("")).alias("publish_time"))
 
 
-from noticeloom.plans import store_queries, walk_queries  # noqa: E402, F401  they register more, with the functions above
+from noticeloom.plans import catalog_queries, store_queries, walk_queries  # noqa: E402, F401  they register more, with the functions above

@@ -190,12 +190,26 @@ def column_widths(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.agg(*(F.greatest(F.max(F.coalesce(F.length(F.col(c).cast("string")), F.lit(0))), F.lit(len(c))).cast("long").alias(c) for c in columns))
 
 
+def _padded(cells: list[Column], widths: list[Column]) -> Column:
+    return F.rtrim(F.concat_ws("  ", *(F.rpad(F.coalesce(cell.cast("string"), F.lit("")), width.cast("int"), F.lit(" ")) for cell, width in zip(cells, widths))))
+
+
+def table_lines(rows: DataFrame, *columns: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each row as a line padded to the widths that all rows and the header need, with header and rule, beside the columns in keep."""
+    told = column_widths(rows, *columns).select(F.struct(*columns).alias("_w"))
+    widths = [F.col(f"_w.{c}") for c in columns]
+    header = _padded([F.lit(c) for c in columns], widths)
+    rule = F.concat_ws("  ", *(F.repeat(F.lit("-"), w.cast("int")) for w in widths))
+    made = rows.crossJoin(F.broadcast(told))  # one row
+    return made.select(*keep, header.alias("header"), rule.alias("rule"), _padded([F.col(c) for c in columns], widths).alias("line"))
+
+
 def text_table(rows: DataFrame, *columns: str) -> list[str]:
-    """Header, rule and rows padded to common widths. For reports of a bounded number of rows."""
+    """Header, rule and rows, in their order, padded to common widths. For reports of a bounded number of rows."""
     width = column_widths(rows, *columns).first().asDict()
-    line = F.concat_ws("  ", *(F.rpad(F.coalesce(F.col(c).cast("string"), F.lit("")), width[c], " ") for c in columns))
+    line = _padded([F.col(c) for c in columns], [F.lit(width[c]) for c in columns])
     head = "  ".join(c.ljust(width[c]) for c in columns)
-    return [head.rstrip(), "  ".join("-" * width[c] for c in columns), *(r[0].rstrip() for r in rows.select(line).collect())]
+    return [head.rstrip(), "  ".join("-" * width[c] for c in columns), *(r[0] for r in rows.select(line).collect())]
 
 
 def record_lines(rows: DataFrame, *columns: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -13,21 +13,22 @@ from noticeloom.functions.html import first_table
 from noticeloom.plans.classify import platform_of
 
 FIELDS = ("slug", "name", "ticker", "ir_url", "news_url", "news_releases_path", "first_page_index", "notes", "needs_detail_page_dates", "news_path", "news_details_segment", "aem_listing_path", "aem_item_selector")
+DESCRIBED = ("slug", "name", "ticker", "ir_url", "news_url", "news_path", "news_details_segment", "news_releases_path")
 REQUIRED = ("slug", "name", "ir_url")
 SOURCES = ", ".join(f"{f} {'int' if f == 'first_page_index' else 'boolean' if f == 'needs_detail_page_dates' else 'string'}" for f in FIELDS)
 
 
-def _yaml(path: str):
+def _yaml(spark: SparkSession, path: str):
+    """Content of a YAML file wherever Spark reads files; a folder that Spark wrote one into will do. Catalogs are small: a record for each source."""
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        return yaml.safe_load(f)
+    return yaml.safe_load("".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
 
 
 def load_sources(spark: SparkSession, path: str) -> DataFrame:
-    """The catalog with its file order as ordinal. A record without a required field, or a text that YAML read as something else, is an error."""
-    rows = []
-    for i, record in enumerate(_yaml(path) or []):
+    """The catalog, a list or one under the key sources, with its file order as ordinal. A record without a required field, or a text that YAML read as something else, is an error."""
+    rows, told = [], _yaml(spark, path) or []
+    for i, record in enumerate(told.get("sources") or [] if isinstance(told, dict) else told):
         for field in FIELDS:
             value = record.get(field)
             if field in REQUIRED and not value:
@@ -38,10 +39,15 @@ def load_sources(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, f"ordinal int, {SOURCES}")
 
 
+def described(sources: DataFrame) -> DataFrame:
+    """The catalog's columns that a detection report takes, what is not given as empty text."""
+    return sources.select("ordinal", *(F.coalesce(c, F.lit("")).alias(c) for c in DESCRIBED))
+
+
 def load_config(spark: SparkSession, path: str) -> DataFrame:
     """group, module, slug, args, ordinal: a row for each configured source; a group's name is its strategy."""
     rows = []
-    for group, body in (_yaml(path) or {}).items():
+    for group, body in (_yaml(spark, path) or {}).items():
         for entry in body.get("sources") or []:
             rows.append((group, body.get("scraper"), entry.get("slug"), [str(a) for a in entry.get("args") or []], len(rows)))
     return spark.createDataFrame(rows, "group string, module string, slug string, args array<string>, ordinal int")
@@ -216,6 +222,23 @@ def slug_taken(sources: DataFrame, slug: str, ticker: str | None) -> bool:
     return not sources.filter(same & ~F.col("ticker").eqNullSafe(F.lit(ticker))).isEmpty()
 
 
+def conflicts(wanted: DataFrame, sources: DataFrame) -> DataFrame:
+    """wanted (slug, ticker) with taken: whether a source with another ticker has the slug. Sources are grouped by slug first, so a row comes back once."""
+    key = F.lower(F.trim("slug"))
+    held = sources.groupBy(key.alias("_key")).agg(F.collect_set(F.coalesce("ticker", F.lit(""))).alias("_held"))
+    other = F.exists("_held", lambda t: t != F.coalesce(F.col("ticker"), F.lit("")))
+    return wanted.join(held, key == F.col("_key"), "left").withColumn("taken", F.coalesce(other, F.lit(False))).drop("_key", "_held")
+
+
+def with_required(requests: DataFrame, sources: DataFrame, *columns: str) -> DataFrame:
+    """requests (slug) with the columns of the first source of their slug; the job fails, naming the slug, if the catalog lacks one."""
+    key = F.lower(F.trim("slug"))
+    first = sources.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*columns), "ordinal").alias("_found"))
+    lost = F.raise_error(F.concat(F.lit("no source has the slug "), F.coalesce("slug", F.lit(""))))
+    found = F.when(F.col("_found").isNull(), lost.cast(first.schema["_found"].dataType)).otherwise(F.col("_found")).alias("_found")
+    return requests.join(first, key == F.col("_key"), "left").select(*requests.columns, found).select(*requests.columns, *(F.col(f"_found.{c}").alias(c) for c in columns))
+
+
 def required(sources: DataFrame, slug: str):
     """The record of a slug; there being none is an error."""
     row = find_source(sources, slug, "slug").first()

@@ -151,3 +151,21 @@ def test_saving_a_source_leaves_all_other_lines_alone(spark, tmp_path):
     for record in (beta, new, {**beta, "slug": "zeta"}):
         catalog.save_source(path, record)
     assert [(r["slug"], r["ticker"]) for r in catalog.load_sources(spark, path).orderBy("ordinal").collect()] == [("aero", "AER"), ("zeta", "BET")]
+
+
+def test_required_records_and_conflicts(spark, sources):
+    asked = spark.createDataFrame([(" Acme ", 1), ("beta", 2), ("beta", 3)], "slug string, n int")
+    assert [(r["n"], r["ticker"]) for r in catalog.with_required(asked, sources, "ticker").orderBy("n").collect()] == [(1, "ACME"), (2, "BETA"), (3, "BETA")]
+    lost = spark.createDataFrame([("acme",), ("none",)], "slug string")
+    with pytest.raises(Exception, match="no source has the slug none"):
+        catalog.with_required(lost, sources, "ticker").collect()
+    wanted = spark.createDataFrame([("ACME ", "OTHER"), ("acme", "ACME"), ("new", "N"), ("bls", None), (None, None)], "slug string, ticker string")
+    assert {(r["slug"], r["taken"]) for r in catalog.conflicts(wanted, sources).collect()} == {("ACME ", True), ("acme", False), ("new", False), ("bls", False), (None, False)}
+
+
+def test_catalog_under_a_key_with_empty_defaults(spark, tmp_path):
+    (tmp_path / "k.yaml").write_text("sources:\n  - {slug: a, name: é, ir_url: x}\n")
+    made = catalog.described(catalog.load_sources(spark, str(tmp_path / "k.yaml"))).first().asDict()
+    assert made == {"ordinal": 0, "slug": "a", "name": "é", "ticker": "", "ir_url": "x", "news_url": "", "news_path": "", "news_details_segment": "", "news_releases_path": ""}
+    (tmp_path / "empty.yaml").write_text("")
+    assert catalog.load_sources(spark, str(tmp_path / "empty.yaml")).count() == 0
