@@ -39,7 +39,7 @@ def test_documents(spark, sf):
     right = []
     for r in rows:
         n, chars, symbols, dup, rep = base(texts[r["doc_id"]])
-        assert (r["n_words"], r["word_chars"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, dup, rep)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, dup, rep)
         failed = n < 50 or 100 * rep > 50 * n
         assert r["base_failed"] == failed and not (failed and r["kept"])
         if not failed and r["doc_id"] in labels:
