@@ -74,13 +74,13 @@ def start_page(pages: DataFrame, target_max: int, target_min: int, by: str = "sl
 def walked(pages: DataFrame, items: DataFrame, target_min: int | None = None, cap: int | Column = PAGE_CAP, by: str = "slug") -> DataFrame:
     """The pages (by, page, n_new, max_year) that a walk reads before it stops.
 
-    It stops after a page without new addresses, after one that is wholly older than the target, or at the cap; the
-    page that stops it is read.
+    It stops after a page without new addresses, after one that is wholly older than the target, or at the cap (a null cap
+    never); the page that stops it is read.
     """
     first = items.groupBy(by, urls.normal(F.col("url")).alias("u")).agg(F.min("page").alias("first_page"))
     new = first.groupBy(by, F.col("first_page").alias("page")).agg(F.count("*").alias("n_new"))
     seen = pages.join(new, [by, "page"], "left").withColumn("n_new", F.coalesce("n_new", F.lit(0)).cast("long"))
-    stop = (F.col("n_new") == 0) | (F.col("page") + 1 >= cap)
+    stop = (F.col("n_new") == 0) | F.coalesce(F.col("page") + 1 >= cap, F.lit(False))
     if target_min is not None:
         stop = stop | F.coalesce(F.col("max_year") < target_min, F.lit(False))
     before = Window.partitionBy(by).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)

@@ -177,6 +177,12 @@ def test_a_broken_page_fails_its_year_alone(spark):
         extract.extract_items(pages).collect()
 
 
+def test_a_year_of_many_pages_is_read_to_its_end(spark):
+    pages = listing(spark, [("a", 2024, i, f"<table>{card(i)}</table>", "notified_gated") for i in range(130)])
+    assert sorted(r["page"] for r in extract.gated_years(pages, {2024}).collect()) == list(range(130))
+    assert sorted(r["page"] for r in extract.gated_years(pages, {2024}, cap=7).collect()) == list(range(7))
+
+
 def test_a_platform_of_ones_own(spark):
     """Added from outside, with a link predicate and a date of its own, beside another platform in one plan."""
 
