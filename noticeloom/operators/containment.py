@@ -4,11 +4,14 @@ A node's stretch [node, until) of the document order holds all that is below it,
 or text a point. The join cuts each interval into blocks of the dyadic grid, of which it needs two a level at most, and
 gives each point its block on every level; a point in an interval lies in exactly one of its blocks. So the join is an
 equality on page, level and block: no page is compared node by node, and a page of any size is spread over tasks.
+
+Every join here is of tables that grow with the pages, so all are sort-merge joins by hint: Spark's estimates know nothing of
+what parsing and the grid multiply, and by them it would collect a whole side at the driver to broadcast it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -16,20 +19,22 @@ from pyspark.sql import functions as F
 
 from noticeloom.functions import dates, html, urls
 
+#: keep(df, name): the same rows, read back from where the cluster keeps intermediate tables.
+Keep = Callable[[DataFrame, str], DataFrame]
 #: Levels of the grid: documents of 2^LEVELS nodes.
 LEVELS = 31
-NODES = "node bigint, until bigint, tag string, href string, label string, texts array<struct<at:bigint,text:string>>"
+NODES = "node bigint, until bigint, n_nodes bigint, tag string, href string, label string, texts array<struct<at:bigint,text:string>>"
 
 
 def nodes(pages: DataFrame) -> DataFrame:
-    """pages (page_id, html) to page_id and a row for each element: its number and end in document order, tag, href, aria-label, and its own texts.
+    """pages (page_id, html) to page_id and a row for each element: its number and end in document order, the page's number of elements, tag, href, aria-label, and its own texts.
 
     Pages are parsed once, in Arrow batches; everything after that is joins. Texts of scripts and styles are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, columns = [], [[] for _ in range(6)]
+            of, columns = [], [[] for _ in range(7)]
             for i, text in enumerate(batch.column("html").to_pylist()):
                 page = html.Page(text or "")
                 own: list[list[dict]] = [[] for _ in page.tag]
@@ -37,9 +42,9 @@ def nodes(pages: DataFrame) -> DataFrame:
                     if page.tag[holder] not in ("script", "style"):
                         own[holder].append({"at": at, "text": said})
                 of += [i] * len(page.tag)
-                for column, values in zip(columns, (range(len(page.tag)), page.end, page.tag, (a.get("href") for a in page.attrs), (a.get("aria-label") for a in page.attrs), own)):
+                for column, values in zip(columns, (range(len(page.tag)), page.end, [len(page.tag)] * len(page.tag), page.tag, (a.get("href") for a in page.attrs), (a.get("aria-label") for a in page.attrs), own)):
                     column += values
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.struct([("at", pa.int64()), ("text", pa.string())]))]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.struct([("at", pa.int64()), ("text", pa.string())]))]
             yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array(of, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))], names)
 
     names = ["page_id", *(c.split()[0] for c in NODES.split(", "))]
@@ -61,27 +66,32 @@ def _blocks(low: Column, high: Column) -> Column:
         made = F.concat(s["made"], block(left, level, s["low"]), block(right, level, s["high"] - 1))
         return F.struct(F.shiftright(s["low"] + left.cast("bigint"), 1).alias("low"), F.shiftright(s["high"] - right.cast("bigint"), 1).alias("high"), made.alias("made")).cast(kind)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), start, step, lambda s: s["made"])
+    levels = F.length(F.bin(F.greatest(high - low, F.lit(0))))  # each halves what is left
+    return F.aggregate(F.sequence(F.lit(0), levels), start, step, lambda s: s["made"])
+
 
+def contained(outer: DataFrame, inner: DataFrame, low: str, high: str, point: str, top: str | None = None) -> DataFrame:
+    """Each row of outer (page_id, low, high, ...) with each row of inner (page_id, point, ...) of the same page that lies in [low, high).
 
-def contained(outer: DataFrame, inner: DataFrame, low: str, high: str, point: str) -> DataFrame:
-    """Each row of outer (page_id, low, high, ...) with each row of inner (page_id, point, ...) of the same page that lies in [low, high)."""
+    top: a column of inner that no high of its page is above; a point then has as many levels as that number has bits.
+    """
     cut = outer.withColumn("_b", F.explode(_blocks(F.col(low), F.col(high)))).select("*", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")).drop("_b")
-    grid = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col(point), level).alias("block")))
-    points = inner.withColumn("_b", F.explode(grid)).select("*", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")).drop("_b")
-    return cut.join(points, ["page_id", "_level", "_block"]).drop("_level", "_block")
+    levels = F.length(F.bin(F.col(top))) if top else F.lit(LEVELS)
+    grid = F.transform(F.sequence(F.lit(0), levels), lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col(point), level).alias("block")))
+    points = inner.withColumn("_b", F.explode(grid)).select("*", F.col("_b.level").alias("_level"), F.col("_b.block").alias("_block")).drop("_b", top or "_b")
+    return cut.join(points.hint("merge"), ["page_id", "_level", "_block"]).drop("_level", "_block")
 
 
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def open_boxes(table: DataFrame, links: DataFrame, tags: tuple[str, ...], climb: int) -> DataFrame:
-    """page_id, link, box, until, level: of each link (page_id, link, href) its ancestors of these tags, nearest first, climb at most, up to the first that holds a link with another href."""
+def open_boxes(table: DataFrame, links: DataFrame, tags: tuple[str, ...], climb: int, keep: Keep) -> DataFrame:
+    """page_id, link, box, until, level: of each link (page_id, link, n_nodes, href) its ancestors of these tags, nearest first, climb at most, up to the first that holds a link with another href."""
     boxes = table.filter(F.col("tag").isin(*tags)).select("page_id", F.col("node").alias("box"), "until")
-    pairs = contained(boxes, links.select("page_id", "link", "href"), "box", "until", "link")
+    pairs = keep(contained(boxes, links.select("page_id", "link", "n_nodes", "href"), "box", "until", "link", "n_nodes"), "pairs")
     held = pairs.groupBy("page_id", "box").agg((F.min("href") != F.max("href")).alias("several")).withColumnRenamed("box", "_box")
-    pairs = pairs.join(held.withColumnRenamed("page_id", "_page"), (F.col("page_id") == F.col("_page")) & (F.col("box") == F.col("_box"))).drop("_page", "_box")
+    pairs = pairs.join(held.withColumnRenamed("page_id", "_page").hint("merge"), (F.col("page_id") == F.col("_page")) & (F.col("box") == F.col("_box"))).drop("_page", "_box")
     outward = Window.partitionBy("page_id", "link").orderBy(F.desc("box"))
     ranked = pairs.withColumns({"level": F.row_number().over(outward), "shut": F.max("several").over(outward.rowsBetween(Window.unboundedPreceding, 0))})
     return ranked.filter((F.col("level") <= climb) & ~F.col("shut")).select("page_id", "link", "box", "until", "level")
@@ -89,36 +99,39 @@ def open_boxes(table: DataFrame, links: DataFrame, tags: tuple[str, ...], climb:
 
 def text_of(table: DataFrame, outer: DataFrame, low: str, high: str, *keys: str) -> DataFrame:
     """keys and said (array of text in document order) of the texts in [low, high) of each row of outer."""
-    texts = table.select("page_id", "node", F.explode("texts").alias("t"))
-    met = contained(outer, texts, low, high, "node")
+    texts = table.select("page_id", "node", "n_nodes", F.explode("texts").alias("t"))
+    met = contained(outer, texts, low, high, "node", "n_nodes")
     return met.groupBy(*keys).agg(F.array_sort(F.collect_list("t")).alias("said")).withColumn("said", F.transform("said", lambda t: t["text"]))
 
 
-def q4_items(pages: DataFrame, segment: str = "news-details") -> DataFrame:
+def q4_items(pages: DataFrame, segment: str = "news-details", keep: Keep = lambda df, name: df) -> DataFrame:
     """pages (page_id, base_url, html) to page_id, place, title, url, publish_date, raw_date_text and category of Q4 listings, as html.q4 reads them.
 
     place is the link's number in document order. The date is the first one in the nearest card around the link, up to five,
-    that holds no other release, outside the link's own words; else the last one in the link's label.
+    that holds no other release, outside the link's own words; else the last one in the link's label. keep(df, name)
+    writes what is used several times and gives it back; without it pages are parsed again for each use.
     """
-    table = nodes(pages)
+    table = keep(nodes(pages), "nodes")
     detail = F.col("href").rlike(rf"(?i)/{segment}/\d{{4}}/[^/]+/?(?:default\.aspx)?")
-    links = table.filter((F.col("tag") == "a") & detail).select("page_id", F.col("node").alias("link"), F.col("until").alias("link_until"), "href", "label")
-    own = text_of(table, links, "link", "link_until", "page_id", "link").withColumnRenamed("said", "own")
-    boxes = open_boxes(table, links, ("li", "article", "div", "section"), 5)
+    links = table.filter((F.col("tag") == "a") & detail).select("page_id", F.col("node").alias("link"), F.col("until").alias("link_until"), "n_nodes", "href", "label")
+    own = keep(text_of(table, links.select("page_id", "link", "link_until"), "link", "link_until", "page_id", "link").withColumnRenamed("said", "own"), "own")
+    boxes = keep(open_boxes(table, links, ("li", "article", "div", "section"), 5, keep), "boxes")
     around = text_of(table, boxes.select("page_id", "box", "until").distinct(), "box", "until", "page_id", "box")
-    near = boxes.drop("until").join(around, ["page_id", "box"]).join(own, ["page_id", "link"], "left")
+    near = boxes.drop("until").join(around.hint("merge"), ["page_id", "box"]).join(own.hint("merge"), ["page_id", "link"], "left")
     own_words = F.coalesce("own", F.array().cast("array<string>"))
     context = F.array_join(F.filter(F.transform(F.filter("said", lambda t: ~F.array_contains(own_words, t)), strip), lambda t: t != ""), " ")
     category = F.coalesce(*(F.when(F.contains("context", F.lit(c)), F.lit(c)) for c in html.CATEGORIES))
     near = near.withColumn("context", context).withColumns({"found": dates.parse_date(F.col("context")), "category": category})
     dated = F.when(F.col("found.date").isNotNull(), F.col("level"))
     told = near.groupBy("page_id", "link").agg(F.min(dated).alias("dated"), F.min_by("found", dated).alias("found"), F.min(F.when(F.col("category").isNotNull(), F.col("level"))).alias("sorted"), F.min_by("category", F.when(F.col("category").isNotNull(), F.col("level"))).alias("category"))
-    nearest = contained(table.filter(F.col("tag").isin("li", "article", "div")).select("page_id", F.col("node").alias("box"), "until"), links.select("page_id", "link"), "box", "until", "link")
+    words = lambda c, by: F.array_join(F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), strip), lambda t: t != ""), by)
+    made = links.join(own.hint("merge"), ["page_id", "link"], "left").withColumn("own", F.nullif(words("own", ""), F.lit("")))
+    cards = table.filter(F.col("tag").isin("li", "article", "div")).select("page_id", F.col("node").alias("box"), "until")
+    nearest = contained(cards, made.filter("own is null").select("page_id", "link", "n_nodes"), "box", "until", "link", "n_nodes")  # of links without words of their own
     nearest = nearest.groupBy("page_id", "link").agg(F.max_by(F.struct("box", "until"), "box").alias("n")).select("page_id", "link", "n.*")
     instead = text_of(table, nearest, "box", "until", "page_id", "link").withColumnRenamed("said", "instead")
-    made = links.join(own, ["page_id", "link"], "left").join(told, ["page_id", "link"], "left").join(instead, ["page_id", "link"], "left").join(pages.select("page_id", "base_url"), "page_id")
-    words = lambda c, by: F.array_join(F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), strip), lambda t: t != ""), by)
-    title = F.coalesce(F.nullif(words("own", ""), F.lit("")), words("instead", " "))
+    made = made.join(told.hint("merge"), ["page_id", "link"], "left").join(instead.hint("merge"), ["page_id", "link"], "left").join(pages.select("page_id", "base_url").hint("merge"), "page_id")
+    title = F.coalesce("own", words("instead", " "))
     label = F.when((F.col("dated").isNull()) & (F.col("label") != ""), dates.parse_trailing_date(F.col("label")))
     day = F.when(F.col("dated").isNotNull(), F.col("found")).otherwise(label)
     kept = F.when(F.col("dated").isNull() | (F.col("sorted") <= F.col("dated")), F.col("category"))

@@ -114,7 +114,7 @@ def containment_items(spark, sf):
         text = F.replace(text, F.lit(name), value)
     cards = v.releases(spark, sf).select(F.floor(k / 20).cast("long").alias("page_id"), F.struct("release_id", text.alias("card")).alias("c")).groupBy("page_id").agg(F.array_sort(F.collect_list("c")).alias("cs"))
     page = F.concat(F.lit("<html><nav><a href='/news'>News</a></nav><main><section>"), F.array_join("cs.card", ""), F.lit("</section></main></html>"))
-    made = containment.q4_items(cards.select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html")))
+    made = containment.q4_items(cards.select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html")), keep=store.keeper(spark))
     return made.select("page_id", "title", "url", "publish_date", "category")
 
 

@@ -62,3 +62,17 @@ def test_join_equals_comparing_all(spark, n):
     assert sorted((r["o"], r["i"]) for r in made.collect()) == sorted((o, i) for g, a, b, o in outer for h, p, i in inner if g == h and a <= p < b)
     plan = made._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_no_side_of_a_join_is_collected_at_the_driver(spark):
+    """Estimates of small pages would have Spark broadcast what parsing and the grid multiply."""
+    pages = spark.createDataFrame([(1, BASE, "<div><a href='/news/news-details/2026/1/'>x</a></div>")], "page_id long, base_url string, html string")
+    made = containment.q4_items(pages)
+    assert made.count() == 1
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_levels_by_the_number_of_nodes(spark):
+    outer = [(1, a, b) for a in range(9) for b in range(a, 10)]
+    made = containment.contained(spark.createDataFrame(outer, "page_id long, a long, b long"), spark.createDataFrame([(1, p, 9) for p in range(9)], "page_id long, p long, n long"), "a", "b", "p", "n")
+    assert sorted((r["a"], r["b"], r["p"]) for r in made.collect()) == sorted((a, b, p) for _, a, b in outer for p in range(9) if a <= p < b)
