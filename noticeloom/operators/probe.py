@@ -21,14 +21,21 @@ from noticeloom.operators import flow
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
+#: Bits of the page numbers whose pages have a spot each.
+SINGLE = 7
+
+
 def spot(slug: Column, page: Column, groups: int) -> Column:
-    return F.concat(F.pmod(F.hash(slug), F.lit(groups)).cast("string"), F.lit("-"), page.cast("string"))
+    """The group of a listing and the first page of the page's block."""
+    spare = F.greatest(F.length(F.bin(page)) - SINGLE, F.lit(0))
+    block = F.call_function("shiftleft", F.call_function("shiftright", page.cast("bigint"), spare), spare)
+    return F.concat(F.pmod(F.hash(slug), F.lit(groups)).cast("string"), F.lit("-"), block.cast("string"))
 
 
 def write_pages(pages: DataFrame, root: str, groups: int = 256) -> None:
-    """pages (slug, page, ...) by spot: groups times the highest page number folders, whatever the number of listings."""
+    """pages (slug, page, ...) by spot: for each group 2^SINGLE folders, and half as many for each doubling of the highest page number behind them."""
     made = pages.withColumn("spot", spot(F.col("slug"), F.col("page"), groups)).withColumn("groups", F.lit(groups))
-    made.repartition("spot").sortWithinPartitions("spot", "slug").write.mode("overwrite").partitionBy("spot").parquet(root)
+    made.repartition("spot").sortWithinPartitions("spot", "slug", "page").write.mode("overwrite").partitionBy("spot").parquet(root)
 
 
 def fetch(table: DataFrame, wanted: DataFrame, groups: int = 256) -> DataFrame:

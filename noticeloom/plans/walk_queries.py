@@ -46,26 +46,28 @@ def walk_caps(spark, sf):
     return flow.walked(pages, items, target_min=2024, cap=flow.cap_of(F.col("platform"))).select("slug", "page", "n_new", "max_year")
 
 
-def _by_spot(spark: SparkSession, sf: str, groups: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The listings' page facts and items by spot, and the number of pages of each listing."""
-    root, items = store.scratch_path(spark), v.listing(spark, sf)
-    facts = flow.page_years(items, "slug", "page")
-    probe.write_pages(facts, f"{root}/facts", groups)
-    probe.write_pages(items, f"{root}/items", groups)
-    listings = items.groupBy("slug").agg((F.max("page") + 1).alias("n_pages"))
-    return spark.read.parquet(f"{root}/facts"), spark.read.parquet(f"{root}/items"), listings
+def _by_spot(spark: SparkSession, pages: DataFrame, name: str, root: str, groups: int) -> DataFrame:
+    probe.write_pages(pages, f"{root}/{name}", groups)
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def _listings(facts: DataFrame) -> DataFrame:
+    return facts.groupBy("slug").agg((F.max("page") + 1).alias("n_pages"))
 
 
 @query(ORACLES["start_page"])
 def start_page_probing(spark, sf):
-    facts, _, listings = _by_spot(spark, sf, 4)
-    return probe.probed_start(facts, listings, 2025, 2025, store.keeper(spark), 4).select("slug", "start_page")
+    facts = flow.page_years(v.listing(spark, sf), "slug", "page")
+    told = _by_spot(spark, facts, "facts", store.scratch_path(spark), 4)
+    return probe.probed_start(told, _listings(facts), 2025, 2025, store.keeper(spark), 4).select("slug", "start_page")
 
 
 @query(ORACLES["walk"])
 def walk_probing(spark, sf):
-    facts, items, listings = _by_spot(spark, sf, 4)
-    made, _ = probe.probing_walk(facts, items, listings, {2024, 2025}, store.keeper(spark), groups=4)
+    root, items = store.scratch_path(spark), v.listing(spark, sf)
+    facts = flow.page_years(items, "slug", "page")
+    told, table = _by_spot(spark, facts, "facts", root, 4), _by_spot(spark, items, "items", root, 4)
+    made, _ = probe.probing_walk(told, table, _listings(facts), {2024, 2025}, store.keeper(spark), groups=4)
     return made.select("slug", "ordinal", "url", "page")
 
 

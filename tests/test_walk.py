@@ -131,3 +131,17 @@ def test_pages_that_no_probe_asks_for_are_not_opened(spark, tmp_path):
     assert cost.first()["probes"] == len(asked) <= 8
     plan = probe.fetch(told, pages.filter("n_pages > 1").select("slug", F.lit(3).alias("page")), 1)._jdf.queryExecution().toString()
     assert "dynamicpruning" in plan
+
+
+def test_folders_of_a_long_listing_grow_with_its_logarithm(spark, tmp_path):
+    """Pages far back share folders; the search finds what reading all pages finds."""
+    page = F.col("id")
+    facts = spark.range(2_500).select(F.lit("s0").alias("slug"), page.alias("page"), (F.lit(2026) - F.floor(page / 100)).cast("long").alias("min_year"), (F.lit(2026) - F.floor(page / 100)).cast("long").alias("max_year"))
+    probe.write_pages(facts, f"{tmp_path}/facts", 1)
+    assert len(list(Path(f"{tmp_path}/facts").glob("spot=*"))) < 128 + 64 * 5
+    table = spark.read.parquet(f"{tmp_path}/facts")
+    listings = spark.createDataFrame([("s0", 2_500)], "slug string, n_pages long")
+    got = probe.probed_start(table, listings, 2004, 2004, store.keeper(spark), 1).first()
+    assert got["start_page"] == flow.start_page(facts, 2004, 2004).first()["start_page"] == 2_200
+    asked = listings.select("slug", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_pages") - 1)).alias("page"))
+    assert probe.fetch(table, asked, 1).count() == 2_500
