@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeloom.functions import dates, html, urls
+from noticeloom.operators.extract import small
 
 #: keep(df, name): the same rows, read back from where the cluster keeps intermediate tables.
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -33,7 +34,7 @@ def nodes(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             of, columns = [], [[] for _ in range(7)]
             for i, text in enumerate(batch.column("html").to_pylist()):
                 page = html.Page(text or "")

@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from noticeloom.functions import html
 from noticeloom.operators import extract
@@ -189,6 +190,14 @@ def test_a_year_of_many_pages_is_read_to_its_end(spark):
     assert sorted(r["page"] for r in extract.gated_years(pages, {2024}, cap=7).collect()) == list(range(7))
 
 
+def test_pages_leave_python_in_small_batches(spark):
+    """What a task holds does not grow with the pages that it gets: rows go out after every few pages."""
+    rows = [("a", 2024, i, f"<table>{card(2 * i)}{card(2 * i + 1)}</table>", "notified_gated") for i in range(500)]
+    made = extract.try_items(listing(spark, rows).coalesce(1), "page")
+    assert [b.num_rows for b in extract.small([pa.RecordBatch.from_arrays([pa.array(range(500))], ["x"])])] == [64] * 7 + [52]
+    assert sorted((r["page"], r["ordinal"]) for r in made.collect()) == [(i, k) for i in range(500) for k in range(2)]
+
+
 def test_a_platform_of_ones_own(spark):
     """Added from outside, with a link predicate and a date of its own, beside another platform in one plan."""
 
