@@ -30,7 +30,7 @@ from noticeloom.llm.common import binary
 
 #: Characters that the splitter is fed at a time.
 CHUNK = 1 << 17
-#: Pieces whose tokens a worker remembers; the memory starts anew when it is full.
+#: Pieces whose tokens a worker remembers; a full memory becomes the older one, whose pieces come over when they are met again.
 REMEMBERED = 400_000
 
 
@@ -210,9 +210,15 @@ class Encoder:
 
             lead = ""
 
+            def __init__(self):
+                self.older: dict[str, bytes] = {}
+
             def __missing__(self, run: str) -> bytes:
-                made = b"".join([packed[t] for piece in find(self.lead + run) for t in machine.whole(piece.encode())])
+                made = self.older.get(run)
+                if made is None:
+                    made = b"".join([packed[t] for piece in find(self.lead + run) for t in machine.whole(piece.encode())])
                 if len(self) >= REMEMBERED:
+                    self.older = dict(self)
                     self.clear()
                 if len(run) < 64:
                     self[run] = made

@@ -134,3 +134,15 @@ def test_edges(spark):
     assert sorted(r["n_tokens"] for r in rows) == [0, 0, 0, 1]
     assert sum(r["ids_sha256"] == r["decoded_sha256"] == empty for r in rows) == 3
     assert bpe.bpe_round_trip(docs.limit(0), vocabulary_path()).count() == 0
+
+
+def test_frequent_words_outlive_a_full_memory(vocabulary, monkeypatch):
+    """A word that comes again and again is merged once, though rare ones fill the memory between."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 8)
+    met, real = [], vocabulary.merge
+    monkeypatch.setattr(vocabulary, "merge", lambda piece: met.append(piece) or real(piece))
+    text = " ".join(f"often rare{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200))
+    got = bpe.encode_ids(bpe.Encoder(vocabulary), text.encode())
+    assert met.count(b" often") == 1
+    monkeypatch.setattr(bpe, "REMEMBERED", 400_000)
+    assert got == bpe.encode_ids(bpe.Encoder(vocabulary), text.encode())
