@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticeloom.llm.common import binary
+from noticeloom.llm.common import binary, in_parts
 
 #: Characters that the splitter is fed at a time.
 CHUNK = 1 << 17
@@ -427,7 +427,7 @@ def bpe_tokens(docs: DataFrame, path: str) -> DataFrame:
         import numpy as np
 
         encoder = _encoder(content.value)
-        for batch in batches:
+        for batch in in_parts(batches):
             made = [encode_ids(encoder, raw or b"") for raw in binary(batch.column("row").flatten()[at])]
             ends = np.cumsum([0, *(len(x) // 4 for x in made)]).astype("int32")
             tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(made), "<i4")))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeloom.llm.common import binary
+from noticeloom.llm.common import binary, in_parts
 
 SPACES = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
@@ -104,16 +104,21 @@ def repeated(ids: np.ndarray) -> int:
 
 
 def measured(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The columns in keep and MEASURES (long) of every row. Whole texts are read; a null one has no words."""
+    """The columns in keep and MEASURES (long) of every row. Whole texts are read; a null one has no words.
+
+    Without a column text, texts are those in the struct column row, which keep must name; so they go to Python once.
+    """
+    inside = None if "text" in docs.columns else (f"k{keep.index('row')}", docs.schema["row"].dataType.names.index("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.array([measure(raw or b"") for raw in binary(batch.column("text"))], np.int64).reshape(-1, len(MEASURES))
+        for batch in in_parts(batches):
+            text = batch.column(inside[0]).flatten()[inside[1]] if inside else batch.column("text")
+            rows = np.array([measure(raw or b"") for raw in binary(text)], np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays([*(batch.column(f"k{i}") for i in range(len(keep))), *(pa.array(c) for c in rows.T)], names)
 
     names = [*(f"k{i}" for i in range(len(keep))), *MEASURES]
     kinds = [f"k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)] + [f"{m} bigint" for m in MEASURES]
-    made = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), F.col("text").alias("text")).mapInArrow(run, ", ".join(kinds))
+    made = docs.select(*(F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)), *([] if inside else [F.col("text").alias("text")])).mapInArrow(run, ", ".join(kinds))
     return made.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), *MEASURES)
 
 
@@ -187,5 +192,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     Texts are read twice, once for the model and once for the filter, so that no text is shuffled or written.
     """
     _, posterior = label_model(measured(docs, ()))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").alias("text"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     return verdict(measured(rows, ("row",)), posterior).filter("kept").select("row.*")

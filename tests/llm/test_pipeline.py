@@ -4,8 +4,10 @@ from types import SimpleNamespace
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
-from noticeloom.llm import quality
+from noticeloom.llm import bpe, quality
+from noticeloom.llm.common import AT_ONCE
 from noticeloom.llm.lines import MIN_WORDS
 from noticeloom.llm.queries import vocabulary_path
 from test_lines import brute, left
@@ -89,3 +91,26 @@ def test_edges_through_all_stages(spark, sf, rows):
         frame = spark.createDataFrame(frame.collect(), frame.schema)
         assert frame.columns == (columns if i < 4 else [c for c in columns if c != "tokens"] + ["tokens", "n_tokens"])
     assert all(r["text"] for r in frame.collect())
+
+
+def test_whole_texts_are_worked_on_in_parts(spark, monkeypatch):
+    """Of an Arrow batch with many texts a part at a time is given back, every row once and in order; a text goes to Python once."""
+    rows = [{"doc_id": i, "text": f"word {i} of a text\n" * (i % 40) if i % 7 else None} for i in range(3 * AT_ONCE + 5)]
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows[:9]], "doc_id long, text string")
+    taken, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda frame, run, schema: taken.append((frame.columns, run)) or real(frame, run, schema))
+    quality.keep_good(docs)
+    bpe.bpe_tokens(docs, vocabulary_path())
+    assert [columns for columns, _ in taken] == [["text"], ["k0"], ["row"]]
+    whole = pa.array(rows, pa.struct([("doc_id", pa.int64()), ("text", pa.string())]))
+    inputs, made = [whole.field(1), whole, whole], []
+    for (columns, run), column in zip(taken, inputs):
+        parts = list(run(iter([pa.RecordBatch.from_arrays([column], columns)])))
+        assert [p.num_rows for p in parts] == [AT_ONCE] * 3 + [5]
+        made.append(pa.Table.from_batches(parts).to_pylist())
+    want = [dict(zip(quality.MEASURES, quality.measure((r["text"] or "").encode()))) for r in rows]
+    assert made[0] == want
+    assert made[1] == [{"k0": r} | m for r, m in zip(rows, want)]
+    encoder = bpe.Encoder(bpe.Vocabulary(**bpe.vocabulary_parts(vocabulary_path())))
+    ids = [np.frombuffer(bpe.encode_ids(encoder, (r["text"] or "").encode()), "<i4").tolist() for r in rows]
+    assert made[2] == [{"row": r, "tokens": t} for r, t in zip(rows, ids)]
