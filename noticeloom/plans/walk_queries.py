@@ -109,14 +109,14 @@ RICH = (
 @query("""SELECT release_id // 20 AS page_id, title || CASE release_id % 4 WHEN 2 THEN ' on April 9, 2031' ELSE '' END AS title,
   'https://ir.example.com/news/news-details/2026/' || release_id || CASE release_id % 4 WHEN 0 THEN '/default.aspx' WHEN 1 THEN '/' ELSE '' END AS url, publish_date, CASE release_id % 4 WHEN 1 THEN 'Sales Releases' ELSE '' END AS category FROM releases""", v.RELEASES)
 def containment_items(spark, sf):
-    """releases in rich listings of twenty cards, read by interval joins over their nodes."""
+    """releases in rich listings of twenty cards, read by the stretches of their nodes."""
     k = F.col("release_id")
     text = F.element_at(F.array(*map(F.lit, RICH)), (k % len(RICH) + 1).cast("int"))
     for name, value in (("{date}", F.col("date_text")), ("{plain}", F.date_format("publish_date", "MMMM d, yyyy")), ("{id}", k.cast("string")), ("{title}", F.col("title"))):
         text = F.replace(text, F.lit(name), value)
     cards = v.releases(spark, sf).select(F.floor(k / 20).cast("long").alias("page_id"), F.struct("release_id", text.alias("card")).alias("c")).groupBy("page_id").agg(F.array_sort(F.collect_list("c")).alias("cs"))
     page = F.concat(F.lit("<html><nav><a href='/news'>News</a></nav><main><section>"), F.array_join("cs.card", ""), F.lit("</section></main></html>"))
-    made = containment.q4_items(cards.select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html")), keep=store.keeper(spark))
+    made = containment.q4_items(cards.select("page_id", F.lit("https://ir.example.com/news").alias("base_url"), page.alias("html")))
     return made.select("page_id", "title", "url", "publish_date", "category")
 
 

@@ -76,3 +76,29 @@ def test_levels_by_the_number_of_nodes(spark):
     outer = [(1, a, b) for a in range(9) for b in range(a, 10)]
     made = containment.contained(spark.createDataFrame(outer, "page_id long, a long, b long"), spark.createDataFrame([(1, p, 9) for p in range(9)], "page_id long, p long, n long"), "a", "b", "p", "n")
     assert sorted((r["a"], r["b"], r["p"]) for r in made.collect()) == sorted((a, b, p) for _, a, b in outer for p in range(9) if a <= p < b)
+
+
+def test_a_page_is_read_without_joins_or_shuffles(spark):
+    """Every shuffle of nodes, links or texts grows with what the pages hold: on large tables these took most of the time."""
+    pages = spark.createDataFrame([(1, BASE, "<div><a href='/news/news-details/2026/1/'>x</a></div>")], "page_id long, base_url string, html string")
+    made = containment.q4_items(pages)
+    assert made.count() == 1
+    plan = made._jdf.queryExecution().toString()
+    assert plan.count("MapInArrow") and not any(x in plan.split("== Physical Plan ==")[1] for x in ("Exchange", "Join", "Window", "Sort"))
+
+
+def test_boxes_hold_no_more_than_the_page(spark):
+    """Of many links to one release in one card only that which gives the item takes the card's texts."""
+    n = 1_000
+    many = "".join(f"<p>told {i}</p><a href='/news/news-details/2026/1/'>{'' if i < 5 else f'Title {i}'}</a>" for i in range(n))
+    wordless = "".join(f"<a href='/news/news-details/2026/{i}/'> </a>" for i in (2, 3, 2))
+    deep = "<div>" * 200 + "<span>" * 50 + "May 6, 2026<a href='/news/news-details/2026/4/'>Deep</a>" + "</span>" * 50 + "</div>" * 200
+    texts = {1: f"<section>{many}</section>", 2: f"<section>{wordless}</section>", 3: f"<li>{wordless}</li>", 4: deep, 5: f"<div><section>June 3, 2025{wordless}</section>words</div>"}
+    texts[6] = "".join(f"<li>June {i}, 2025<a href='{'https://ir.example.com' * (i % 2)}/news/news-details/2026/{i // 2}/'>One</a></li>" for i in range(1, 8))
+    pages = spark.createDataFrame([(i, BASE, text) for i, text in texts.items()], "page_id long, base_url string, html string")
+    for i, text in texts.items():
+        want = [(t, u, d, raw, c) for t, u, d, raw, _, c in html.items_of(text, BASE, "q4")]
+        got = containment.q4_items(pages.filter(F.col("page_id") == i)).orderBy("place").drop("page_id", "place").collect()
+        assert [tuple(r) for r in got] == want
+    sizes = containment.q4_links(pages.filter("page_id = 1"), "news-details", 5).select(F.sum(F.size(F.flatten("boxes")))).first()[0]
+    assert n < sizes <= 5 * 2 * n
