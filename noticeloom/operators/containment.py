@@ -135,7 +135,10 @@ def q4_links(pages: DataFrame, segment: str, climb: int) -> DataFrame:
         before, after = at("links", start - 1)["node"].alias("before"), at("links", behind)["node"].alias("after")
         row = F.filter(F.slice("links", start + 1, F.coalesce(behind, F.size("links")) - start), titled)
         fields = ("first", "last", "label", "box", "card")
-        return F.transform(row, lambda x: F.struct(urls.resolve(F.col("base_url"), strip(x["href"])).alias("url"), x["node"].alias("place"), *(x[f].alias(f) for f in fields), before, after))
+        return F.transform(row, lambda x: F.struct(strip(x["href"]).alias("href"), x["node"].alias("place"), *(x[f].alias(f) for f in fields), before, after))
+
+    def resolved(link: Column) -> Column:
+        return F.struct(urls.resolve(F.col("base_url"), link["href"]).alias("url"), *(link[f] for f in ("place", "first", "last", "label", "box", "card", "before", "after")))
 
     def told(link: Column) -> Column:
         up = [at("elements", link["box"])]
@@ -149,7 +152,7 @@ def q4_links(pages: DataFrame, segment: str, climb: int) -> DataFrame:
     detail = rf"(?i)/{segment}/\d{{4}}/[^/]+/?(?:default\.aspx)?"
     table = table.withColumn("links", F.filter("elements", lambda e: (e["tag"] == "a") & e["href"].rlike(detail)))
     starts = F.filter(F.transform("links", lambda x, i: i), lambda i: (i == 0) | (at("links", i)["href"] != at("links", i - 1)["href"]))
-    table = table.withColumn("starts", starts).withColumn("sorted", F.sort_array(F.flatten(F.transform("starts", apart))))
+    table = table.withColumn("starts", starts).withColumn("sorted", F.sort_array(F.transform(F.flatten(F.transform("starts", apart)), resolved)))
     first = F.filter("sorted", lambda x, i: (i == 0) | ~x["url"].eqNullSafe(at("sorted", i - 1)["url"]))
     return table.select(F.inline(F.transform(first, told)))
 
